@@ -1 +1,128 @@
-"""Registered queries."""
+"""Queries over the nested-document operators (P-FLAT)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.nested import array_index, explode_column, flatten_long, pivot_points, unpivot_struct
+from ..session import scratch_path
+from ..sinks.files import write_csv, write_json_multiline
+from ..sources.files import read_delimited, read_json
+from . import documents as docs
+from . import fixtures as fx
+from .registry import register
+
+LONG_COLS = ["storageid", "directorid", "group_no", "metricid", "value", "ts"]
+
+# Group number = rank of the line status among the statuses of that (supplier, part).
+_LONG_SQL = """
+select cast(l_suppkey as varchar) as storageid, cast(l_partkey as varchar) as directorid,
+       cast(dense_rank() over (partition by l_suppkey, l_partkey order by l_linestatus) - 1 as integer) as group_no,
+       l_returnflag as metricid, l_quantity as value, l_shipdate as ts
+from lineitem"""
+
+
+def _long(d: DataFrame) -> DataFrame:
+    return flatten_long(d, ["ip"], docs.LONG_LEVELS).select(*LONG_COLS)
+
+
+@register("nested_flatten_long", _LONG_SQL)
+def nested_flatten_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stated goal of the flatten: one row per data point, each paired only with its real parents."""
+    return _long(docs.metric_documents(fx.table(spark, sf_dir, "lineitem")))
+
+
+_WIDE_SQL = """
+with m as (
+  select cast(l_suppkey as varchar) as storageid, cast(l_partkey as varchar) as directorid,
+         cast(dense_rank() over (partition by l_suppkey, l_partkey order by l_linestatus) - 1 as integer) as group_no,
+         l_returnflag as metricid, l_quantity as value, l_shipdate as ts,
+         row_number() over (partition by l_suppkey, l_partkey, l_linestatus, l_returnflag
+                            order by l_shipdate, l_orderkey, l_linenumber, l_quantity) as rn
+  from lineitem)
+select storageid, directorid, group_no, metricid,
+       max(case when rn = 1 then value end) as value_1, max(case when rn = 2 then value end) as value_2,
+       max(case when rn = 1 then ts end) as ts_1, max(case when rn = 2 then ts end) as ts_2
+from m group by storageid, directorid, group_no, metricid"""
+
+
+@register("nested_flatten_wide", _WIDE_SQL)
+def nested_flatten_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide form: one row per metric, its first two points as columns (NULL when absent)."""
+    d = docs.metric_documents(fx.table(spark, sf_dir, "lineitem"))
+    m = flatten_long(d, ["ip"], docs.METRIC_LEVELS).drop("ip")
+    return pivot_points(m, "data", 2, {"value": "value", "ts": "ts"})
+
+
+_EXPLODE_ARRAY = "filter(split(p_name, ' '), w -> w like '%o%')"
+_EXPLODE_DUCK = "list_filter(string_split(p_name, ' '), lambda w: w like '%o%')"
+
+
+@register("explode_inner", f"select p_partkey, unnest({_EXPLODE_DUCK}) as word from part")
+def explode_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``explode``: a row per element; rows with an empty array are dropped."""
+    part = fx.table(spark, sf_dir, "part").select("p_partkey", F.expr(_EXPLODE_ARRAY).alias("words"))
+    return explode_column(part, "words", "word")
+
+
+@register("explode_outer", f"""
+select p_partkey, w.word from part
+left join lateral (select unnest({_EXPLODE_DUCK}) as word) w on true""")
+def explode_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``explode_outer``: rows with an empty array are kept once, with a NULL element."""
+    part = fx.table(spark, sf_dir, "part").select("p_partkey", F.expr(_EXPLODE_ARRAY).alias("words"))
+    return explode_column(part, "words", "word", outer=True)
+
+
+_INDEX_SQL = """
+with m as (
+  select l_suppkey, l_partkey, l_returnflag, l_quantity,
+         cast(dense_rank() over (partition by l_suppkey, l_partkey order by l_linestatus) - 1 as integer) as group_no,
+         row_number() over (partition by l_suppkey, l_partkey, l_linestatus, l_returnflag
+                            order by l_shipdate, l_orderkey, l_linenumber, l_quantity) as rn
+  from lineitem),
+d as (select l_suppkey, min(cast(l_partkey as varchar)) as first_director from lineitem group by l_suppkey)
+select cast(m.l_suppkey as varchar) as storageid, cast(m.l_partkey as varchar) as directorid, m.group_no,
+       m.l_returnflag as metricid, d.first_director, max(case when rn = 3 then l_quantity end) as value_3
+from m join d on m.l_suppkey = d.l_suppkey
+group by all"""
+
+
+@register("array_index", _INDEX_SQL)
+def array_index_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array indexing: a ``selectExpr`` path with indexes, and a third point that may not exist
+    (NULL, where ``getItem`` would raise under ANSI)."""
+    d = docs.metric_documents(fx.table(spark, sf_dir, "lineitem"))
+    d = d.selectExpr("*", "get(get(storageidlist, 0).fedirectorList, 0).directorId as first_director")
+    m = flatten_long(d, ["first_director"], docs.METRIC_LEVELS)
+    return m.select("storageid", "directorid", "group_no", "metricid", "first_director",
+                    array_index("data", 2)["value"].alias("value_3"))
+
+
+@register("unpivot_struct", """
+select p_partkey, 'p_brand' as field, p_brand as value from part
+union all select p_partkey, 'p_type', p_type from part
+union all select p_partkey, 'p_name', p_name from part""")
+def unpivot_struct_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``explode(array(struct.*))``: one row per field of a struct."""
+    part = fx.table(spark, sf_dir, "part").select("p_partkey", F.struct("p_brand", "p_type", "p_name").alias("s"))
+    return unpivot_struct(part, ["p_partkey"], "s")
+
+
+@register("flatten_to_csv", _LONG_SQL)
+def flatten_to_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole flatten job: documents -> long rows -> CSV with header; the CSV is read back."""
+    path = scratch_path(spark, "flatten_csv")
+    write_csv(_long(docs.metric_documents(fx.table(spark, sf_dir, "lineitem"))), path)
+    schema = "storageid string, directorid string, group_no int, metricid string, value double, ts timestamp_ntz"
+    return read_delimited(spark, path, schema)
+
+
+@register("json_multiline_scan", _LONG_SQL)
+def json_multiline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as multi-line JSON (one array per file), scanned with the declared
+    document schema, then flattened."""
+    path = scratch_path(spark, "docs_json")
+    write_json_multiline(docs.metric_documents(fx.table(spark, sf_dir, "lineitem")), path)
+    return _long(read_json(spark, path, docs.DOCUMENT, multiline=True))
