@@ -12,11 +12,13 @@ import operator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import ENVELOPE_SCHEMA, OP_DELETE, OP_INSERT, OP_TYPES, OP_UPDATE, TargetSpec
 
 RAW = "_raw"
 REASON = "_reason"
+CORRUPT = "__corrupt_image"
 
 # Quarantine reason codes.
 REASON_MALFORMED = "malformed"
@@ -111,15 +113,16 @@ def change_rows(parsed: DataFrame, spec: TargetSpec) -> tuple[DataFrame, DataFra
     ``bad`` holds rows whose image does not parse or whose key has a NULL part.
     """
     keys = spec.key_cols
-    after = F.from_json(F.col("after"), spec.data_schema, JSON_OPTIONS)
-    before = F.from_json(F.col("before"), spec.data_schema, JSON_OPTIONS)
+    # A field that does not convert leaves the image text in the corrupt-record column.
+    img_schema = T.StructType(list(spec.data_schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    opts = {**JSON_OPTIONS, "columnNameOfCorruptRecord": CORRUPT}
+    after = F.from_json(F.col("after"), img_schema, opts)
+    before = F.from_json(F.col("before"), img_schema, opts)
     base = parsed.select(
         F.col("op_type").alias("_op"),
         seq_column(parsed).alias("_seq"),
         after.alias("_a"),
         before.alias("_b"),
-        F.col("after").isNotNull().alias("_has_a"),
-        F.col("before").isNotNull().alias("_has_b"),
         F.col(RAW),
     )
     op = F.col("_op")
@@ -128,8 +131,8 @@ def change_rows(parsed: DataFrame, spec: TargetSpec) -> tuple[DataFrame, DataFra
     b_keys = [F.col(f"_b.{k}") for k in keys]
     moved = (op == OP_UPDATE) & F.col("_b").isNotNull() & _null_safe_differs(a_keys, b_keys)
     prev = F.when(moved, F.struct(*[F.col(f"_b.{k}").alias(k) for k in keys]))
-    img = F.when(op != OP_DELETE, F.col("_a"))
-    bad_img = (F.col("_has_a") & F.col("_a").isNull()) | (F.col("_has_b") & F.col("_b").isNull())
+    img = F.when(op != OP_DELETE, F.col("_a").dropFields(CORRUPT))
+    bad_img = F.coalesce(F.col(f"_a.{CORRUPT}").isNotNull() | F.col(f"_b.{CORRUPT}").isNotNull(), F.lit(False))
     shaped = base.select(*key_cols, "_op", "_seq", img.alias("_img"), prev.alias("_prev"), bad_img.alias("_bad_img"), RAW)
     null_key = functools.reduce(operator.or_, [F.col(k).isNull() for k in keys])
     reason = F.when(F.col("_bad_img"), F.lit(REASON_BAD_IMAGE)).when(null_key, F.lit(REASON_NULL_KEY))
