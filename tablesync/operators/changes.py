@@ -59,10 +59,15 @@ def dedupe(df: DataFrame, keys: list[str], order_cols: list[str] | None = None)
     return latest_by(df, keys, order_cols).select(*df.columns)
 
 
-def _with_carried_insert_date(target: DataFrame, collapsed: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach ``_carry``: INSERT_DATE of the old row for key-changing updates (one hop)."""
+def _with_carried_insert_date(target: DataFrame, collapsed: DataFrame, keys: list[str], key_changes: bool | None) -> DataFrame:
+    """Attach ``_carry``: INSERT_DATE of the old row for key-changing updates (one hop).
+
+    ``key_changes``: whether the batch can move keys; None checks the collapsed batch (a job
+    over the change side), False skips the lookup, True always does it."""
     moved = collapsed.where(F.col("_prev").isNotNull() & (F.col("_op") != OP_DELETE))
-    if moved.isEmpty():
+    if key_changes is None:
+        key_changes = not moved.isEmpty()
+    if not key_changes:
         return collapsed.withColumn("_carry", F.lit(None).cast(target.schema[INSERT_DATE].dataType))
     old = moved.select(*[F.col(f"_prev.{k}").alias(k) for k in keys], F.struct(*keys).alias("_new"))
     carry = target.select(*keys, INSERT_DATE).join(old, keys).select("_new.*", F.col(INSERT_DATE).alias("_carry"))
@@ -98,6 +103,7 @@ def merge_changes(
     insert_mode: str = "replace",
     strategy: str = "auto",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    key_changes: bool | None = None,
 ) -> DataFrame:
     """Merge collapsed changes (one per key) into ``target``; returns the new table.
 
@@ -108,13 +114,15 @@ def merge_changes(
         kept and updated rows come from target LEFT JOIN broadcast(changes); new keys are the
         changes minus target keys found by a key-only semi join against the broadcast keys.
       * ``"auto"``: broadcast when the batch has at most ``max_broadcast_rows`` rows, else general.
+
+    ``key_changes``: see ``_with_carried_insert_date`` (callers that know it save a job).
     """
     if insert_mode not in ("replace", "keep"):
         raise ValueError(f"insert_mode must be 'replace' or 'keep', not {insert_mode!r}")
     keys = spec.key_cols
     as_of_c = as_of_column(as_of, spec.audit_type)
     tgt = target.select(*spec.table_schema.fieldNames()).withColumn("_t", F.lit(True))
-    chg = _with_carried_insert_date(target, collapsed.select(*keys, *CHANGE_COLS), keys)
+    chg = _with_carried_insert_date(target, collapsed.select(*keys, *CHANGE_COLS), keys, key_changes)
     if strategy == "auto":
         strategy = "broadcast" if has_at_most(chg, max_broadcast_rows) else "general"
     present = F.col("_t").isNotNull()
@@ -135,15 +143,23 @@ def merge_changes(
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, spec: TargetSpec, op_type: str | None = None,
-                  as_of=None, insert_mode: str = "replace", strategy: str = "auto") -> DataFrame:
-    """Apply the changes of one op type (or all) to ``target``: collapse, then merge."""
+                  as_of=None, insert_mode: str = "replace", strategy: str = "auto",
+                  key_changes: bool | None = None) -> DataFrame:
+    """Apply the changes of one op type (or all) to ``target``: collapse, then merge.
+    ``key_changes`` None: checked on ``changes`` (cheap when the batch is persisted)."""
     if op_type is not None:
-        changes = changes.where(F.col("_op") == F.lit(op_type))
-    return merge_changes(target, collapse_changes(changes, spec.key_cols), spec, as_of, insert_mode, strategy)
+        # Old-key deletes of moved rows belong to the update that produced them.
+        moved_from = F.col("_op") == F.lit(OP_DELETE)
+        changes = changes.where((F.col("_op") == F.lit(op_type)) | (F.lit(op_type == "U") & moved_from & F.col("_moved")))
+    if key_changes is None:
+        key_changes = not changes.where(F.col("_prev").isNotNull()).isEmpty()
+    collapsed = collapse_changes(changes, spec.key_cols)
+    return merge_changes(target, collapsed, spec, as_of, insert_mode, strategy, key_changes=key_changes)
 
 
 def apply_phases(target: DataFrame, changes: DataFrame, spec: TargetSpec, op_order: list[str],
-                 as_of=None, insert_mode: str = "replace", strategy: str = "auto") -> DataFrame:
+                 as_of=None, insert_mode: str = "replace", strategy: str = "auto",
+                 key_changes: bool | None = None) -> DataFrame:
     """Phased application: one op type per phase in plan order, each phase on the previous result.
 
     This is the control-table semantics (one plan row per table and op type, ordered by
@@ -151,5 +167,5 @@ def apply_phases(target: DataFrame, changes: DataFrame, spec: TargetSpec, op_ord
     """
     out = target
     for op in op_order:
-        out = apply_changes(out, changes, spec, op, as_of, insert_mode, strategy)
+        out = apply_changes(out, changes, spec, op, as_of, insert_mode, strategy, key_changes and op == "U")
     return out

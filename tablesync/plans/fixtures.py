@@ -29,6 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def as_topic(df: DataFrame) -> DataFrame:
+    """The producer side of a change log: rows spread over at least as many partitions as
+    the cluster has cores, as a partitioned topic would deliver them. A source that already
+    has that many splits (any large table) is left as it is."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
@@ -62,7 +70,7 @@ def order_envelopes(orders: DataFrame, spec: TargetSpec, key_shift: int = 0,
         after_img[0] = (F.col("o_orderkey") + key_shift).alias("o_orderkey")
     after = F.when(op != "D", F.struct(*after_img))
     before = F.when(op != "I", F.struct(*[F.col(c) for c in ORDER_COLS]))
-    src = orders.where(prio.isin(*priorities))
+    src = as_topic(orders.where(prio.isin(*priorities)))
     return envelope_columns(
         src, spec, op, F.lit(CHANGE_TS), F.lpad(F.col("o_orderkey").cast("string"), 20, "0"), ORDERS_TABLE, before, after
     )
@@ -91,7 +99,7 @@ def event_envelopes(events: DataFrame, spec: TargetSpec) -> DataFrame:
         F.col("user_id"), F.col("event_type"), F.col("value"), F.col("ts").alias("last_ts"), F.col("event_id").alias("last_event_id")
     )
     return envelope_columns(
-        events, spec, op, F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        as_topic(events), spec, op, F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
         F.lpad(F.col("event_id").cast("string"), 20, "0"), USERS_TABLE,
         F.struct(F.col("user_id")), F.when(op == "U", img),
     )

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..operators.changes import apply_changes, apply_phases, collapse_changes, dedupe, merge_changes
 from ..operators.joins import join_composite_key, rename_prefix
 from ..schema import data_columns
-from ..sources.envelope import change_rows, parse_envelope, route, route_by_op, split_bad, struct_expand
+from ..sources.envelope import (change_rows, envelopes_move_keys, parse_envelope, route, route_by_op, split_bad,
+                                struct_expand)
 from . import fixtures as fx
 from .registry import register
 
@@ -42,46 +43,54 @@ _ALL = "'1-URGENT', '2-HIGH', '3-MEDIUM'"
 MERGE_ORDERS_SQL = f"with {_TGT_SQL}, {_chg_sql(_ALL)} {_MERGE_SELECT}"
 
 
+def net(changes: DataFrame, routed: DataFrame, spec) -> tuple[DataFrame, bool]:
+    """(collapsed changes, whether any change moves a key) - the check parses key fields only."""
+    return collapse_changes(changes, spec.key_cols), envelopes_move_keys(routed, spec)
+
+
 def order_changes(spark: SparkSession, sf_dir: str, key_shift: int = 0, **kw):
     """(orders, spec, target, changes): envelopes parsed, checked, routed and shaped."""
     orders = fx.table(spark, sf_dir, "orders")
     spec = fx.orders_spec(orders)
     env = parse_envelope(fx.order_envelopes(orders, spec, key_shift=key_shift, **kw))
     good, _bad = split_bad(env)
-    changes, _bad_rows = change_rows(route(good, fx.ORDERS_TABLE), spec)
-    return orders, spec, fx.order_target(orders), changes
+    routed = route(good, fx.ORDERS_TABLE)
+    changes, _bad_rows = change_rows(routed, spec)
+    return orders, spec, fx.order_target(orders), changes, routed
 
 
 @register("merge_orders", MERGE_ORDERS_SQL)
 def merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: what does ``orders`` hold after the change log? General (full outer) path."""
-    _, spec, target, changes = order_changes(spark, sf_dir)
-    return merge_changes(target, collapse_changes(changes, spec.key_cols), spec, fx.AS_OF, strategy="general")
+    _, spec, target, changes, routed = order_changes(spark, sf_dir)
+    collapsed, moves = net(changes, routed, spec)
+    return merge_changes(target, collapsed, spec, fx.AS_OF, strategy="general", key_changes=moves)
 
 
 @register("merge_orders_small", MERGE_ORDERS_SQL)
 def merge_orders_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same merge by the bounded-batch path (size-checked broadcast; target not shuffled)."""
-    _, spec, target, changes = order_changes(spark, sf_dir)
-    return merge_changes(target, collapse_changes(changes, spec.key_cols), spec, fx.AS_OF, strategy="auto")
+    _, spec, target, changes, routed = order_changes(spark, sf_dir)
+    collapsed, moves = net(changes, routed, spec)
+    return merge_changes(target, collapsed, spec, fx.AS_OF, strategy="auto", key_changes=moves)
 
 
 @register("apply_insert", f"with {_TGT_SQL}, {_chg_sql(chr(39) + '1-URGENT' + chr(39))} {_MERGE_SELECT}")
 def apply_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, spec, target, changes = order_changes(spark, sf_dir)
-    return apply_changes(target, changes, spec, "I", fx.AS_OF)
+    _, spec, target, changes, routed = order_changes(spark, sf_dir)
+    return apply_changes(target, changes, spec, "I", fx.AS_OF, key_changes=envelopes_move_keys(routed, spec))
 
 
 @register("apply_update", f"with {_TGT_SQL}, {_chg_sql(chr(39) + '2-HIGH' + chr(39))} {_MERGE_SELECT}")
 def apply_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, spec, target, changes = order_changes(spark, sf_dir)
-    return apply_changes(target, changes, spec, "U", fx.AS_OF)
+    _, spec, target, changes, routed = order_changes(spark, sf_dir)
+    return apply_changes(target, changes, spec, "U", fx.AS_OF, key_changes=envelopes_move_keys(routed, spec))
 
 
 @register("apply_delete", f"with {_TGT_SQL}, {_chg_sql(chr(39) + '3-MEDIUM' + chr(39))} {_MERGE_SELECT}")
 def apply_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, spec, target, changes = order_changes(spark, sf_dir)
-    return apply_changes(target, changes, spec, "D", fx.AS_OF)
+    _, spec, target, changes, routed = order_changes(spark, sf_dir)
+    return apply_changes(target, changes, spec, "D", fx.AS_OF, key_changes=envelopes_move_keys(routed, spec))
 
 
 _UNMATCHED_SQL = f"""
@@ -95,10 +104,10 @@ chg as (select o_orderkey, 'U' as op, o_custkey, 'X' as o_orderstatus, o_totalpr
 @register("apply_update_unmatched", _UNMATCHED_SQL)
 def apply_update_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Updates whose key is in no row are inserted (decided per row)."""
-    _, spec, target, changes = order_changes(
+    _, spec, target, changes, routed = order_changes(
         spark, sf_dir, priorities=(fx.PRIO_INSERT,), update_prio=fx.PRIO_INSERT, insert_prio="none"
     )
-    return apply_changes(target, changes, spec, "U", fx.AS_OF)
+    return apply_changes(target, changes, spec, "U", fx.AS_OF, key_changes=envelopes_move_keys(routed, spec))
 
 
 _KEYCHANGE_SQL = f"""
@@ -117,16 +126,17 @@ from moved m left join tgt t on t.o_orderkey = m.old_key"""
 @register("apply_update_keychange", _KEYCHANGE_SQL)
 def apply_update_keychange(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key-changing updates: old key deleted, new key upserted, INSERT_DATE carried over."""
-    _, spec, target, changes = order_changes(spark, sf_dir, key_shift=fx.KEY_SHIFT, priorities=(fx.PRIO_UPDATE,))
-    return apply_changes(target, changes, spec, None, fx.AS_OF)
+    _, spec, target, changes, routed = order_changes(spark, sf_dir, key_shift=fx.KEY_SHIFT, priorities=(fx.PRIO_UPDATE,))
+    return apply_changes(target, changes, spec, None, fx.AS_OF, key_changes=envelopes_move_keys(routed, spec))
 
 
 @register("apply_phases", MERGE_ORDERS_SQL)
 def apply_phases_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I, then U, then D, one phase each (control-table order); same rows as the one-pass merge
     here because every key has one change."""
-    _, spec, target, changes = order_changes(spark, sf_dir)
-    return apply_phases(target, changes, spec, ["I", "U", "D"], fx.AS_OF, strategy="general")
+    _, spec, target, changes, routed = order_changes(spark, sf_dir)
+    return apply_phases(target, changes, spec, ["I", "U", "D"], fx.AS_OF, strategy="general",
+                        key_changes=envelopes_move_keys(routed, spec))
 
 
 # ---- events as a change log of user state (F4) --------------------------------------------
@@ -141,14 +151,15 @@ def user_changes(spark: SparkSession, sf_dir: str, events=None):
     events = events if events is not None else fx.table(spark, sf_dir, "events")
     spec = fx.users_spec(events)
     good, _ = split_bad(parse_envelope(fx.event_envelopes(events, spec)))
-    changes, _ = change_rows(route(good, fx.USERS_TABLE), spec)
-    return events, spec, changes
+    routed = route(good, fx.USERS_TABLE)
+    changes, _ = change_rows(routed, spec)
+    return events, spec, changes, routed
 
 
 @register("latest_change", _LATEST_SQL)
 def latest_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Net change per key: latest event by (op_ts, pos); a delete as last event leaves nothing."""
-    _, spec, changes = user_changes(spark, sf_dir)
+    _, spec, changes, routed = user_changes(spark, sf_dir)
     c = collapse_changes(changes, spec.key_cols)
     return c.where(F.col("_op") != "D").select("user_id", *[F.col("_img")[k].alias(k) for k in spec.data_cols if k != "user_id"])
 
@@ -175,8 +186,9 @@ where g.user_id is null or g.event_type <> 'error'"""
 def merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State after the first half of the events, merged with the net change of the second half."""
     events = fx.table(spark, sf_dir, "events")
-    _, spec, changes = user_changes(spark, sf_dir, fx.late_events(events))
-    return merge_changes(fx.user_target(events), collapse_changes(changes, spec.key_cols), spec, fx.AS_OF, strategy="general")
+    _, spec, changes, routed = user_changes(spark, sf_dir, fx.late_events(events))
+    collapsed, moves = net(changes, routed, spec)
+    return merge_changes(fx.user_target(events), collapsed, spec, fx.AS_OF, strategy="general", key_changes=moves)
 
 
 # ---- envelope inspection (P-ENV) ---------------------------------------------------------

@@ -11,6 +11,7 @@ from ..operators.retention import purge_expired
 from ..session import scratch_path
 from ..sinks.files import write_csv, write_json_lines, write_orc
 from ..sinks.snapshot import SnapshotStore
+from ..sources.envelope import envelopes_move_keys
 from ..sources.files import read_delimited, read_json, read_lines, read_orc, strip_header
 from . import fixtures as fx
 from .q_changes import MERGE_ORDERS_SQL, order_changes
@@ -78,10 +79,11 @@ def text_strip_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish the target (batch 0), merge the change log on the current snapshot and publish
     to the other slot (batch 1); read the current snapshot."""
-    _, spec, target, changes = order_changes(spark, sf_dir)
+    _, spec, target, changes, routed = order_changes(spark, sf_dir)
     store = SnapshotStore(spark, scratch_path(spark, "orders_store"), spec.table_schema)
     store.publish(target, 0)
-    merged = merge_changes(store.read(), collapse_changes(changes, spec.key_cols), spec, fx.AS_OF)
+    merged = merge_changes(store.read(), collapse_changes(changes, spec.key_cols), spec, fx.AS_OF,
+                           key_changes=envelopes_move_keys(routed, spec))
     store.publish(merged, 1)
     return store.read()
 

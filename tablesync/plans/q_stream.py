@@ -52,12 +52,14 @@ where rn = 1 and event_type <> 'error'"""
 
 @register("stream_apply", _STREAM_SQL)
 def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Envelope files -> file stream (two files per trigger) -> foreachBatch merge into a
+    """Envelope files -> file stream (about one slice per trigger) -> foreachBatch merge into a
     snapshot store; drained with an availableNow trigger."""
     root = scratch_path(spark, "stream_apply")
     job, spec = _user_job(spark, sf_dir, root)
     write_event_slices(spark, sf_dir, f"{root}/in", spec)
-    q = run_stream(stream_changes(spark, "files", path=f"{root}/in", max_per_trigger=2), job, f"{root}/ckpt", {"availableNow": True})
+    per_slice = spark.sparkContext.defaultParallelism  # files per slice (see fixtures.as_topic)
+    src = stream_changes(spark, "files", path=f"{root}/in", max_per_trigger=per_slice)
+    q = run_stream(src, job, f"{root}/ckpt", {"availableNow": True})
     q.awaitTermination()
     return job.targets[0].store.read()
 
@@ -70,7 +72,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     job, spec = _user_job(spark, sf_dir, root)
     for part in ((0, 1), (2, 3)):
         write_event_slices(spark, sf_dir, f"{root}/in", spec, part)
-        src = stream_changes(spark, "files", path=f"{root}/in", max_per_trigger=3)
+        src = stream_changes(spark, "files", path=f"{root}/in", max_per_trigger=spark.sparkContext.defaultParallelism)
         run_stream(src, job, f"{root}/ckpt", {"availableNow": True}).awaitTermination()
     return job.targets[0].store.read()
 

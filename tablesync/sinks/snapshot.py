@@ -32,6 +32,24 @@ class SnapshotStore:
         self.root = root.rstrip("/")
         self.schema = schema
         self.fmt = fmt
+        # The log is read once per process; this store object is the table's only writer,
+        # so later heads and ledger entries are known without re-reading it.
+        self._head: dict | None = None
+        self._batches: set[int] | None = None
+
+    def _load(self) -> None:
+        if self._batches is not None:
+            return
+        log = self._log()
+        if log is None:
+            self._head, self._batches = None, set()
+            return
+        row = log.agg(
+            F.max_by(F.struct(*LOG_SCHEMA.fieldNames()), "version").alias("h"),
+            F.collect_set("batch_id").alias("b"),  # one entry per published batch: the ledger
+        ).first()
+        self._head = None if row is None or row["h"] is None else row["h"].asDict()
+        self._batches = set(row["b"] or []) if row is not None else set()
 
     # -- log ---------------------------------------------------------------------------
     def _log(self) -> DataFrame | None:
@@ -42,16 +60,13 @@ class SnapshotStore:
 
     def head(self) -> dict | None:
         """Latest log row (version, slot, batch_id, rows) or None before the first publish."""
-        log = self._log()
-        if log is None:
-            return None
-        row = log.agg(F.max_by(F.struct(*LOG_SCHEMA.fieldNames()), "version").alias("h")).first()
-        return None if row is None or row["h"] is None else row["h"].asDict()
+        self._load()
+        return self._head
 
     def has_batch(self, batch_id: int) -> bool:
         """Ledger test: was this batch already published here (a replay after a failure)?"""
-        log = self._log()
-        return log is not None and not log.where(F.col("batch_id") == F.lit(batch_id)).isEmpty()
+        self._load()
+        return batch_id in self._batches
 
     def history(self) -> DataFrame:
         log = self._log()
@@ -79,4 +94,6 @@ class SnapshotStore:
         df.select(*self.schema.fieldNames()).write.mode("overwrite").format(self.fmt).save(path)
         entry = self.spark.createDataFrame([(version, slot, batch_id, rows)], "version long, slot string, batch_id long, rows long")
         entry.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
-        return {"version": version, "slot": slot, "batch_id": batch_id, "rows": rows}
+        self._head = {"version": version, "slot": slot, "batch_id": batch_id, "rows": rows}
+        self._batches.add(batch_id)
+        return dict(self._head)

@@ -44,9 +44,15 @@ def parse_envelope(raw: DataFrame, value_col: str = "value", schema=ENVELOPE_SCH
     ``_reason`` is NULL for a well-formed envelope and a reason code otherwise.
     """
     text = F.col(value_col).cast("string")
-    parsed = F.from_json(text, schema)
     extras = [c for c in raw.columns if c != value_col]
-    out = raw.select(*extras, text.alias(RAW), parsed.alias("_env")).select(*extras, RAW, "_env.*")
+    fields = schema.fieldNames()
+    if all(isinstance(f.dataType, T.StringType) for f in schema.fields):
+        # One JSON parse per row. json_tuple is a generator: filters on its output (bad-row
+        # split, routing) stay above it instead of being pushed down with a copy of the parse
+        # each. Nested images come back as their raw JSON text.
+        out = raw.select(*extras, text.alias(RAW), F.json_tuple(text, *fields).alias(*fields))
+    else:
+        out = raw.select(*extras, text.alias(RAW), F.inline(F.array(F.from_json(text, schema)))).select(*extras, RAW, *fields)
     op = F.col("op_type")
     reason = (
         F.when(F.col("table").isNull() | op.isNull(), F.lit(REASON_MALFORMED))
@@ -108,8 +114,9 @@ def change_rows(parsed: DataFrame, spec: TargetSpec) -> tuple[DataFrame, DataFra
     """Routed, well-formed envelopes -> (changes, bad).
 
     ``changes`` has the key columns, ``_op``, ``_seq`` (order struct), ``_img`` (typed after
-    image, NULL for deletes) and ``_prev`` (old key struct of a key-changing update, else NULL).
-    A key-changing update also yields a delete of its old key at the same position.
+    image, NULL for deletes), ``_prev`` (old key struct of a key-changing update, else NULL)
+    and ``_moved`` (true on the delete of the old key that a key-changing update yields, at
+    the same position).
     ``bad`` holds rows whose image does not parse or whose key has a NULL part.
     """
     keys = spec.key_cols
@@ -118,12 +125,14 @@ def change_rows(parsed: DataFrame, spec: TargetSpec) -> tuple[DataFrame, DataFra
     opts = {**JSON_OPTIONS, "columnNameOfCorruptRecord": CORRUPT}
     after = F.from_json(F.col("after"), img_schema, opts)
     before = F.from_json(F.col("before"), img_schema, opts)
+    # The images are parsed inside a one-row generator so that the filters below (bad rows,
+    # NULL keys) are not pushed under it with a copy of the parse per referenced field.
+    images = F.array(F.struct(after.alias("_a"), before.alias("_b")))
     base = parsed.select(
         F.col("op_type").alias("_op"),
         seq_column(parsed).alias("_seq"),
-        after.alias("_a"),
-        before.alias("_b"),
         F.col(RAW),
+        F.inline(images),
     )
     op = F.col("_op")
     key_cols = [F.when(op == OP_DELETE, F.col(f"_b.{k}")).otherwise(F.col(f"_a.{k}")).alias(k) for k in keys]
@@ -137,17 +146,36 @@ def change_rows(parsed: DataFrame, spec: TargetSpec) -> tuple[DataFrame, DataFra
     null_key = functools.reduce(operator.or_, [F.col(k).isNull() for k in keys])
     reason = F.when(F.col("_bad_img"), F.lit(REASON_BAD_IMAGE)).when(null_key, F.lit(REASON_NULL_KEY))
     shaped = shaped.withColumn(REASON, reason)
-    good = shaped.where(F.col(REASON).isNull()).drop("_bad_img", REASON, RAW)
+    good = shaped.where(F.col(REASON).isNull())
     bad = shaped.where(F.col(REASON).isNotNull()).select(RAW, REASON)
-    # A key change deletes its old key at the same position in the log.
-    old_key_deletes = good.where(F.col("_prev").isNotNull()).select(
-        *[F.col(f"_prev.{k}").alias(k) for k in keys],
-        F.lit(OP_DELETE).alias("_op"),
-        "_seq",
-        F.lit(None).cast(spec.data_schema).alias("_img"),
-        F.lit(None).cast(spec.key_schema).alias("_prev"),
+    # A key change also deletes its old key at the same position in the log: each row yields
+    # itself, plus that delete when it moved (a generator, so the batch is read once).
+    this = F.struct(*[F.col(k).alias(k) for k in keys], F.col("_op"), F.col("_img"), F.col("_prev"), F.lit(False).alias("_moved"))
+    old_key_delete = F.struct(
+        *[F.col(f"_prev.{k}").alias(k) for k in keys], F.lit(OP_DELETE).alias("_op"),
+        F.lit(None).cast(spec.data_schema).alias("_img"), F.lit(None).cast(spec.key_schema).alias("_prev"),
+        F.lit(True).alias("_moved"),
     )
-    return good.unionByName(old_key_deletes), bad
+    rows = F.when(F.col("_prev").isNull(), F.array(this)).otherwise(F.array(this, old_key_delete))
+    out = good.select("_seq", F.inline(rows)).select(*keys, "_op", "_seq", "_img", "_prev", "_moved")
+    return out, bad
+
+
+def has_key_changes(changes: DataFrame) -> bool:
+    """Whether any change moves a row to another key (a narrow scan, stops at the first).
+    Cheap on a persisted batch; on a lazy one use ``envelopes_move_keys``."""
+    return not changes.where(F.col("_prev").isNotNull()).isEmpty()
+
+
+def envelopes_move_keys(parsed: DataFrame, spec: TargetSpec) -> bool:
+    """Whether any update envelope has before/after images with different keys. Parses only
+    the key fields of update images (a narrow scan, stops at the first hit)."""
+    ks = spec.key_schema
+    u = parsed.where((F.col("op_type") == F.lit(OP_UPDATE)) & F.col("before").isNotNull() & F.col("after").isNotNull())
+    k = u.select(F.inline(F.array(F.struct(F.from_json("after", ks, JSON_OPTIONS).alias("a"),
+                                           F.from_json("before", ks, JSON_OPTIONS).alias("b")))))
+    differs = _null_safe_differs([F.col(f"a.{c}") for c in spec.keys], [F.col(f"b.{c}") for c in spec.keys])
+    return not k.where(F.col("b").isNotNull() & differs).isEmpty()
 
 
 def envelope_columns(df: DataFrame, spec: TargetSpec, op_col: Column, op_ts: Column, pos: Column,

@@ -17,13 +17,14 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..operators.changes import apply_phases, collapse_changes, merge_changes
 from ..operators.retention import purge_expired
 from ..schema import TargetSpec
 from ..sinks.snapshot import SnapshotStore
-from ..sources.envelope import RAW, REASON, change_rows, parse_envelope, route, split_bad
+from ..sources.envelope import RAW, REASON, change_rows, has_key_changes, parse_envelope, route, split_bad
 
 METRICS_DDL = "batch_id long, target string, op string, n long, started_at timestamp, ms long"
 QUARANTINE_DDL = "batch_id long, target string, reason string, raw string"
@@ -64,7 +65,8 @@ def sync_table(batch: DataFrame, t: SyncTarget, batch_id: int, as_of=None) -> tu
     if t.op_order:
         new = apply_phases(current, changes, t.spec, list(t.op_order), as_of, t.insert_mode, t.strategy)
     else:
-        new = merge_changes(current, collapse_changes(changes, t.spec.key_cols), t.spec, as_of, t.insert_mode, t.strategy)
+        new = merge_changes(current, collapse_changes(changes, t.spec.key_cols), t.spec, as_of, t.insert_mode, t.strategy,
+                            key_changes=has_key_changes(changes))
     return new, changes, bad
 
 
@@ -97,7 +99,8 @@ def make_batch_fn(job: SyncJob):
             q = quarantine[0]
             for extra in quarantine[1:]:
                 q = q.unionByName(extra)
-            q.write.mode("append").parquet(job.quarantine_path)
+            if not q.isEmpty():  # reads the persisted batch; stops at the first bad row
+                q.write.mode("append").parquet(job.quarantine_path)
             mdf = spark.createDataFrame(metrics, "batch_id long, target string, op string, n long, ms long")
             mdf.select("batch_id", "target", "op", "n", F.timestamp_seconds(F.lit(started)).alias("started_at"), "ms") \
                 .coalesce(1).write.mode("append").parquet(job.metrics_path)
@@ -118,9 +121,16 @@ def run_stream(source: DataFrame, job: SyncJob, checkpoint: str, trigger: dict |
     return w.start()
 
 
+def _read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    try:
+        return spark.read.schema(ddl).parquet(path)
+    except AnalysisException:  # nothing written yet
+        return spark.createDataFrame([], ddl)
+
+
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METRICS_DDL).parquet(path)
+    return _read_or_empty(spark, path, METRICS_DDL)
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE_DDL).parquet(path)
+    return _read_or_empty(spark, path, QUARANTINE_DDL)
