@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import TargetSpec
+from ..sinks.bucketed import BucketedStore
 from ..sinks.snapshot import SnapshotStore
 from ..session import scratch_path
 from ..sources.streams import stream_changes
@@ -36,9 +37,12 @@ def write_event_slices(spark: SparkSession, sf_dir: str, path: str, spec: Target
         fx.event_envelopes(ev.where(cond), spec).write.mode("append").text(path)
 
 
-def _user_job(spark: SparkSession, sf_dir: str, root: str) -> tuple[SyncJob, TargetSpec]:
+def _user_job(spark: SparkSession, sf_dir: str, root: str, buckets: int = 0) -> tuple[SyncJob, TargetSpec]:
     spec = fx.users_spec(fx.table(spark, sf_dir, "events"))
-    store = SnapshotStore(spark, f"{root}/target", spec.table_schema)
+    if buckets:
+        store = BucketedStore(spark, f"{root}/target", spec, buckets)
+    else:
+        store = SnapshotStore(spark, f"{root}/target", spec.table_schema)
     job = SyncJob([SyncTarget(spec, store)], f"{root}/quarantine", f"{root}/metrics", as_of=fx.AS_OF)
     return job, spec
 
@@ -64,6 +68,17 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.targets[0].store.read()
 
 
+@register("stream_apply_bucketed", _STREAM_SQL)
+def stream_apply_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stream into a bucketed store: each batch rewrites only the buckets it touches."""
+    root = scratch_path(spark, "stream_bucketed")
+    job, spec = _user_job(spark, sf_dir, root, buckets=16)
+    write_event_slices(spark, sf_dir, f"{root}/in", spec)
+    src = stream_changes(spark, "files", path=f"{root}/in", max_per_trigger=spark.sparkContext.defaultParallelism)
+    run_stream(src, job, f"{root}/ckpt", {"availableNow": True}).awaitTermination()
+    return job.targets[0].store.read()
+
+
 @register("stream_restart", _STREAM_SQL)
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drain half the slices, stop; more files arrive; restart from the same checkpoint and

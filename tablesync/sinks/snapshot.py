@@ -97,3 +97,13 @@ class SnapshotStore:
         self._head = {"version": version, "slot": slot, "batch_id": batch_id, "rows": rows}
         self._batches.add(batch_id)
         return dict(self._head)
+
+    def apply(self, collapsed: DataFrame, spec, as_of, batch_id: int, pre=None, **merge_kw) -> dict:
+        """Merge a collapsed batch into the current snapshot (after ``pre``, e.g. a purge) and
+        publish the result to the other slot."""
+        from ..operators.changes import merge_changes
+
+        current = self.read()
+        if pre is not None:
+            current = pre(current)
+        return self.publish(merge_changes(current, collapsed, spec, as_of, **merge_kw), batch_id)

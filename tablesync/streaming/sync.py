@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ..operators.changes import apply_phases, collapse_changes, merge_changes
+from ..operators.changes import apply_phases, collapse_changes
 from ..operators.retention import purge_expired
 from ..schema import TargetSpec
+from ..sinks.bucketed import BucketedStore
 from ..sinks.snapshot import SnapshotStore
 from ..sources.envelope import RAW, REASON, change_rows, has_key_changes, parse_envelope, route, split_bad
 
@@ -35,7 +36,7 @@ class SyncTarget:
     """One target of a sync job (one plan entry, or all op types of a table at once)."""
 
     spec: TargetSpec
-    store: SnapshotStore
+    store: SnapshotStore | BucketedStore
     tag_col: str = "table"
     op_order: tuple[str, ...] | None = None  # None: one merge of the net change per key
     purge_days: int | None = None
@@ -55,19 +56,24 @@ class SyncJob:
     last_batch: dict = field(default_factory=dict)
 
 
-def sync_table(batch: DataFrame, t: SyncTarget, batch_id: int, as_of=None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(new table, change rows, bad rows) of one target for one batch; nothing written."""
+def sync_table(batch: DataFrame, t: SyncTarget, batch_id: int, as_of=None) -> tuple[DataFrame, DataFrame]:
+    """Apply one batch to one target and publish it; returns (change rows, bad rows)."""
     routed = route(batch, t.spec.name, t.tag_col)
     changes, bad = change_rows(routed, t.spec)
-    current = t.store.read()
+    pre = None
     if t.purge_days is not None:
-        current = purge_expired(current, t.purge_days, as_of, t.purge_column, list(t.purge_keys) if t.purge_keys else None)
+        keys = list(t.purge_keys) if t.purge_keys else None
+        pre = lambda df: purge_expired(df, t.purge_days, as_of, t.purge_column, keys)
+    moves = has_key_changes(changes)  # the batch is persisted: a cheap check
     if t.op_order:
-        new = apply_phases(current, changes, t.spec, list(t.op_order), as_of, t.insert_mode, t.strategy)
+        current = t.store.read()
+        current = pre(current) if pre else current
+        new = apply_phases(current, changes, t.spec, list(t.op_order), as_of, t.insert_mode, t.strategy, moves)
+        t.store.publish(new, batch_id)
     else:
-        new = merge_changes(current, collapse_changes(changes, t.spec.key_cols), t.spec, as_of, t.insert_mode, t.strategy,
-                            key_changes=has_key_changes(changes))
-    return new, changes, bad
+        t.store.apply(collapse_changes(changes, t.spec.key_cols), t.spec, as_of, batch_id, pre=pre,
+                      insert_mode=t.insert_mode, strategy=t.strategy, key_changes=moves)
+    return changes, bad
 
 
 def make_batch_fn(job: SyncJob):
@@ -89,9 +95,8 @@ def make_batch_fn(job: SyncJob):
                 if t.store.has_batch(batch_id):
                     continue
                 t0 = time.time()
-                new, changes, bad = sync_table(good, t, batch_id, as_of)
+                changes, bad = sync_table(good, t, batch_id, as_of)
                 counts = changes.groupBy("_op").count().collect()  # at most one row per op type
-                t.store.publish(new, batch_id)
                 ms = int((time.time() - t0) * 1000)
                 metrics += [(batch_id, t.spec.name, r["_op"], r["count"], ms) for r in counts]
                 quarantine.append(bad.select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(t.spec.name).alias("target"),

@@ -69,3 +69,28 @@ def test_batch_fn_ledger_quarantine_metrics(spark):
     assert [r["reason"] for r in read_quarantine(spark, job.quarantine_path).collect()] == ["malformed"]
     m = read_metrics(spark, job.metrics_path).groupBy("op").agg(F.sum("n").alias("n"))
     assert sorted((r["op"], r["n"]) for r in m.collect()) == [("D", 1), ("I", 2), ("U", 1)]
+
+
+def test_bucketed_store_rewrites_only_touched_buckets(spark):
+    from tablesync.operators.changes import collapse_changes
+    from tablesync.sinks.bucketed import BucketedStore
+    from tablesync.sources.envelope import change_rows, parse_envelope, split_bad
+
+    spec = TargetSpec.of("T.KV", spark.createDataFrame([], "k long, v string").schema, "k")
+    store = BucketedStore(spark, scratch_path(spark, "t_bucketed"), spec, buckets=8)
+    base = spark.range(200).select(F.col("id").alias("k"), F.lit("a").alias("v"),
+                                   F.lit("2020-01-01").cast("timestamp_ntz").alias("INSERT_DATE"),
+                                   F.lit("2020-01-01").cast("timestamp_ntz").alias("UPDATE_DATE"))
+    store.publish(base, 0)
+    before = dict(store._paths)
+    raw = spark.createDataFrame([(_env("U", 5, "b", 1),), (_env("D", 7, None, 2),), (_env("I", 500, "n", 3),)], "value string")
+    ch, _ = change_rows(split_bad(parse_envelope(raw))[0], spec)
+    collapsed = collapse_changes(ch, ["k"])
+    touched = store.touched(collapsed)
+    assert 1 <= len(touched) <= 3
+    store.apply(collapsed, spec, "2024-01-01 00:00:00", 1)
+    changed = {b for b in before if before[b] != store._paths[b]}
+    assert changed == set(touched)
+    got = {r["k"]: r["v"] for r in store.read().collect()}
+    assert len(got) == 200 and got[5] == "b" and 7 not in got and got[500] == "n"
+    assert store.read().columns == spec.table_schema.fieldNames()
