@@ -14,6 +14,7 @@ State across batches is the target table itself; there is no keyed stream state.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,47 @@ class SyncJob:
     as_of: object = None  # None: current time per batch
     persist_level: str = "MEMORY_AND_DISK"
     last_batch: dict = field(default_factory=dict)
+    # Control refresh: every ``refresh_hours`` the targets are rebuilt by ``refresh()``
+    # (typically: re-read the control tables, build_plan, targets_from_plan).
+    refresh: Callable[[], list[SyncTarget]] | None = None
+    refresh_hours: float = 4.0
+    _refreshed_at: float | None = None
+
+    def maybe_refresh(self, now: float) -> bool:
+        if self.refresh is None:
+            return False
+        if self._refreshed_at is None:
+            self._refreshed_at = now
+            return False
+        if now - self._refreshed_at < self.refresh_hours * 3600:
+            return False
+        self.targets = self.refresh()
+        self._refreshed_at = now
+        return True
+
+
+def targets_from_plan(rows: list[dict], spec_for: Callable[[str], TargetSpec],
+                      store_for: Callable[[dict, TargetSpec], object]) -> list[SyncTarget]:
+    """Plan rows (``plans.control.plan_rows``: one per table and op type, in SEQUENCE order)
+    -> one target per table applying its op types in that order. Purging follows the plan
+    (PURGING = 'Y'; days and column from the first row of the table)."""
+    by_table: dict[str, list[dict]] = {}
+    for r in rows:
+        by_table.setdefault(r["table_name"], []).append(r)
+    out = []
+    for name, rs in by_table.items():
+        spec = spec_for(name)
+        first = rs[0]
+        if list(first["keys"]) != spec.key_cols:
+            raise ValueError(f"plan key {first['keys']} differs from the key of {name}: {spec.key_cols}")
+        purge = first["purge"] and first["purge_days"] is not None
+        out.append(SyncTarget(
+            spec, store_for(first, spec), tag_col=first["tag_column"],
+            op_order=tuple(r["op_type"] for r in rs),
+            purge_days=first["purge_days"] if purge else None,
+            purge_column=first["purge_column"] if purge else None,
+        ))
+    return out
 
 
 def sync_table(batch: DataFrame, t: SyncTarget, batch_id: int, as_of=None) -> tuple[DataFrame, DataFrame]:
@@ -84,6 +126,7 @@ def make_batch_fn(job: SyncJob):
         if raw.isEmpty():
             return
         started = time.time()
+        job.maybe_refresh(started)
         as_of = job.as_of if job.as_of is not None else F.lit(time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(started)))
         parsed = parse_envelope(raw).persist()
         try:

@@ -94,3 +94,31 @@ def test_bucketed_store_rewrites_only_touched_buckets(spark):
     got = {r["k"]: r["v"] for r in store.read().collect()}
     assert len(got) == 200 and got[5] == "b" and 7 not in got and got[500] == "n"
     assert store.read().columns == spec.table_schema.fieldNames()
+
+
+def test_targets_from_plan_and_refresh(spark):
+    from tablesync.streaming.sync import targets_from_plan
+
+    master, tm, health = control_tables(spark, SF_SMALL)
+    job_name = master.select("JOBNAME").first()["JOBNAME"]
+    rows = plan_rows(build_plan(master, tm, health, job_name, "1999-01-01 00:00:00"))
+    schema = spark.createDataFrame([], "l_orderkey long, l_linenumber int, l_shipdate timestamp_ntz").schema
+    made = []
+
+    def spec_for(name):
+        return TargetSpec.of(name, schema, "l_orderkey, l_linenumber")
+
+    def store_for(row, spec):
+        made.append(row["table_name"])
+        return SnapshotStore(spark, scratch_path(spark, "t_plan"), spec.table_schema)
+
+    targets = targets_from_plan(rows, spec_for, store_for)
+    assert len(targets) == len({r["table_name"] for r in rows}) == len(made)
+    assert all(t.op_order == ("I", "U", "D") for t in targets)
+    for t in targets:
+        row = next(r for r in rows if r["table_name"] == t.spec.name)
+        assert (t.purge_days is not None) == row["purge"]
+
+    job = SyncJob(targets, "q", "m", refresh=lambda: targets[:1], refresh_hours=4)
+    assert not job.maybe_refresh(0.0) and not job.maybe_refresh(3600.0)
+    assert job.maybe_refresh(5 * 3600.0) and len(job.targets) == 1
