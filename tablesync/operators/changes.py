@@ -132,7 +132,8 @@ def merge_changes(
     if strategy != "broadcast":
         raise ValueError(f"unknown merge strategy {strategy!r}")
     kept = tgt.join(F.broadcast(chg), keys, "left").where(_survives()).select(*_merged(spec, as_of_c, insert_mode, present))
-    hits = tgt.select(*keys).join(F.broadcast(chg.select(*keys)), keys, "left_semi")
+    # The same broadcast as above (one exchange, reused), probed with the target's key column only.
+    hits = tgt.select(*keys).join(F.broadcast(chg), keys, "left_semi")
     new = chg.where(F.col("_op") != OP_DELETE).join(F.broadcast(hits), keys, "left_anti")
     inserted = new.select(
         *[F.col(c) if c in spec.keys else F.col("_img")[c].alias(c) for c in spec.data_cols],

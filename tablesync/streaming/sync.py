@@ -22,11 +22,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..operators.changes import apply_phases, collapse_changes
+from ..operators.joins import DEFAULT_BROADCAST_ROWS
 from ..operators.retention import purge_expired
 from ..schema import TargetSpec
 from ..sinks.bucketed import BucketedStore
 from ..sinks.snapshot import SnapshotStore
-from ..sources.envelope import RAW, REASON, change_rows, has_key_changes, parse_envelope, route, split_bad
+from ..sources.envelope import RAW, REASON, change_rows, parse_envelope, route, split_bad
 
 METRICS_DDL = "batch_id long, target string, op string, n long, started_at timestamp, ms long"
 QUARANTINE_DDL = "batch_id long, target string, reason string, raw string"
@@ -98,24 +99,33 @@ def targets_from_plan(rows: list[dict], spec_for: Callable[[str], TargetSpec],
     return out
 
 
-def sync_table(batch: DataFrame, t: SyncTarget, batch_id: int, as_of=None) -> tuple[DataFrame, DataFrame]:
-    """Apply one batch to one target and publish it; returns (change rows, bad rows)."""
+def sync_table(batch: DataFrame, t: SyncTarget, batch_id: int, as_of=None) -> tuple[list, DataFrame]:
+    """Apply one batch to one target and publish it; returns (per-op counts, bad rows)."""
     routed = route(batch, t.spec.name, t.tag_col)
     changes, bad = change_rows(routed, t.spec)
+    # One small aggregation over the persisted batch: counts per op type (the metrics), whether
+    # any key moves, and the batch size that bounds the collapsed batch for the merge strategy.
+    stats = changes.groupBy("_op").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("_prev").isNotNull()).alias("moves")
+    ).collect()  # at most one row per op type
+    total = sum(r["n"] for r in stats)
+    moves = any(r["moves"] for r in stats)
+    strategy = t.strategy
+    if strategy == "auto":
+        strategy = "broadcast" if total <= DEFAULT_BROADCAST_ROWS else "general"
     pre = None
     if t.purge_days is not None:
         keys = list(t.purge_keys) if t.purge_keys else None
         pre = lambda df: purge_expired(df, t.purge_days, as_of, t.purge_column, keys)
-    moves = has_key_changes(changes)  # the batch is persisted: a cheap check
     if t.op_order:
         current = t.store.read()
         current = pre(current) if pre else current
-        new = apply_phases(current, changes, t.spec, list(t.op_order), as_of, t.insert_mode, t.strategy, moves)
+        new = apply_phases(current, changes, t.spec, list(t.op_order), as_of, t.insert_mode, strategy, moves)
         t.store.publish(new, batch_id)
     else:
         t.store.apply(collapse_changes(changes, t.spec.key_cols), t.spec, as_of, batch_id, pre=pre,
-                      insert_mode=t.insert_mode, strategy=t.strategy, key_changes=moves)
-    return changes, bad
+                      insert_mode=t.insert_mode, strategy=strategy, key_changes=moves)
+    return [(r["_op"], r["n"]) for r in stats], bad
 
 
 def make_batch_fn(job: SyncJob):
@@ -138,10 +148,9 @@ def make_batch_fn(job: SyncJob):
                 if t.store.has_batch(batch_id):
                     continue
                 t0 = time.time()
-                changes, bad = sync_table(good, t, batch_id, as_of)
-                counts = changes.groupBy("_op").count().collect()  # at most one row per op type
+                counts, bad = sync_table(good, t, batch_id, as_of)
                 ms = int((time.time() - t0) * 1000)
-                metrics += [(batch_id, t.spec.name, r["_op"], r["count"], ms) for r in counts]
+                metrics += [(batch_id, t.spec.name, op, n, ms) for op, n in counts]
                 quarantine.append(bad.select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(t.spec.name).alias("target"),
                                              F.col(REASON).alias("reason"), F.col(RAW).alias("raw")))
             q = quarantine[0]
