@@ -176,3 +176,17 @@ def test_exact_audit_column_names():
     assert key_list(" a , b,") == ["a", "b"]
     with pytest.raises(ValueError):
         key_list(" , ")
+
+
+def test_key_change_chain_in_one_batch(spark):
+    """a -> b -> c in one batch: only c remains, with a's INSERT_DATE (origin of the chain)."""
+    t = target(spark, [(1, "a", "x"), (9, "a", "other")])
+    ch, _, _ = changes(spark, [
+        env("U", 1, {"k": 2, "k2": "a", "v": "hop1"}, {"k": 1, "k2": "a", "v": "x"}),
+        env("U", 2, {"k": 3, "k2": "a", "v": "hop2"}, {"k": 2, "k2": "a", "v": "hop1"}),
+        env("U", 3, {"k": 4, "k2": "a", "v": "hop3"}, {"k": 3, "k2": "a", "v": "hop2"}),
+    ])
+    out = rows(apply_changes(t, ch, SPEC, None, AS_OF))
+    assert out == [(4, "a", "hop3", OLD, AS_OF), (9, "a", "other", OLD, OLD)]
+    out_u = rows(apply_phases(t, ch, SPEC, ["I", "U", "D"], AS_OF))
+    assert out_u == out
