@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.convert import age_days, cast_columns, format_clock, parse_clock, purge_due, refresh_due, time_of_day
 from ..functions.text import error_text, list_item, take_right
-from ..sources.envelope import RAW, parse_envelope, probe_fields, split_bad
+from ..sources.envelope import parse_envelope, probe_fields, split_bad
 from . import fixtures as fx
 from .registry import register
 
@@ -115,5 +115,3 @@ def field_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "has_unknown_field": ("$.after.METRIC_COLUMN_ID", "bigint"),
     })
 
-
-__all__ = ["RAW"]

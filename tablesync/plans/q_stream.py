@@ -16,7 +16,7 @@ from ..session import scratch_path
 from ..sources.streams import stream_changes
 from ..streaming.sync import SyncJob, SyncTarget, read_metrics, read_quarantine, run_stream
 from . import fixtures as fx
-from .q_changes import MERGE_ORDERS_SQL, mixed_topic
+from .q_changes import mixed_topic
 from .registry import register
 
 SLICE_BOUNDS = ("2024-01-08", "2024-01-15", "2024-01-22")
@@ -165,5 +165,3 @@ def sync_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_stream(stream_changes(spark, "files", path=f"{root}/in"), job, f"{root}/ckpt", {"availableNow": True}).awaitTermination()
     return store.read()
 
-
-__all__ = ["MERGE_ORDERS_SQL"]

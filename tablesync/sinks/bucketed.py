@@ -38,7 +38,7 @@ class BucketedStore:
         self.fmt = fmt
         self._paths: dict[int, str | None] | None = None
         self._version = 0
-        self._batches: set[int] = set()
+        self._max_batch: int | None = None  # the ledger: highest published batch id
 
     def bucket_of(self, cols: list[str] | None = None) -> Column:
         keys = cols or self.spec.key_cols
@@ -53,15 +53,16 @@ class BucketedStore:
             log = self.spark.read.schema(LOG_DDL).parquet(f"{self.root}/_log")
         except AnalysisException:
             return
-        latest = log.groupBy("bucket").agg(F.max_by("path", "version").alias("path"), F.max("version").alias("v"))
+        latest = log.groupBy("bucket").agg(F.max_by("path", "version").alias("path"), F.max("version").alias("v"),
+                                           F.max("batch_id").alias("b"))
         for r in latest.collect():  # at most one row per bucket
             self._paths[r["bucket"]] = r["path"]
             self._version = max(self._version, r["v"])
-        self._batches = {r["batch_id"] for r in log.select("batch_id").distinct().collect()}
+            self._max_batch = r["b"] if self._max_batch is None else max(self._max_batch, r["b"])
 
     def has_batch(self, batch_id: int) -> bool:
         self._load()
-        return batch_id in self._batches
+        return self._max_batch is not None and batch_id <= self._max_batch
 
     def current_paths(self, buckets: list[int] | None = None) -> list[str]:
         self._load()
@@ -89,7 +90,7 @@ class BucketedStore:
         for _, _, b, p in rows:
             self._paths[b] = p
         self._version = version
-        self._batches.add(batch_id)
+        self._max_batch = batch_id if self._max_batch is None else max(self._max_batch, batch_id)
         return {"version": version, "buckets": len(buckets), "batch_id": batch_id}
 
     def publish(self, df: DataFrame, batch_id: int) -> dict:

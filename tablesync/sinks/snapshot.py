@@ -33,30 +33,32 @@ class SnapshotStore:
         self.schema = schema
         self.fmt = fmt
         # The log is read once per process; this store object is the table's only writer,
-        # so later heads and ledger entries are known without re-reading it.
+        # so later heads are known without re-reading it. Stream batch ids only grow, and a
+        # replay re-delivers ids at or below the last published one, so the ledger is one
+        # number: the highest published batch id.
         self._head: dict | None = None
-        self._batches: set[int] | None = None
+        self._max_batch: int | None = None
+        self._loaded = False
+
+    # -- log ---------------------------------------------------------------------------
+    def _log(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_log")
+        except AnalysisException:
+            return None
 
     def _load(self) -> None:
-        if self._batches is not None:
+        if self._loaded:
             return
+        self._loaded = True
         log = self._log()
         if log is None:
-            self._head, self._batches = None, set()
             return
         row = log.agg(
-            F.max_by(F.struct(*LOG_SCHEMA.fieldNames()), "version").alias("h"),
-            F.collect_set("batch_id").alias("b"),  # one entry per published batch: the ledger
+            F.max_by(F.struct(*LOG_SCHEMA.fieldNames()), "version").alias("h"), F.max("batch_id").alias("b")
         ).first()
-        self._head = None if row is None or row["h"] is None else row["h"].asDict()
-        self._batches = set(row["b"] or []) if row is not None else set()
-
-    # -- log ---------------------------------------------------------------------------
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_log")
-        except AnalysisException:
-            return None
+        if row is not None and row["h"] is not None:
+            self._head, self._max_batch = row["h"].asDict(), row["b"]
 
     def head(self) -> dict | None:
         """Latest log row (version, slot, batch_id, rows) or None before the first publish."""
@@ -66,7 +68,7 @@ class SnapshotStore:
     def has_batch(self, batch_id: int) -> bool:
         """Ledger test: was this batch already published here (a replay after a failure)?"""
         self._load()
-        return batch_id in self._batches
+        return self._max_batch is not None and batch_id <= self._max_batch
 
     def history(self) -> DataFrame:
         log = self._log()
@@ -95,7 +97,7 @@ class SnapshotStore:
         entry = self.spark.createDataFrame([(version, slot, batch_id, rows)], "version long, slot string, batch_id long, rows long")
         entry.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
         self._head = {"version": version, "slot": slot, "batch_id": batch_id, "rows": rows}
-        self._batches.add(batch_id)
+        self._max_batch = batch_id if self._max_batch is None else max(self._max_batch, batch_id)
         return dict(self._head)
 
     def apply(self, collapsed: DataFrame, spec, as_of, batch_id: int, pre=None, **merge_kw) -> dict:

@@ -27,10 +27,12 @@ from ..operators.retention import purge_expired
 from ..schema import TargetSpec
 from ..sinks.bucketed import BucketedStore
 from ..sinks.snapshot import SnapshotStore
+from ..functions.text import error_text
 from ..sources.envelope import RAW, REASON, change_rows, parse_envelope, route, split_bad
 
 METRICS_DDL = "batch_id long, target string, op string, n long, started_at timestamp, ms long"
 QUARANTINE_DDL = "batch_id long, target string, reason string, raw string"
+ERROR_DDL = "batch_id long, failed_at timestamp, error string"
 
 
 @dataclass
@@ -54,6 +56,7 @@ class SyncJob:
     quarantine_path: str
     metrics_path: str
     as_of: object = None  # None: current time per batch
+    error_path: str | None = None  # one row per failed batch (then the query fails)
     persist_level: str = "MEMORY_AND_DISK"
     last_batch: dict = field(default_factory=dict)
     # Control refresh: every ``refresh_hours`` the targets are rebuilt by ``refresh()``
@@ -162,6 +165,15 @@ def make_batch_fn(job: SyncJob):
             mdf.select("batch_id", "target", "op", "n", F.timestamp_seconds(F.lit(started)).alias("started_at"), "ms") \
                 .coalesce(1).write.mode("append").parquet(job.metrics_path)
             job.last_batch = {"batch_id": batch_id, "targets": len(job.targets)}
+        except Exception as e:
+            # Log the failure, then fail the query: the checkpoint replays the batch on restart
+            # and the ledger skips targets already published.
+            if job.error_path:
+                text = f"{type(e).__name__}: {e}"
+                err = spark.createDataFrame([(batch_id, text)], "batch_id long, error string")
+                err.select("batch_id", F.current_timestamp().alias("failed_at"), error_text(F.col("error")).alias("error")) \
+                    .coalesce(1).write.mode("append").parquet(job.error_path)
+            raise
         finally:
             parsed.unpersist()
 
@@ -191,3 +203,7 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return _read_or_empty(spark, path, QUARANTINE_DDL)
+
+
+def read_errors(spark: SparkSession, path: str) -> DataFrame:
+    return _read_or_empty(spark, path, ERROR_DDL)

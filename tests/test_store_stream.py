@@ -122,3 +122,18 @@ def test_targets_from_plan_and_refresh(spark):
     job = SyncJob(targets, "q", "m", refresh=lambda: targets[:1], refresh_hours=4)
     assert not job.maybe_refresh(0.0) and not job.maybe_refresh(3600.0)
     assert job.maybe_refresh(5 * 3600.0) and len(job.targets) == 1
+
+
+def test_failed_batch_writes_error_row_and_raises(spark):
+    from tablesync.functions.text import ERROR_TEXT_MAX
+    from tablesync.streaming.sync import read_errors
+
+    spec = TargetSpec.of("T.KV", spark.createDataFrame([], "k long, v string").schema, "k")
+    root = scratch_path(spark, "t_fail")
+    store = SnapshotStore(spark, f"{root}/kv", spec.table_schema, fmt="no_such_format")
+    job = SyncJob([SyncTarget(spec, store)], f"{root}/q", f"{root}/m", as_of="2024-01-01 00:00:00", error_path=f"{root}/err")
+    with pytest.raises(Exception):
+        make_batch_fn(job)(spark.createDataFrame([(_env("I", 1, "a", 1),)], "value string"), 7)
+    errs = read_errors(spark, job.error_path).collect()
+    assert [r["batch_id"] for r in errs] == [7] and 0 < len(errs[0]["error"]) <= ERROR_TEXT_MAX
+    assert not store.has_batch(7)
