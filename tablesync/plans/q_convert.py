@@ -95,7 +95,7 @@ def string_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         "c_custkey", take_right(F.col("c_name"), 9).alias("name_no"), F.substring("c_name", 1, 8).alias("name_head"),
         F.regexp_replace("c_name", "#0*", "-").alias("name_clean"), list_item(F.col("c_mktsegment"), "I", 1).alias("seg_head"),
-        F.length(error_text(F.repeat(F.col("c_name"), 120))).alias("err_len"),
+        F.length(error_text(F.repeat(F.col("c_name"), 120))).cast("bigint").alias("err_len"),
     )
 
 
