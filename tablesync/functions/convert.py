@@ -50,8 +50,11 @@ def format_clock(ts: Column, fmt: str = CLOCK_FORMAT) -> Column:
 
 
 def parse_clock(text: Column, fmt: str = CLOCK_FORMAT) -> Column:
-    """Clock text -> timestamp_ntz; NULL when it does not parse."""
-    return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+    """Clock text -> timestamp_ntz (wall clock, no time-zone round trip); NULL when it does
+    not parse. The strict parse runs only where the lenient one succeeded, so ANSI mode
+    never raises on bad text."""
+    parses = F.try_to_timestamp(text, F.lit(fmt)).isNotNull()
+    return F.when(parses, F.to_timestamp_ntz(text, F.lit(fmt)))
 
 
 def time_of_day(ts: Column) -> Column:
