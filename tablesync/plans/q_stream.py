@@ -100,7 +100,8 @@ def _mixed_job(spark: SparkSession, sf_dir: str, root: str) -> SyncJob:
     ostore = SnapshotStore(spark, f"{root}/orders", ospec.table_schema)
     ostore.publish(fx.order_target(orders), -1)
     cstore = SnapshotStore(spark, f"{root}/customer", cspec.table_schema)
-    return SyncJob([SyncTarget(ospec, ostore), SyncTarget(cspec, cstore)], f"{root}/quarantine", f"{root}/metrics", as_of=fx.AS_OF)
+    return SyncJob([SyncTarget(ospec, ostore), SyncTarget(cspec, cstore)], f"{root}/quarantine", f"{root}/metrics",
+                   as_of=fx.AS_OF, parallelism=2)
 
 
 def _run_mixed(spark: SparkSession, sf_dir: str) -> tuple[SyncJob, str]:

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +58,7 @@ class SyncJob:
     metrics_path: str
     as_of: object = None  # None: current time per batch
     error_path: str | None = None  # one row per failed batch (then the query fails)
+    parallelism: int = 1  # targets merged at once within a batch (FAIR pools; set spark.scheduler.mode=FAIR)
     persist_level: str = "MEMORY_AND_DISK"
     last_batch: dict = field(default_factory=dict)
     # Control refresh: every ``refresh_hours`` the targets are rebuilt by ``refresh()``
@@ -147,12 +149,21 @@ def make_batch_fn(job: SyncJob):
             quarantine = [bad_env.select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(None).cast("string").alias("target"),
                                          F.col(REASON).alias("reason"), F.col(RAW).alias("raw"))]
             metrics = []
-            for t in job.targets:
-                if t.store.has_batch(batch_id):
-                    continue
+            def one(t: SyncTarget):
+                if job.parallelism > 1:  # each target's jobs share the cluster fairly
+                    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"sync-{t.spec.name}")
                 t0 = time.time()
                 counts, bad = sync_table(good, t, batch_id, as_of)
-                ms = int((time.time() - t0) * 1000)
+                return t, counts, bad, int((time.time() - t0) * 1000)
+
+            todo = [t for t in job.targets if not t.store.has_batch(batch_id)]
+            if job.parallelism > 1 and len(todo) > 1:
+                # Targets are distinct tables (one per table, see targets_from_plan): independent.
+                with ThreadPoolExecutor(max_workers=job.parallelism) as pool:
+                    done = list(pool.map(one, todo))
+            else:
+                done = [one(t) for t in todo]
+            for t, counts, bad, ms in done:
                 metrics += [(batch_id, t.spec.name, op, n, ms) for op, n in counts]
                 quarantine.append(bad.select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(t.spec.name).alias("target"),
                                              F.col(REASON).alias("reason"), F.col(RAW).alias("raw")))

@@ -137,3 +137,17 @@ def test_failed_batch_writes_error_row_and_raises(spark):
     errs = read_errors(spark, job.error_path).collect()
     assert [r["batch_id"] for r in errs] == [7] and 0 < len(errs[0]["error"]) <= ERROR_TEXT_MAX
     assert not store.has_batch(7)
+
+
+def test_parallel_targets_publish_the_same_tables(spark):
+    from tablesync.plans.q_changes import mixed_topic
+    from tablesync.plans.q_stream import _mixed_job
+
+    raw = mixed_topic(spark, SF_SMALL, with_broken=True)
+    out = []
+    for par in (1, 2):
+        job = _mixed_job(spark, SF_SMALL, scratch_path(spark, f"t_par{par}"))
+        job.parallelism = par
+        make_batch_fn(job)(raw, 0)
+        out.append([sorted(tuple(r) for r in t.store.read().collect()) for t in job.targets])
+    assert out[0] == out[1] and all(len(t) > 0 for t in out[0])
