@@ -83,6 +83,13 @@ class TargetSpec:
     def key_schema(self) -> T.StructType:
         return T.StructType([self.data_schema[k] for k in self.keys])
 
+    def with_type(self, column: str, dtype: T.DataType) -> "TargetSpec":
+        """The same spec with one data column declared as ``dtype`` (images parse to it)."""
+        if column not in self.data_cols:
+            raise ValueError(f"column {column!r} not in {self.name}: {self.data_cols}")
+        fields = [T.StructField(f.name, dtype, f.nullable) if f.name == column else f for f in self.data_schema.fields]
+        return TargetSpec(self.name, T.StructType(fields), self.keys, self.audit_type)
+
     @classmethod
     def of(cls, name: str, table_schema: T.StructType, keys, audit_type: T.DataType | None = None) -> "TargetSpec":
         """Spec from a full table schema (audit columns, if present, are split off)."""

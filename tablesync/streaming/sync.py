@@ -28,6 +28,7 @@ from ..operators.retention import purge_expired
 from ..schema import TargetSpec
 from ..sinks.bucketed import BucketedStore
 from ..sinks.snapshot import SnapshotStore
+from ..functions.convert import control_type
 from ..functions.text import error_text
 from ..sources.envelope import RAW, REASON, change_rows, parse_envelope, route, split_bad
 
@@ -84,7 +85,9 @@ def targets_from_plan(rows: list[dict], spec_for: Callable[[str], TargetSpec],
                       store_for: Callable[[dict, TargetSpec], object]) -> list[SyncTarget]:
     """Plan rows (``plans.control.plan_rows``: one per table and op type, in SEQUENCE order)
     -> one target per table applying its op types in that order. Purging follows the plan
-    (PURGING = 'Y'; days and column from the first row of the table)."""
+    (PURGING = 'Y'; days and column from the first row of the table). A table_master column
+    type (COLUMNNAME, DATATYPE) declares that image column with the control type, so the
+    image parse casts it (a value that does not convert sends the row to quarantine)."""
     by_table: dict[str, list[dict]] = {}
     for r in rows:
         by_table.setdefault(r["table_name"], []).append(r)
@@ -92,6 +95,9 @@ def targets_from_plan(rows: list[dict], spec_for: Callable[[str], TargetSpec],
     for name, rs in by_table.items():
         spec = spec_for(name)
         first = rs[0]
+        typed = next((r for r in rs if r.get("cast_column") and r.get("cast_type")), None)
+        if typed is not None:
+            spec = spec.with_type(typed["cast_column"], control_type(typed["cast_type"], spec.audit_type))
         if list(first["keys"]) != spec.key_cols:
             raise ValueError(f"plan key {first['keys']} differs from the key of {name}: {spec.key_cols}")
         purge = first["purge"] and first["purge_days"] is not None
