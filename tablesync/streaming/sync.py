@@ -144,12 +144,15 @@ def make_batch_fn(job: SyncJob):
 
     def run(raw: DataFrame, batch_id: int) -> None:
         spark = raw.sparkSession
-        if raw.isEmpty():
-            return
         started = time.time()
+        # Persist the parsed batch first: the partitions the emptiness test reads stay cached,
+        # so no part of the source is read twice.
+        parsed = parse_envelope(raw).persist()
+        if parsed.isEmpty():
+            parsed.unpersist()
+            return
         job.maybe_refresh(started)
         as_of = job.as_of if job.as_of is not None else F.lit(time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(started)))
-        parsed = parse_envelope(raw).persist()
         try:
             good, bad_env = split_bad(parsed)
             quarantine = [bad_env.select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(None).cast("string").alias("target"),
