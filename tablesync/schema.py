@@ -51,12 +51,18 @@ def data_columns(cols: list[str] | DataFrame | T.StructType) -> list[str]:
 
 @dataclass(frozen=True)
 class TargetSpec:
-    """What a sync target looks like: name, data schema, key and audit-date type."""
+    """What a sync target looks like: name, data schema, key and audit-date type.
+
+    ``seq_column`` (optional): a string column, after the audit columns, holding the log
+    position of the last change applied to the row. With it, a change older than the stored
+    position is ignored, so a late event cannot overwrite or delete newer state.
+    """
 
     name: str
     data_schema: T.StructType
     keys: tuple[str, ...]
     audit_type: T.DataType = field(default_factory=T.TimestampNTZType)
+    seq_column: str | None = None
 
     def __post_init__(self):
         names = set(self.data_schema.fieldNames())
@@ -74,9 +80,11 @@ class TargetSpec:
 
     @property
     def table_schema(self) -> T.StructType:
+        seq = [T.StructField(self.seq_column, T.StringType())] if self.seq_column else []
         return T.StructType(
             list(self.data_schema.fields)
             + [T.StructField(INSERT_DATE, self.audit_type), T.StructField(UPDATE_DATE, self.audit_type)]
+            + seq
         )
 
     @property
@@ -88,14 +96,15 @@ class TargetSpec:
         if column not in self.data_cols:
             raise ValueError(f"column {column!r} not in {self.name}: {self.data_cols}")
         fields = [T.StructField(f.name, dtype, f.nullable) if f.name == column else f for f in self.data_schema.fields]
-        return TargetSpec(self.name, T.StructType(fields), self.keys, self.audit_type)
+        return TargetSpec(self.name, T.StructType(fields), self.keys, self.audit_type, self.seq_column)
 
     @classmethod
-    def of(cls, name: str, table_schema: T.StructType, keys, audit_type: T.DataType | None = None) -> "TargetSpec":
-        """Spec from a full table schema (audit columns, if present, are split off)."""
-        data = T.StructType([f for f in table_schema.fields if f.name not in AUDIT_COLUMNS])
+    def of(cls, name: str, table_schema: T.StructType, keys, audit_type: T.DataType | None = None,
+           seq_column: str | None = None) -> "TargetSpec":
+        """Spec from a full table schema (audit and sequence columns, if present, are split off)."""
+        data = T.StructType([f for f in table_schema.fields if f.name not in AUDIT_COLUMNS and f.name != seq_column])
         if audit_type is None:
             audit_type = (
                 table_schema[INSERT_DATE].dataType if INSERT_DATE in table_schema.fieldNames() else T.TimestampNTZType()
             )
-        return cls(name, data, tuple(key_list(keys)), audit_type)
+        return cls(name, data, tuple(key_list(keys)), audit_type, seq_column)

@@ -190,3 +190,27 @@ def test_key_change_chain_in_one_batch(spark):
     assert out == [(4, "a", "hop3", OLD, AS_OF), (9, "a", "other", OLD, OLD)]
     out_u = rows(apply_phases(t, ch, SPEC, ["I", "U", "D"], AS_OF))
     assert out_u == out
+
+
+@pytest.mark.parametrize("strategy", ["general", "broadcast"])
+def test_sequence_guard_ignores_late_changes(spark, strategy):
+    """With a sequence column, an event older than the stored row neither overwrites nor deletes it."""
+    spec = TargetSpec("T.ITEMS", SPEC.data_schema, SPEC.keys, seq_column="_last_pos")
+    newer = "2024-01-02 00:00:00.000000|00000000000000000005"
+    t = target(spark, [(1, "a", "x"), (2, "a", "y"), (3, "a", "z")]).withColumn("_last_pos", F.lit(newer))
+    day1, day3 = "2024-01-01 00:00:00.000000", "2024-01-03 00:00:00.000000"
+    ch, _, _ = changes(spark, [
+        env("U", 1, {"k": 1, "k2": "a", "v": "late"}, ts=day1),
+        env("D", 2, before={"k": 2, "k2": "a"}, ts=day1),
+        env("U", 3, {"k": 3, "k2": "a", "v": "fresh"}, ts=day3),
+        env("I", 4, {"k": 4, "k2": "a", "v": "new"}, ts=day1),
+    ])
+    out = merge_changes(t, collapse_changes(ch, SPEC.key_cols), spec, AS_OF, strategy=strategy)
+    got = {r["k"]: (r["v"], r["_last_pos"]) for r in out.collect()}
+    assert got == {
+        1: ("x", newer),
+        2: ("y", newer),
+        3: ("fresh", "2024-01-03 00:00:00.000000|00000000000000000003"),
+        4: ("new", "2024-01-01 00:00:00.000000|00000000000000000004"),
+    }
+    assert out.columns == spec.table_schema.fieldNames()
