@@ -39,3 +39,68 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op6_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .subword import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import replace_entities
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_entities(docs, key="tablesync-surrogates")
+
+
+@query
+def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dups import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_line_block_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_spherical_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vectors import link_vectors
+
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bm25 import top_k_search
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    queries = docs.where(F.col("doc_id") % 50 == 0).withColumnRenamed("doc_id", "query_id")
+    return top_k_search(docs, queries)
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files: the table has no paths, so source and id make them, with a LICENSE in every tenth place."""
+    from .licenses import scan_licenses
+
+    name = F.when(F.col("doc_id") % 10 == 0, "LICENSE").otherwise(F.concat(F.lit("file"), F.col("doc_id") % 10, F.lit(".txt")))
+    place = [F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100) % 10, F.floor(F.col("doc_id") / 10) % 10]
+    path = F.concat_ws("/", F.col("source"), *[F.concat(F.lit("d"), p) for p in place], name)
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))

@@ -62,9 +62,12 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         lo = hi
 
 
-def spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and for each row the index of its first word (and the total)."""
-    inside = ~SPACE[buf]
+def spans(buf: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and for each row the index of its first word (and the total).
+
+    ``apart`` says which bytes part words.
+    """
+    inside = ~apart[buf]
     edge = np.zeros(len(buf) + 1, bool)
     edge[offsets] = True
     start = inside.copy()
