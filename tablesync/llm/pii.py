@@ -117,7 +117,7 @@ def _scrambled(text: Column, seed: Column, hexadecimal: Column = F.lit(False)) -
 
     def one(c: Column, at: Column) -> Column:
         out = F.when(c.rlike("[0-9]"), _draw(seed, at, 10).cast("string"))
-        out = out.when(hexadecimal & c.rlike("[a-f]"), _letters("abcdef", seed, at)).when(c.rlike("[a-z]"), _letters(_LOWER, seed, at)).when(c.rlike("[A-Z]"), _letters(_UPPER, seed, at))
+        out = out.when(hexadecimal & c.rlike("[a-f]"), _letters("abcdef", seed, at)).when(hexadecimal & c.rlike("[A-F]"), _letters("ABCDEF", seed, at)).when(c.rlike("[a-z]"), _letters(_LOWER, seed, at)).when(c.rlike("[A-Z]"), _letters(_UPPER, seed, at))
         for script, chars in ((r"\p{IsCyrillic}", _CYRILLIC), (r"\p{IsGreek}", _GREEK), (r"\p{IsLatin}", _ACCENTED)):
             out = out.when(c.rlike(script) & c.rlike(r"\p{Lu}"), F.upper(_letters(chars, seed, at))).when(c.rlike(script), _letters(chars, seed, at))
         return out.otherwise(c)
@@ -176,7 +176,7 @@ def surrogate(key: str, kind: Column, canon: Column, gender: Column, attempt: Co
     out = F.when(kind == "email", email).when(kind == "ip", F.array_join(F.transform(F.split(canon, r"\."), octet), "."))
     out = out.when(kind.isin("phone", "ssn"), number).when(kind == "card", _card(canon, seed)).when(kind == "key", access)
     out = out.when(kind == "iban", account).when(kind == "name", _name(canon, gender, seed, attempt))
-    return out.otherwise(_scrambled(canon, seed, canon.rlike("^[0-9a-f]+$")))
+    return out.otherwise(_scrambled(canon, seed, canon.rlike("^([0-9a-f]+|[0-9A-F]+)$")))
 
 
 def rendered(core: Column, kind: Column, new: Column) -> Column:

@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from .words import hash_spans, slices
 
-CACHE_SEGMENTS = 1_500_000  # kept by a worker; beyond it, the table starts anew
+CACHE_SEGMENTS = 700_000  # kept by a worker; beyond it, the table starts anew
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
