@@ -100,6 +100,7 @@ def block_links(visits: DataFrame, dims: int, cosine: float, block_rows: int) ->
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     queries = rows.withColumn("i", F.pmod(F.xxhash64("node"), "q").cast("int")).withColumn("j", every("m")).select("cell", "i", "j", "node", "v")
     members = rows.where("home").withColumn("j", F.pmod(F.xxhash64("node", F.lit(1)), "m").cast("int")).withColumn("i", every("q")).select("cell", "i", "j", "node", "copies", "v")
+    members = members.toDF(*members.columns)  # columns of its own: both sides come from one table
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         a = left["node"].to_numpy().astype(np.int64)
