@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -14,6 +15,7 @@ ORACLE: dict[str, str] = {}
 
 
 def query(fn):
+    """Register a query under its function's name."""
     QUERIES[fn.__name__] = fn
     return fn
 
@@ -97,10 +99,15 @@ def op2_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as files: the table has no paths, so source and id make them, with a LICENSE in every tenth place."""
+    """The documents as files: the table has no paths, so source and id make them, with license files on two levels."""
     from .licenses import scan_licenses
 
-    name = F.when(F.col("doc_id") % 10 == 0, "LICENSE").otherwise(F.concat(F.lit("file"), F.col("doc_id") % 10, F.lit(".txt")))
-    place = [F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100) % 10, F.floor(F.col("doc_id") / 10) % 10]
-    path = F.concat_ws("/", F.col("source"), *[F.concat(F.lit("d"), p) for p in place], name)
+    n = F.floor(F.col("doc_id") / 20)
+    upper = F.concat_ws("/", F.col("source"), F.concat(F.lit("d"), F.floor(n / 50)))
+    lower = F.concat_ws("/", upper, F.concat(F.lit("e"), F.floor(n / 10) % 5))
+    path = F.when(n % 50 == 0, F.concat_ws("/", upper, F.lit("LICENSE"))).when(n % 5 == 0, F.concat_ws("/", lower, F.concat(F.lit("LICENSE."), n)))
+    path = path.otherwise(F.concat_ws("/", lower, F.concat(F.lit("file"), n)))
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
+
+
+ORACLE.update(oracles.all_sql())
