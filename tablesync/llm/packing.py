@@ -2,9 +2,10 @@
 
 Documents become token ids plus an end id; only those longer than a sequence are cut. Pieces are
 dealt to partitions by a hash; each partition packs best-fit decreasing and gets a lower bound on its
-bins from dual feasible functions. Where bins equal the bound, nothing better exists and the partition is done.
-Partitions with a gap give up their bins that are not full; the released pieces are dealt anew, mixed
-with those of other partitions, to fewer partitions and packed again, while that saves bins.
+bins from dual feasible functions. Where bins equal the bound, nothing better exists for these pieces alone.
+Partitions with a gap give up their bins that are not full, the others only their emptiest ones (what rounding up
+leaves); the released pieces are dealt anew, mixed with those of other partitions, to fewer partitions
+and packed again, while that saves bins.
 
 Defined results: a null or empty text is the end id alone (one piece of length 1); repeated rows are
 packed as often as they occur; null ids are kept; an empty table gives no rows.
@@ -142,7 +143,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 1024, per_part: int = 40_000,
     # may be uneven by the copies of one very short document, whose pieces are small rows.
     placed = stash(_pack_round(pieces, parts_for(pieces.count(), per_part), 0, capacity), "pack-0")
     for number in range(1, rounds):
-        gap = (F.col("part_bins") > F.col("part_bound")) & (F.col("room") > 0)
+        gap = (F.col("room") > 0) & ((F.col("part_bins") > F.col("part_bound")) | (F.col("room") >= capacity // 32))
         loose = placed.where(gap)
         before = loose.agg(F.count("*").alias("n"), F.sum(F.when(F.col("offset") == 0, 1)).alias("bins")).first()
         if not before["n"]:

@@ -44,7 +44,7 @@ SECRET_WORDS = ["password", "passwd", "pwd", "secret", "token", "api_key", "apik
 
 _SECRET = r"(?i:(?<![\p{L}\p{N}])(?:" + "|".join(SECRET_WORDS) + r")\s{0,3}[=:]\s{0,3}[\"']?[^\s\"']{6,}[\"']?)"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-_TITLE = "(?:" + "|".join(t for titles in TITLES.values() for t in titles) + ")"
+_TITLE = "(?:" + "|".join(t for titles in TITLES.values() for t in titles) + r")(?!\p{L})"
 _CAPITAL = r"\p{Lu}[\p{L}'’-]+"
 
 #: Kind and pattern; where two could match at one place, the first counts.
@@ -112,8 +112,9 @@ _GREEK = "αβγδεζηθικλμνξοπρστυφχψω"
 _ACCENTED = "àáâäèéêëìíîïòóôöùúûü"
 
 
-def _scrambled(text: Column, seed: Column, hexadecimal: Column = F.lit(False)) -> Column:
+def _scrambled(text: Column, seed: Column, hexadecimal: Column | None = None) -> Column:
     """Every letter and digit replaced by one of its class; all else stays."""
+    hexadecimal = F.lit(False) if hexadecimal is None else hexadecimal
 
     def one(c: Column, at: Column) -> Column:
         out = F.when(c.rlike("[0-9]"), _draw(seed, at, 10).cast("string"))
@@ -176,7 +177,7 @@ def surrogate(key: str, kind: Column, canon: Column, gender: Column, attempt: Co
     out = F.when(kind == "email", email).when(kind == "ip", F.array_join(F.transform(F.split(canon, r"\."), octet), "."))
     out = out.when(kind.isin("phone", "ssn"), number).when(kind == "card", _card(canon, seed)).when(kind == "key", access)
     out = out.when(kind == "iban", account).when(kind == "name", _name(canon, gender, seed, attempt))
-    return out.otherwise(_scrambled(canon, seed, canon.rlike("^([0-9a-f]+|[0-9A-F]+)$")))
+    return out.otherwise(_scrambled(canon, seed, canon.rlike(r"^([0-9a-f]+|[0-9A-F]+)\W*$")))
 
 
 def rendered(core: Column, kind: Column, new: Column) -> Column:
