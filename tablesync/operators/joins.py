@@ -8,18 +8,22 @@ import operator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default bound on rows of a side that may be broadcast (about tens of MB for narrow rows).
+# Default bounds on a side that may be broadcast.
 DEFAULT_BROADCAST_ROWS = 500_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True if ``df`` has at most ``n`` rows; reads no more than n+1 rows of its output."""
-    return df.limit(n + 1).count() <= n
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether all of ``df`` is within both bounds; rows are measured by their JSON text, at most max_rows + 1 of them."""
+    some = df.limit(max_rows + 1)
+    size = some.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))).alias("b")).first()
+    return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """(df or broadcast(df), was_broadcast), by a row-count check against ``max_rows``."""
-    if has_at_most(df, max_rows):
+    """(df or broadcast(df), was_broadcast), by a check of its rows and bytes. ``df`` is computed for the check:
+    for a result of a heavy plan, let adaptive execution choose instead."""
+    if fits_broadcast(df, max_rows):
         return F.broadcast(df), True
     return df, False
 

@@ -21,15 +21,16 @@ def expired(df: DataFrame, days: int, as_of=None, column: str | None = None) ->
     column = column or UPDATE_DATE
     dtype = df.schema[column].dataType
     ts_type = dtype if dtype.typeName() in ("timestamp", "timestamp_ntz") else "timestamp_ntz"
-    date = F.col(column).cast(ts_type)
-    return plus_days(date, days) <= as_of_column(as_of, ts_type)
+    # the column stands alone, so that the comparison reaches the scan
+    date = F.col(column) if dtype.typeName() == ts_type else F.col(column).cast(ts_type)
+    return date <= plus_days(as_of_column(as_of, ts_type), -days)
 
 
 def purge_expired(df: DataFrame, days: int, as_of=None, column: str | None = None, keys: list[str] | None = None) -> DataFrame:
     """Rows left after removing expired ones (by row, or by key when ``keys`` is given)."""
     gone = expired(df, days, as_of, column)
     if not keys:
-        return df.where(~F.coalesce(gone, F.lit(False)))
+        return df.where(F.col(column or UPDATE_DATE).isNull() | ~gone)
     expired_keys = df.where(gone).select(*keys).distinct()
     return df.join(expired_keys, list(keys), "left_anti")
 

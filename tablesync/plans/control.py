@@ -7,7 +7,7 @@ driver, which then drives the per-table steps while the data stays distributed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,13 +44,13 @@ HEALTH_SCHEMA = T.StructType([T.StructField("ID_FK", T.IntegerType()), T.StructF
 PLAN_COLS = [
     "ID", "JOBNAME", "SEQUENCE", "table_name", "tag_column", "db_table", "keys", "op_type", "sink_kind",
     "is_file_conn", "database_name", "location1", "location2", "purge", "purge_days", "purge_column",
-    "cast_column", "cast_type", "topics", "last_run", "health_purge_due",
+    "cast_column", "cast_type", "topics", "last_run", "health_purge_due", "position",
 ]
 
 
 def build_plan(master: DataFrame, table_master: DataFrame, health: DataFrame, job: str | None = None, as_of=None,
                health_days: int = HEALTH_PURGE_DAYS) -> DataFrame:
-    """Sync plan of one job (or all jobs), one row per master row, ordered by SEQUENCE, ID.
+    """Sync plan of one job (or all jobs), one row per master row; ``position`` numbers a job's rows by SEQUENCE, ID.
 
     A master row without table_master or health rows still yields a plan row (NULLs there);
     several table_master rows for one id resolve to the one with the greatest column name.
@@ -84,12 +84,13 @@ def build_plan(master: DataFrame, table_master: DataFrame, health: DataFrame, jo
         trimmed_list(F.col("INPUT_KAFKA_TOPIC")).alias("topics"),
         "last_run",
         F.coalesce(age_days(F.col("last_run"), now) >= F.lit(health_days), F.lit(False)).alias("health_purge_due"),
+        F.row_number().over(Window.partitionBy("JOBNAME").orderBy("SEQUENCE", "ID")).alias("position"),
     )
 
 
 def plan_rows(plan: DataFrame) -> list[dict]:
     """The plan of one job as driver dicts, in order (control rows only, a bounded set)."""
-    return [r.asDict(recursive=True) for r in plan.orderBy("SEQUENCE", "ID").collect()]
+    return [r.asDict(recursive=True) for r in plan.orderBy("JOBNAME", "position").collect()]
 
 
 def validate_topics(plan: DataFrame, configured: list[str]) -> None:

@@ -1,15 +1,13 @@
 """nested metric documents built from ``lineitem``, shaped like the reference's port-metric
 report (storage -> director -> groups of metrics -> data points).
 
-Mapping: one document per supplier (``storageid``); directors are the parts it supplied;
-``portMetricDataList`` holds one group per line status present, in status order; a metric is a return flag; its data points are the lines, sorted by
-(ship date, order key, line number, quantity), with ``value`` = quantity and ``ts`` = ship date.
+Mapping: one document per block of ``DOC_ORDERS`` consecutive order keys, a natural key whose size does not grow with
+the table; storages are return flags, directors line statuses; ``portMetricDataList`` holds one group per line
+number present, in order; a metric is the last digit of the supplier; its data points are the lines, sorted by
+(ship date, order key, supplier, part, quantity), with ``value`` = quantity and ``ts`` = ship date.
 
-Documents are bounded: a supplier with more than ``chunk_points`` lines is split over several
-documents by a hash of each line (including its scan position, so exact copies spread too),
-so no single group ever collects an unbounded number of rows. All grouping levels share one
-shuffle: the lines are hash-partitioned once by the document key and every later grouping
-key contains it.
+All grouping levels share one shuffle: the lines are hash-partitioned once by the document key and every later grouping
+key contains it. No supplier, part or flag is a key of its own, so none of them can be hot.
 """
 
 from __future__ import annotations
@@ -18,10 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import broadcast_if_bounded
 from ..operators.nested import Level
 
-CHUNK_POINTS = 4096
+DOC_ORDERS = 1024
 
 POINT = T.StructType([
     T.StructField("value", T.DoubleType()),
@@ -47,53 +44,45 @@ DOCUMENT = T.StructType([
 ])
 
 
-def metric_documents(lineitem: DataFrame, chunk_points: int = CHUNK_POINTS) -> DataFrame:
-    cols = ["l_suppkey", "l_partkey", "l_returnflag", "l_linestatus", "l_quantity", "l_shipdate", "l_orderkey", "l_linenumber"]
-    # The spread hash is taken right at the scan, where the row position is stable on a retry.
-    li = lineitem.select(*cols, F.xxhash64(*cols, F.monotonically_increasing_id()).alias("_spread"))
-    counts = li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("_n"))
-    counts, _ = broadcast_if_bounded(counts)
-    n_chunks = F.ceil(F.col("_n") / F.lit(chunk_points))
-    pts = (
-        li.join(counts, "l_suppkey")
-        .withColumn("chunk", F.when(n_chunks <= 1, F.lit(0)).otherwise(F.pmod(F.col("_spread"), n_chunks)).cast("int"))
-        .drop("_n", "_spread")
-        .repartition("l_suppkey", "chunk")
-    )
-    doc_key = ["l_suppkey", "chunk"]
+def metric_documents(lineitem: DataFrame) -> DataFrame:
+    block = F.floor(F.col("l_orderkey") / DOC_ORDERS).cast("long").alias("block")
+    metric = F.pmod("l_suppkey", F.lit(10)).cast("string").alias("metric")
+    cols = ["l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_shipdate", "l_orderkey", "l_suppkey", "l_partkey"]
+    pts = lineitem.select(block, metric, *cols).repartition("block")
     sort_point = F.struct(
-        F.col("l_shipdate").alias("s"), F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("l"), F.col("l_quantity").alias("q")
+        F.col("l_shipdate").alias("s"), F.col("l_orderkey").alias("o"), F.col("l_suppkey").alias("u"), F.col("l_partkey").alias("p"),
+        F.col("l_quantity").alias("q"), F.col("l_linenumber").alias("l"),
     )
-    metrics = pts.groupBy(*doc_key, "l_partkey", "l_linestatus", "l_returnflag").agg(
+    metrics = pts.groupBy("block", "l_returnflag", "l_linestatus", "l_linenumber", "metric").agg(
         F.array_sort(F.collect_list(sort_point)).alias("_pts"), F.max("l_shipdate").alias("_last")
     ).select(
-        *doc_key, "l_partkey", "l_linestatus", "_last",
+        "block", "l_returnflag", "l_linestatus", "l_linenumber", "_last",
         F.struct(
-            F.col("l_returnflag").alias("metricid"),
+            F.col("metric").alias("metricid"),
             F.transform("_pts", lambda p: F.struct(
                 p["q"].alias("value"), p["s"].alias("ts"), p["o"].alias("order_key"), p["l"].alias("line_no"))).alias("data"),
         ).alias("m"),
     )
-    groups = metrics.groupBy(*doc_key, "l_partkey", "l_linestatus").agg(
+    groups = metrics.groupBy("block", "l_returnflag", "l_linestatus", "l_linenumber").agg(
         F.array_sort(F.collect_list("m")).alias("g"), F.max("_last").alias("_last")
     )
-    directors = groups.groupBy(*doc_key, "l_partkey").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("l_linestatus").alias("k"), F.col("g").alias("g")))).alias("_gs"),
+    directors = groups.groupBy("block", "l_returnflag", "l_linestatus").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("k"), F.col("g").alias("g")))).alias("_gs"),
         F.max("_last").alias("_last"),
     ).select(
-        *doc_key, "_last",
-        F.struct(
-            F.col("l_partkey").cast("string").alias("directorId"),
-            F.transform("_gs", lambda x: x["g"]).alias("portMetricDataList"),
-        ).alias("d"),
+        "block", "l_returnflag", "_last",
+        F.struct(F.col("l_linestatus").alias("directorId"), F.transform("_gs", lambda x: x["g"]).alias("portMetricDataList")).alias("d"),
+    )
+    storages = directors.groupBy("block", "l_returnflag").agg(F.array_sort(F.collect_list("d")).alias("dirs"), F.max("_last").alias("_last")).select(
+        "block", "_last", F.struct(F.col("l_returnflag").alias("storageid"), F.col("dirs").alias("fedirectorList")).alias("st")
     )
-    docs = directors.groupBy(*doc_key).agg(F.array_sort(F.collect_list("d")).alias("dirs"), F.max("_last").alias("_last"))
+    docs = storages.groupBy("block").agg(F.array_sort(F.collect_list("st")).alias("storageidlist"), F.max("_last").alias("_last"))
     return docs.select(
-        F.format_string("s%d-%d", F.col("l_suppkey"), F.col("chunk")).alias("ip"),
+        F.format_string("orders-%d", F.col("block")).alias("ip"),
         F.date_format("_last", "yyyy-MM-dd HH:mm:ss").alias("ts"),
         F.lit("0").alias("errorcode"), F.lit("").alias("errormessage"), F.lit("port").alias("label"),
         F.lit("ok").alias("status"), F.lit("fe").alias("sublabel"),
-        F.array(F.struct(F.col("l_suppkey").cast("string").alias("storageid"), F.col("dirs").alias("fedirectorList"))).alias("storageidlist"),
+        "storageidlist",
     )
 
 

@@ -8,7 +8,7 @@ priorities stay untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,6 @@ ORDERS_TABLE = "TPCH.ORDERS"
 USERS_TABLE = "APP.USER_STATE"
 CHANGE_TS = "2024-01-01 00:00:00.000000"
 PRIO_INSERT, PRIO_UPDATE, PRIO_DELETE = "1-URGENT", "2-HIGH", "3-MEDIUM"
-KEY_SHIFT = 1_000_000
 EVENTS_CUT = "2024-01-15 00:00:00"
 
 
@@ -59,27 +58,47 @@ def _changed_image() -> list:
     ]
 
 
-def order_envelopes(orders: DataFrame, spec: TargetSpec, key_shift: int = 0,
-                    priorities: tuple[str, ...] = (PRIO_INSERT, PRIO_UPDATE, PRIO_DELETE),
+def moved_key(step: int = 1) -> Column:
+    """A key that no order has (they are not negative), another for each order and step."""
+    return -F.col("o_orderkey") * 8 - step
+
+
+def order_envelopes(orders: DataFrame, spec: TargetSpec, move_keys: bool = False,
+                    priorities: tuple[str, ...] | None = (PRIO_INSERT, PRIO_UPDATE, PRIO_DELETE),
                     update_prio: str = PRIO_UPDATE, insert_prio: str = PRIO_INSERT) -> DataFrame:
-    """F2 (and F3 with ``key_shift``): envelopes in ``value`` for the change classes."""
+    """F2 (and F3 with ``move_keys``): envelopes in ``value`` for the change classes (``priorities`` None: for all orders;
+    those neither inserted nor updated are deleted)."""
     prio = F.col("o_orderpriority")
     op = F.when(prio == insert_prio, "I").when(prio == update_prio, "U").otherwise("D")
     after_img = _changed_image()
-    if key_shift:
-        after_img[0] = (F.col("o_orderkey") + key_shift).alias("o_orderkey")
+    if move_keys:
+        after_img[0] = moved_key().alias("o_orderkey")
     after = F.when(op != "D", F.struct(*after_img))
     before = F.when(op != "I", F.struct(*[F.col(c) for c in ORDER_COLS]))
-    src = as_topic(orders.where(prio.isin(*priorities)))
+    src = as_topic(orders if priorities is None else orders.where(prio.isin(*priorities)))
     return envelope_columns(
         src, spec, op, F.lit(CHANGE_TS), F.lpad(F.col("o_orderkey").cast("string"), 20, "0"), ORDERS_TABLE, before, after
     )
 
 
+def order_steps(orders: DataFrame, spec: TargetSpec, steps: list[tuple[str, Column | None, Column | None, str]]) -> DataFrame:
+    """Several events of each updated order, in order: (op, key before, key after, status after)."""
+    rest = lambda status: [F.lit(status).alias("o_orderstatus") if c == "o_orderstatus" else F.col(c) for c in ORDER_COLS[1:]]
+    image = lambda key, status: F.struct(key.alias("o_orderkey"), *rest(status)) if key is not None else F.lit(None).cast(spec.data_schema)
+    events = F.array(*[
+        F.struct(F.lit(n).alias("n"), F.lit(op).alias("op"), image(before, "O").alias("b"), image(after, status).alias("a"))
+        for n, (op, before, after, status) in enumerate(steps)
+    ])
+    rows = as_topic(orders.where(F.col("o_orderpriority") == PRIO_UPDATE)).select(F.col("o_orderkey").alias("k"), F.explode(events).alias("e")).select("k", "e.*")
+    pos = F.lpad((F.col("k") * 10 + F.col("n")).cast("string"), 20, "0")
+    return envelope_columns(rows, spec, F.col("op"), F.lit(CHANGE_TS), pos, ORDERS_TABLE, F.col("b"), F.col("a"))
+
+
 USER_COLS = ["user_id", "event_type", "value", "last_ts", "last_event_id"]
 
 
-def users_spec(events: DataFrame) -> TargetSpec:
+def users_spec(events: DataFrame, ordered: bool = False) -> TargetSpec:
+    """``ordered``: with log position and tombstones, so that batches may arrive in any order."""
     data = T.StructType(
         [
             T.StructField("user_id", T.LongType()),
@@ -89,7 +108,8 @@ def users_spec(events: DataFrame) -> TargetSpec:
             T.StructField("last_event_id", T.LongType()),
         ]
     )
-    return TargetSpec(USERS_TABLE, data, ("user_id",), events.schema["ts"].dataType)
+    extra = ("_last_pos", "_deleted") if ordered else (None, None)
+    return TargetSpec(USERS_TABLE, data, ("user_id",), events.schema["ts"].dataType, *extra)
 
 
 def event_envelopes(events: DataFrame, spec: TargetSpec) -> DataFrame:

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.changes import apply_changes, apply_phases, collapse_changes, dedupe, merge_changes
+from ..operators.changes import apply_changes, apply_phases, collapse_changes, dedupe, merge_changes, net_changes
 from ..operators.joins import join_composite_key, rename_prefix
 from ..schema import data_columns
-from ..sources.envelope import (change_rows, envelopes_move_keys, parse_envelope, route, route_by_op, split_bad,
-                                struct_expand)
+from ..sources.envelope import change_rows, log_shape, parse_envelope, route, split_bad, struct_expand
 from . import fixtures as fx
 from .registry import register
 
@@ -43,16 +42,16 @@ _ALL = "'1-URGENT', '2-HIGH', '3-MEDIUM'"
 MERGE_ORDERS_SQL = f"with {_TGT_SQL}, {_chg_sql(_ALL)} {_MERGE_SELECT}"
 
 
-def net(changes: DataFrame, routed: DataFrame, spec) -> tuple[DataFrame, bool]:
-    """(collapsed changes, whether any change moves a key) - the check parses key fields only."""
-    return collapse_changes(changes, spec.key_cols), envelopes_move_keys(routed, spec)
+def net(target: DataFrame, changes: DataFrame, routed: DataFrame, spec) -> DataFrame:
+    """Net changes; whether keys move or come back after a delete is looked up in the key fields only."""
+    return net_changes(target, changes, spec.key_cols, **log_shape(routed, spec))
 
 
-def order_changes(spark: SparkSession, sf_dir: str, key_shift: int = 0, **kw):
+def order_changes(spark: SparkSession, sf_dir: str, **kw):
     """(orders, spec, target, changes): envelopes parsed, checked, routed and shaped."""
     orders = fx.table(spark, sf_dir, "orders")
     spec = fx.orders_spec(orders)
-    env = parse_envelope(fx.order_envelopes(orders, spec, key_shift=key_shift, **kw))
+    env = parse_envelope(fx.order_envelopes(orders, spec, **kw))
     good, _bad = split_bad(env)
     routed = route(good, fx.ORDERS_TABLE)
     changes, _bad_rows = change_rows(routed, spec)
@@ -63,34 +62,32 @@ def order_changes(spark: SparkSession, sf_dir: str, key_shift: int = 0, **kw):
 def merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: what does ``orders`` hold after the change log? General (full outer) path."""
     _, spec, target, changes, routed = order_changes(spark, sf_dir)
-    collapsed, moves = net(changes, routed, spec)
-    return merge_changes(target, collapsed, spec, fx.AS_OF, strategy="general", key_changes=moves)
+    return merge_changes(target, net(target, changes, routed, spec), spec, fx.AS_OF, strategy="general")
 
 
 @register("merge_orders_small", MERGE_ORDERS_SQL)
 def merge_orders_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same merge by the bounded-batch path (size-checked broadcast; target not shuffled)."""
     _, spec, target, changes, routed = order_changes(spark, sf_dir)
-    collapsed, moves = net(changes, routed, spec)
-    return merge_changes(target, collapsed, spec, fx.AS_OF, strategy="auto", key_changes=moves)
+    return merge_changes(target, net(target, changes, routed, spec), spec, fx.AS_OF, strategy="auto")
 
 
 @register("apply_insert", f"with {_TGT_SQL}, {_chg_sql(chr(39) + '1-URGENT' + chr(39))} {_MERGE_SELECT}")
 def apply_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, spec, target, changes, routed = order_changes(spark, sf_dir)
-    return apply_changes(target, changes, spec, "I", fx.AS_OF, key_changes=envelopes_move_keys(routed, spec))
+    return apply_changes(target, changes, spec, "I", fx.AS_OF, **log_shape(routed, spec))
 
 
 @register("apply_update", f"with {_TGT_SQL}, {_chg_sql(chr(39) + '2-HIGH' + chr(39))} {_MERGE_SELECT}")
 def apply_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, spec, target, changes, routed = order_changes(spark, sf_dir)
-    return apply_changes(target, changes, spec, "U", fx.AS_OF, key_changes=envelopes_move_keys(routed, spec))
+    return apply_changes(target, changes, spec, "U", fx.AS_OF, **log_shape(routed, spec))
 
 
 @register("apply_delete", f"with {_TGT_SQL}, {_chg_sql(chr(39) + '3-MEDIUM' + chr(39))} {_MERGE_SELECT}")
 def apply_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, spec, target, changes, routed = order_changes(spark, sf_dir)
-    return apply_changes(target, changes, spec, "D", fx.AS_OF, key_changes=envelopes_move_keys(routed, spec))
+    return apply_changes(target, changes, spec, "D", fx.AS_OF, **log_shape(routed, spec))
 
 
 _UNMATCHED_SQL = f"""
@@ -107,12 +104,12 @@ def apply_update_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, spec, target, changes, routed = order_changes(
         spark, sf_dir, priorities=(fx.PRIO_INSERT,), update_prio=fx.PRIO_INSERT, insert_prio="none"
     )
-    return apply_changes(target, changes, spec, "U", fx.AS_OF, key_changes=envelopes_move_keys(routed, spec))
+    return apply_changes(target, changes, spec, "U", fx.AS_OF, **log_shape(routed, spec))
 
 
 _KEYCHANGE_SQL = f"""
 with {_TGT_SQL},
-moved as (select o_orderkey as old_key, o_orderkey + 1000000 as o_orderkey, o_custkey, 'X' as o_orderstatus,
+moved as (select o_orderkey as old_key, -o_orderkey * 8 - 1 as o_orderkey, o_custkey, 'X' as o_orderstatus,
                  o_totalprice + 100 as o_totalprice, o_orderdate, o_orderpriority
           from orders where o_orderpriority = '2-HIGH')
 select t.* from tgt t where not exists (select 1 from moved m where m.old_key = t.o_orderkey)
@@ -126,8 +123,8 @@ from moved m left join tgt t on t.o_orderkey = m.old_key"""
 @register("apply_update_keychange", _KEYCHANGE_SQL)
 def apply_update_keychange(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key-changing updates: old key deleted, new key upserted, INSERT_DATE carried over."""
-    _, spec, target, changes, routed = order_changes(spark, sf_dir, key_shift=fx.KEY_SHIFT, priorities=(fx.PRIO_UPDATE,))
-    return apply_changes(target, changes, spec, None, fx.AS_OF, key_changes=envelopes_move_keys(routed, spec))
+    _, spec, target, changes, routed = order_changes(spark, sf_dir, move_keys=True, priorities=(fx.PRIO_UPDATE,))
+    return apply_changes(target, changes, spec, None, fx.AS_OF, **log_shape(routed, spec))
 
 
 @register("apply_phases", MERGE_ORDERS_SQL)
@@ -135,8 +132,57 @@ def apply_phases_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I, then U, then D, one phase each (control-table order); same rows as the one-pass merge
     here because every key has one change."""
     _, spec, target, changes, routed = order_changes(spark, sf_dir)
-    return apply_phases(target, changes, spec, ["I", "U", "D"], fx.AS_OF, strategy="general",
-                        key_changes=envelopes_move_keys(routed, spec))
+    return apply_phases(target, changes, spec, ["I", "U", "D"], fx.AS_OF, strategy="general", **log_shape(routed, spec))
+
+
+# ---- several events of a key in one batch ------------------------------------------------
+
+def _steps_sql(key: str, status: str, insert_date: str) -> str:
+    """The updated orders end at ``key``; all other rows of the target stay."""
+    return f"""
+with {_TGT_SQL}
+select * from tgt where o_orderpriority <> '2-HIGH'
+union all
+select {key} as o_orderkey, o_custkey, '{status}' as o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       {insert_date} as INSERT_DATE, timestamp '2024-01-01 00:00:00' as UPDATE_DATE
+from tgt where o_orderpriority = '2-HIGH'"""
+
+
+def _stepped(spark: SparkSession, sf_dir: str, steps, insert_mode: str = "replace") -> DataFrame:
+    orders = fx.table(spark, sf_dir, "orders")
+    spec = fx.orders_spec(orders)
+    routed = route(split_bad(parse_envelope(fx.order_steps(orders, spec, steps)))[0], fx.ORDERS_TABLE)
+    changes, _ = change_rows(routed, spec)
+    return apply_changes(fx.order_target(orders), changes, spec, None, fx.AS_OF, insert_mode, **log_shape(routed, spec))
+
+
+CHAIN_SQL = _steps_sql("-o_orderkey * 8 - 3", "C", "INSERT_DATE")
+
+
+def chain_steps() -> list:
+    """k -> a -> b -> c."""
+    k, (a, b, c) = F.col("o_orderkey"), (fx.moved_key(n) for n in (1, 2, 3))
+    return [("U", k, a, "A"), ("U", a, b, "B"), ("U", b, c, "C")]
+
+
+@register("apply_key_chain", CHAIN_SQL)
+def apply_key_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three moves of each row in one batch: INSERT_DATE follows the chain."""
+    return _stepped(spark, sf_dir, chain_steps())
+
+
+@register("apply_move_then_update", _steps_sql("-o_orderkey * 8 - 1", "Y", "INSERT_DATE"))
+def apply_move_then_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A move, then an update of the new key: the update does not hide where the row came from."""
+    k, a = F.col("o_orderkey"), fx.moved_key()
+    return _stepped(spark, sf_dir, [("U", k, a, "X"), ("U", a, a, "Y")])
+
+
+@register("apply_delete_insert_keep", _steps_sql("o_orderkey", "N", "timestamp '2024-01-01 00:00:00'"))
+def apply_delete_insert_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delete, then an insert of the same key, where inserts keep existing rows: a new row."""
+    k = F.col("o_orderkey")
+    return _stepped(spark, sf_dir, [("D", k, None, ""), ("I", None, k, "N")], insert_mode="keep")
 
 
 # ---- events as a change log of user state (F4) --------------------------------------------
@@ -170,13 +216,15 @@ late as (select * from events where ts >= timestamp '2024-01-15 00:00:00'),
 t0 as (select * from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) rn from early) where rn = 1),
 tgt as (select user_id, event_type, value, ts as last_ts, event_id as last_event_id, ts as INSERT_DATE, ts as UPDATE_DATE
         from t0 where event_type <> 'error'),
-g as (select * from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) rn from late) where rn = 1)
+g as (select * from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) rn from late) where rn = 1),
+died as (select distinct user_id from late where event_type = 'error')
 select coalesce(t.user_id, g.user_id) as user_id,
        case when g.user_id is null then t.event_type else g.event_type end as event_type,
        case when g.user_id is null then t.value else g.value end as value,
        case when g.user_id is null then t.last_ts else g.ts end as last_ts,
        case when g.user_id is null then t.last_event_id else g.event_id end as last_event_id,
-       case when g.user_id is null then t.INSERT_DATE else coalesce(t.INSERT_DATE, timestamp '2024-01-01 00:00:00') end as INSERT_DATE,
+       case when g.user_id is null then t.INSERT_DATE when g.user_id in (select user_id from died) then timestamp '2024-01-01 00:00:00'
+            else coalesce(t.INSERT_DATE, timestamp '2024-01-01 00:00:00') end as INSERT_DATE,
        case when g.user_id is null then t.UPDATE_DATE else timestamp '2024-01-01 00:00:00' end as UPDATE_DATE
 from tgt t full outer join g on t.user_id = g.user_id
 where g.user_id is null or g.event_type <> 'error'"""
@@ -187,8 +235,8 @@ def merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State after the first half of the events, merged with the net change of the second half."""
     events = fx.table(spark, sf_dir, "events")
     _, spec, changes, routed = user_changes(spark, sf_dir, fx.late_events(events))
-    collapsed, moves = net(changes, routed, spec)
-    return merge_changes(fx.user_target(events), collapsed, spec, fx.AS_OF, strategy="general", key_changes=moves)
+    target = fx.user_target(events)
+    return merge_changes(target, net(target, changes, routed, spec), spec, fx.AS_OF, strategy="general")
 
 
 # ---- envelope inspection (P-ENV) ---------------------------------------------------------
@@ -197,14 +245,14 @@ _ENV_SQL = """
 select 'TPCH.ORDERS' as "table",
        case o_orderpriority when '1-URGENT' then 'I' when '2-HIGH' then 'U' else 'D' end as op_type,
        '2024-01-01 00:00:00.000000' as op_ts, lpad(cast(o_orderkey as varchar), 20, '0') as pos
-from orders where o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM')"""
+from orders"""
 
 
 @register("envelope_parse", _ENV_SQL)
 def envelope_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared-schema parse of envelope text (no inference pass)."""
     orders = fx.table(spark, sf_dir, "orders")
-    env = parse_envelope(fx.order_envelopes(orders, fx.orders_spec(orders)))
+    env = parse_envelope(fx.order_envelopes(orders, fx.orders_spec(orders), priorities=None))
     return split_bad(env)[0].select("table", "op_type", "op_ts", "pos")
 
 
@@ -215,7 +263,7 @@ def struct_expand_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``after.*`` with the target schema."""
     orders = fx.table(spark, sf_dir, "orders")
     spec = fx.orders_spec(orders)
-    env = parse_envelope(fx.order_envelopes(orders, spec))
+    env = parse_envelope(fx.order_envelopes(orders, spec, priorities=None))
     return struct_expand(env.where(F.col("after").isNotNull()), spec, "after")
 
 
@@ -225,7 +273,7 @@ def filter_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filter on a field inside the after image (equality on a nested field)."""
     orders = fx.table(spark, sf_dir, "orders")
     spec = fx.orders_spec(orders)
-    env = parse_envelope(fx.order_envelopes(orders, spec))
+    env = parse_envelope(fx.order_envelopes(orders, spec, priorities=None))
     img = env.select(F.from_json("after", spec.data_schema).alias("after"))
     return img.where(F.col("after.o_orderpriority") == fx.PRIO_INSERT).select(
         F.col("after.o_orderkey").alias("o_orderkey"), F.col("after.o_custkey").alias("o_custkey"),
@@ -233,20 +281,27 @@ def filter_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("route_by_table", """
-select 'TPCH.ORDERS' as tbl, count(*) as n from orders where o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM')
+select 'TPCH.ORDERS' as tbl, count(*) as n from orders
 union all select 'TPCH.CUSTOMER' as tbl, count(*) as n from customer""")
 def route_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mixed topic (orders + customer envelopes) routed by the table tag."""
-    env = parse_envelope(mixed_topic(spark, sf_dir))
-    good, _ = split_bad(env)
-    out = None
-    for t in (fx.ORDERS_TABLE, "TPCH.CUSTOMER"):
-        part = route(good, t).groupBy().count().select(F.lit(t).alias("tbl"), F.col("count").alias("n"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """A mixed topic (orders + customer envelopes) routed by the table tag, in one pass."""
+    good, _ = split_bad(parse_envelope(mixed_topic(spark, sf_dir, priorities=None)))
+    return good.where(F.col("table").isin(fx.ORDERS_TABLE, "TPCH.CUSTOMER")).groupBy(F.col("table").alias("tbl")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("route_by_tag", """
+select o_orderkey, o_custkey, 'X' as o_orderstatus, o_totalprice + 100 as o_totalprice, o_orderdate, o_orderpriority
+from orders where o_orderpriority in ('1-URGENT', '2-HIGH')""")
+def route_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The control table names the tag that holds the table: here the topic calls it ``tbl``."""
+    orders = fx.table(spark, sf_dir, "orders")
+    spec = fx.orders_spec(orders)
+    topic = mixed_topic(spark, sf_dir, priorities=None).select(F.regexp_replace("value", '^\\{"table":', '{"tbl":').alias("value"))
+    routed = route(split_bad(parse_envelope(topic, tags=("tbl",)))[0], fx.ORDERS_TABLE, "tbl")
+    return struct_expand(routed.where(F.col("after").isNotNull()), spec, "after")
 
 
-def mixed_topic(spark: SparkSession, sf_dir: str, with_broken: bool = False) -> DataFrame:
+def mixed_topic(spark: SparkSession, sf_dir: str, with_broken: bool = False, **kw) -> DataFrame:
     """order envelopes plus customer inserts. With ``with_broken``, the envelopes of
     customers with a negative balance are cut short (malformed JSON)."""
     from pyspark.sql import types as T
@@ -266,20 +321,17 @@ def mixed_topic(spark: SparkSession, sf_dir: str, with_broken: bool = False) ->
             cust, cspec, F.lit("I"), F.lit(fx.CHANGE_TS), pos, "TPCH.CUSTOMER", None, img
         ).select(text, F.get_json_object(text, "$.after.c_acctbal").cast("double").alias("_bal"))
         env = env.select(F.when(F.col("_bal") < 0, F.substring(text, 1, 40)).otherwise(text).alias("value"))
-    return fx.order_envelopes(orders, fx.orders_spec(orders)).unionByName(env)
+    return fx.order_envelopes(orders, fx.orders_spec(orders), **kw).unionByName(env)
 
 
 @register("route_by_op", """
 select case o_orderpriority when '1-URGENT' then 'I' when '2-HIGH' then 'U' else 'D' end as op_type, count(*) as n
-from orders where o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM') group by 1""")
+from orders group by 1""")
 def route_by_op_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes by op type, in one pass."""
     orders = fx.table(spark, sf_dir, "orders")
-    env = split_bad(parse_envelope(fx.order_envelopes(orders, fx.orders_spec(orders))))[0]
-    out = None
-    for op in ("I", "U", "D"):
-        part = route_by_op(env, op).groupBy().count().select(F.lit(op).alias("op_type"), F.col("count").alias("n"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    env = split_bad(parse_envelope(fx.order_envelopes(orders, fx.orders_spec(orders), priorities=None)))[0]
+    return env.where(F.col("op_type").isin("I", "U", "D")).groupBy("op_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---- projections, renames, unions, joins, dedupe on whole tables -------------------------

@@ -68,7 +68,8 @@ select ID, JOBNAME, SEQUENCE, name as table_name, 'table' as tag_column,
        case when s_acctbal > 7500 then 'l_shipdate' else 'UPDATE_DATE' end as purge_column,
        case when op <> 'D' then 'l_shipdate' end as cast_column, case when op <> 'D' then 'Timestamp' end as cast_type,
        ['lineitem', 'orders'] as topics, l.last_run,
-       coalesce((epoch_us(timestamp '1999-01-01 00:00:00') - epoch_us(l.last_run)) // 86400000000 >= 15, false) as health_purge_due
+       coalesce((epoch_us(timestamp '1999-01-01 00:00:00') - epoch_us(l.last_run)) // 86400000000 >= 15, false) as health_purge_due,
+       cast(row_number() over (partition by JOBNAME order by SEQUENCE, ID) as integer) as position
 from m left join last l on l.l_suppkey = m.s_suppkey"""
 
 
@@ -78,3 +79,10 @@ def control_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     key list, topic list, purge settings and the health-purge test."""
     master, table_master, health = control_tables(spark, sf_dir)
     return build_plan(master, table_master, health, None, PLAN_AS_OF)
+
+
+@register("control_plan_job", f"select * from ({_PLAN_SQL}) where JOBNAME = 'JOB_N7'")
+def control_plan_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan of one job."""
+    master, table_master, health = control_tables(spark, sf_dir)
+    return build_plan(master, table_master, health, "JOB_N7", PLAN_AS_OF)

@@ -103,11 +103,11 @@ def string_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 select true as has_op_ts, o_orderpriority in ('1-URGENT', '2-HIGH') as has_after,
        o_orderpriority in ('1-URGENT', '2-HIGH') as has_after_key,
        false as has_unknown_field
-from orders where o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM')""")
+from orders""")
 def field_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Field-present probes on raw envelopes (a typed read of each path that succeeds or not)."""
     orders = fx.table(spark, sf_dir, "orders")
-    env = split_bad(parse_envelope(fx.order_envelopes(orders, fx.orders_spec(orders))))[0]
+    env = split_bad(parse_envelope(fx.order_envelopes(orders, fx.orders_spec(orders), priorities=None)))[0]
     return probe_fields(env, {
         "has_op_ts": ("$.op_ts", "string"),
         "has_after": ("$.after", "struct"),

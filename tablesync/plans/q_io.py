@@ -6,13 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.changes import collapse_changes, merge_changes
+from ..operators.changes import apply_changes
 from ..operators.retention import purge_expired
 from ..session import scratch_path
 from ..sinks.files import write_csv, write_json_lines, write_orc
 from ..sinks.bucketed import BucketedStore
 from ..sinks.snapshot import SnapshotStore
-from ..sources.envelope import envelopes_move_keys
+from ..sources.envelope import log_shape
 from ..sources.files import read_delimited, read_json, read_lines, read_orc, strip_header
 from . import fixtures as fx
 from .q_changes import MERGE_ORDERS_SQL, order_changes
@@ -83,9 +83,7 @@ def snapshot_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, spec, target, changes, routed = order_changes(spark, sf_dir)
     store = SnapshotStore(spark, scratch_path(spark, "orders_store"), spec.table_schema)
     store.publish(target, 0)
-    merged = merge_changes(store.read(), collapse_changes(changes, spec.key_cols), spec, fx.AS_OF,
-                           key_changes=envelopes_move_keys(routed, spec))
-    store.publish(merged, 1)
+    store.publish(apply_changes(store.read(), changes, spec, as_of=fx.AS_OF, **log_shape(routed, spec)), 1)
     return store.read()
 
 
@@ -107,5 +105,5 @@ def merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, spec, target, changes, routed = order_changes(spark, sf_dir)
     store = BucketedStore(spark, scratch_path(spark, "orders_bucketed"), spec, buckets=16)
     store.publish(target, 0)
-    store.apply(collapse_changes(changes, spec.key_cols), spec, fx.AS_OF, 1, key_changes=envelopes_move_keys(routed, spec))
+    store.apply(changes, spec, fx.AS_OF, 1, **log_shape(routed, spec))
     return store.read()

@@ -15,12 +15,14 @@ from .registry import register
 
 LONG_COLS = ["storageid", "directorid", "group_no", "metricid", "value", "ts"]
 
-# Group number = rank of the line status among the statuses of that (supplier, part).
-_LONG_SQL = """
-select cast(l_suppkey as varchar) as storageid, cast(l_partkey as varchar) as directorid,
-       cast(dense_rank() over (partition by l_suppkey, l_partkey order by l_linestatus) - 1 as integer) as group_no,
-       l_returnflag as metricid, l_quantity as value, l_shipdate as ts
-from lineitem"""
+# Within a document (a block of orders) the group number is the rank of the line number among those of its
+# storage and director.
+_PLACE = """floor(l_orderkey / 1024) as block, l_returnflag as storageid, l_linestatus as directorid,
+       cast(dense_rank() over (partition by floor(l_orderkey / 1024), l_returnflag, l_linestatus order by l_linenumber) - 1 as integer) as group_no,
+       cast(l_suppkey % 10 as varchar) as metricid"""
+_POINT_NO = """row_number() over (partition by floor(l_orderkey / 1024), l_returnflag, l_linestatus, l_linenumber, l_suppkey % 10
+                            order by l_shipdate, l_orderkey, l_suppkey, l_partkey, l_quantity) as rn"""
+_LONG_SQL = f"select storageid, directorid, group_no, metricid, value, ts from (select {_PLACE}, l_quantity as value, l_shipdate as ts from lineitem)"
 
 
 def _long(d: DataFrame) -> DataFrame:
@@ -33,18 +35,12 @@ def nested_flatten_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(docs.metric_documents(fx.table(spark, sf_dir, "lineitem")))
 
 
-_WIDE_SQL = """
-with m as (
-  select cast(l_suppkey as varchar) as storageid, cast(l_partkey as varchar) as directorid,
-         cast(dense_rank() over (partition by l_suppkey, l_partkey order by l_linestatus) - 1 as integer) as group_no,
-         l_returnflag as metricid, l_quantity as value, l_shipdate as ts,
-         row_number() over (partition by l_suppkey, l_partkey, l_linestatus, l_returnflag
-                            order by l_shipdate, l_orderkey, l_linenumber, l_quantity) as rn
-  from lineitem)
+_WIDE_SQL = f"""
+with m as (select {_PLACE}, l_quantity as value, l_shipdate as ts, {_POINT_NO} from lineitem)
 select storageid, directorid, group_no, metricid,
        max(case when rn = 1 then value end) as value_1, max(case when rn = 2 then value end) as value_2,
        max(case when rn = 1 then ts end) as ts_1, max(case when rn = 2 then ts end) as ts_2
-from m group by storageid, directorid, group_no, metricid"""
+from m group by block, storageid, directorid, group_no, metricid"""
 
 
 @register("nested_flatten_wide", _WIDE_SQL)
@@ -75,18 +71,12 @@ def explode_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_column(part, "words", "word", outer=True)
 
 
-_INDEX_SQL = """
-with m as (
-  select l_suppkey, l_partkey, l_returnflag, l_quantity,
-         cast(dense_rank() over (partition by l_suppkey, l_partkey order by l_linestatus) - 1 as integer) as group_no,
-         row_number() over (partition by l_suppkey, l_partkey, l_linestatus, l_returnflag
-                            order by l_shipdate, l_orderkey, l_linenumber, l_quantity) as rn
-  from lineitem),
-d as (select l_suppkey, min(cast(l_partkey as varchar)) as first_director from lineitem group by l_suppkey)
-select cast(m.l_suppkey as varchar) as storageid, cast(m.l_partkey as varchar) as directorid, m.group_no,
-       m.l_returnflag as metricid, d.first_director, max(case when rn = 3 then l_quantity end) as value_3
-from m join d on m.l_suppkey = d.l_suppkey
-group by all"""
+_INDEX_SQL = f"""
+with m as (select {_PLACE}, l_quantity, {_POINT_NO} from lineitem),
+d as (select block, arg_min(directorid, storageid || '|' || directorid) as first_director from m group by block)
+select m.storageid, m.directorid, m.group_no, m.metricid, d.first_director, max(case when rn = 3 then l_quantity end) as value_3
+from m join d using (block)
+group by m.block, m.storageid, m.directorid, m.group_no, m.metricid, d.first_director"""
 
 
 @register("array_index", _INDEX_SQL)

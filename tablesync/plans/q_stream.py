@@ -1,7 +1,7 @@
 """Streaming queries: envelope files drained by a file stream into snapshot-store targets.
 
-The events are written as envelope text files in four time slices, one write after another,
-so the file source (oldest files first) never hands a later slice to an earlier batch.
+The events are written as envelope text files in four time slices. Batches hold any number of files in any order: the
+target keeps each row's log position and tombstones, so a late event changes nothing.
 """
 
 from __future__ import annotations
@@ -9,14 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.changes import live_rows
 from ..schema import TargetSpec
 from ..sinks.bucketed import BucketedStore
 from ..sinks.snapshot import SnapshotStore
 from ..session import scratch_path
 from ..sources.streams import stream_changes
-from ..streaming.sync import SyncJob, SyncTarget, read_metrics, read_quarantine, run_stream
+from ..streaming.sync import HEALTH_DDL, SyncJob, SyncTarget, read_metrics, read_quarantine, run_stream, targets_from_plan
 from . import fixtures as fx
-from .q_changes import mixed_topic
+from .control import MASTER_SCHEMA, HEALTH_SCHEMA, TABLE_MASTER_SCHEMA, build_plan, plan_rows
+from .q_changes import CHAIN_SQL, MERGE_ORDERS_SQL, chain_steps, mixed_topic
 from .registry import register
 
 SLICE_BOUNDS = ("2024-01-08", "2024-01-15", "2024-01-22")
@@ -38,7 +40,7 @@ def write_event_slices(spark: SparkSession, sf_dir: str, path: str, spec: Target
 
 
 def _user_job(spark: SparkSession, sf_dir: str, root: str, buckets: int = 0) -> tuple[SyncJob, TargetSpec]:
-    spec = fx.users_spec(fx.table(spark, sf_dir, "events"))
+    spec = fx.users_spec(fx.table(spark, sf_dir, "events"), ordered=True)
     if buckets:
         store = BucketedStore(spark, f"{root}/target", spec, buckets)
     else:
@@ -56,16 +58,15 @@ where rn = 1 and event_type <> 'error'"""
 
 @register("stream_apply", _STREAM_SQL)
 def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Envelope files -> file stream (about one slice per trigger) -> foreachBatch merge into a
+    """Envelope files -> file stream (a few files per trigger) -> foreachBatch merge into a
     snapshot store; drained with an availableNow trigger."""
     root = scratch_path(spark, "stream_apply")
     job, spec = _user_job(spark, sf_dir, root)
     write_event_slices(spark, sf_dir, f"{root}/in", spec)
-    per_slice = spark.sparkContext.defaultParallelism  # files per slice (see fixtures.as_topic)
-    src = stream_changes(spark, "files", path=f"{root}/in", max_per_trigger=per_slice)
+    src = stream_changes(spark, "files", path=f"{root}/in", max_per_trigger=spark.sparkContext.defaultParallelism)
     q = run_stream(src, job, f"{root}/ckpt", {"availableNow": True})
     q.awaitTermination()
-    return job.targets[0].store.read()
+    return live_rows(job.targets[0].store.read(), spec)
 
 
 @register("stream_apply_bucketed", _STREAM_SQL)
@@ -76,7 +77,7 @@ def stream_apply_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_event_slices(spark, sf_dir, f"{root}/in", spec)
     src = stream_changes(spark, "files", path=f"{root}/in", max_per_trigger=spark.sparkContext.defaultParallelism)
     run_stream(src, job, f"{root}/ckpt", {"availableNow": True}).awaitTermination()
-    return job.targets[0].store.read()
+    return live_rows(job.targets[0].store.read(), spec)
 
 
 @register("stream_restart", _STREAM_SQL)
@@ -89,7 +90,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_event_slices(spark, sf_dir, f"{root}/in", spec, part)
         src = stream_changes(spark, "files", path=f"{root}/in", max_per_trigger=spark.sparkContext.defaultParallelism)
         run_stream(src, job, f"{root}/ckpt", {"availableNow": True}).awaitTermination()
-    return job.targets[0].store.read()
+    return live_rows(job.targets[0].store.read(), spec)
 
 
 def _mixed_job(spark: SparkSession, sf_dir: str, root: str) -> SyncJob:
@@ -166,3 +167,57 @@ def sync_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_stream(stream_changes(spark, "files", path=f"{root}/in"), job, f"{root}/ckpt", {"availableNow": True}).awaitTermination()
     return store.read()
 
+
+
+@register("stream_key_chain", CHAIN_SQL)
+def stream_key_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chains of moves through the stream into a bucketed store."""
+    root = scratch_path(spark, "stream_chain")
+    orders = fx.table(spark, sf_dir, "orders")
+    spec = fx.orders_spec(orders)
+    store = BucketedStore(spark, f"{root}/orders", spec, buckets=8)
+    store.publish(fx.order_target(orders), 0)
+    job = SyncJob([SyncTarget(spec, store)], f"{root}/quarantine", f"{root}/metrics", as_of=fx.AS_OF)
+    fx.order_steps(orders, spec, chain_steps()).write.text(f"{root}/in")
+    run_stream(stream_changes(spark, "files", path=f"{root}/in"), job, f"{root}/ckpt", {"availableNow": True}).awaitTermination()
+    return store.read()
+
+
+@register("plan_sync", MERGE_ORDERS_SQL)
+def plan_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plan-driven sync: control rows for three op types of one table make one target on a bucketed store,
+    merged once per batch in log order; the topic also holds a table that the plan does not want."""
+    root = scratch_path(spark, "plan_sync")
+    orders = fx.table(spark, sf_dir, "orders")
+    spec = fx.orders_spec(orders)
+    master = spark.createDataFrame([
+        (n, "JOB", n, "hdfs://namenode/warehouse", "table", fx.ORDERS_TABLE, None, "o_orderkey", "/a", "/b", op, "N", None, None, "orders")
+        for n, op in ((1, "I"), (2, "U"), (3, "D"))
+    ], MASTER_SCHEMA)
+    plan = build_plan(master, spark.createDataFrame([], TABLE_MASTER_SCHEMA), spark.createDataFrame([], HEALTH_SCHEMA), "JOB", fx.AS_OF)
+    store = BucketedStore(spark, f"{root}/orders", spec, buckets=8)
+    store.publish(fx.order_target(orders), 0)
+    job = SyncJob(targets_from_plan(plan_rows(plan), lambda _: spec, lambda *_: store), f"{root}/quarantine", f"{root}/metrics", as_of=fx.AS_OF)
+    mixed_topic(spark, sf_dir).write.text(f"{root}/in")
+    src = stream_changes(spark, "files", path=f"{root}/in")
+    run_stream(src, job, f"{root}/ckpt", {"availableNow": True}, plan=plan, topics=["orders"]).awaitTermination()
+    return store.read()
+
+
+@register("health_log", """
+select target, count(*) as n from (
+  select 'C' || c_custkey as target from customer where c_custkey % 30 < 15
+  union all select unnest(['TPCH.ORDERS', 'TPCH.CUSTOMER'])) group by target""")
+def health_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed job with a health log: each batch purges the ids that are due (here made of the customers, last run
+    up to 29 days ago) and adds a row per target."""
+    root = scratch_path(spark, "health")
+    job = _mixed_job(spark, sf_dir, root)
+    cust = fx.table(spark, sf_dir, "customer")
+    ago = F.make_dt_interval(F.pmod("c_custkey", F.lit(30)).cast("int"))
+    rows = cust.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("target"), (F.lit(fx.AS_OF).cast("timestamp") - ago).alias("last_run"))
+    job.health = SnapshotStore(spark, f"{root}/health", spark.createDataFrame([], HEALTH_DDL).schema)
+    job.health.publish(rows, 0)
+    mixed_topic(spark, sf_dir).write.text(f"{root}/in")
+    run_stream(stream_changes(spark, "files", path=f"{root}/in"), job, f"{root}/ckpt", {"availableNow": True}).awaitTermination()
+    return job.health.read().groupBy("target").agg(F.count(F.lit(1)).alias("n"))

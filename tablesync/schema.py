@@ -56,6 +56,8 @@ class TargetSpec:
     ``seq_column`` (optional): a string column, after the audit columns, holding the log
     position of the last change applied to the row. With it, a change older than the stored
     position is ignored, so a late event cannot overwrite or delete newer state.
+    ``tombstone`` (optional, with ``seq_column``): a boolean column, last. A deleted row then stays as a
+    tombstone, so that a late event cannot revive it; ``operators.changes.live_rows`` leaves tombstones out.
     """
 
     name: str
@@ -63,8 +65,11 @@ class TargetSpec:
     keys: tuple[str, ...]
     audit_type: T.DataType = field(default_factory=T.TimestampNTZType)
     seq_column: str | None = None
+    tombstone: str | None = None
 
     def __post_init__(self):
+        if self.tombstone and not self.seq_column:
+            raise ValueError("tombstones need a sequence column")
         names = set(self.data_schema.fieldNames())
         missing = [k for k in self.keys if k not in names]
         if missing:
@@ -81,10 +86,12 @@ class TargetSpec:
     @property
     def table_schema(self) -> T.StructType:
         seq = [T.StructField(self.seq_column, T.StringType())] if self.seq_column else []
+        dead = [T.StructField(self.tombstone, T.BooleanType())] if self.tombstone else []
         return T.StructType(
             list(self.data_schema.fields)
             + [T.StructField(INSERT_DATE, self.audit_type), T.StructField(UPDATE_DATE, self.audit_type)]
             + seq
+            + dead
         )
 
     @property
@@ -96,7 +103,7 @@ class TargetSpec:
         if column not in self.data_cols:
             raise ValueError(f"column {column!r} not in {self.name}: {self.data_cols}")
         fields = [T.StructField(f.name, dtype, f.nullable) if f.name == column else f for f in self.data_schema.fields]
-        return TargetSpec(self.name, T.StructType(fields), self.keys, self.audit_type, self.seq_column)
+        return TargetSpec(self.name, T.StructType(fields), self.keys, self.audit_type, self.seq_column, self.tombstone)
 
     @classmethod
     def of(cls, name: str, table_schema: T.StructType, keys, audit_type: T.DataType | None = None,

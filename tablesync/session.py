@@ -2,7 +2,7 @@
 
 Scratch data (round-trip files, snapshot slots in tests, stream checkpoints) always lives
 below the shared folder the cluster names in ``spark.checkpoint.dir``. A local folder is
-made only when the session has none, which is the case in unit tests.
+made only for a local master without that setting (unit tests); on a cluster its absence raises.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":  # executors would not see a folder of the driver's
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tablesync-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -2,43 +2,45 @@
 
 Rows are assigned to one of ``buckets`` buckets by ``pmod(xxhash64(keys), buckets)``. Each
 publish writes the new contents of the touched buckets into a fresh version folder
-(``v=<version>/_bucket=<b>/``, via ``partitionBy``), then appends one log row per touched
-bucket: (version, batch id, bucket, folder or NULL when the bucket became empty). The current
+(``v=<version>/_bucket=<b>/``, ``files_per_bucket`` files each), then appends one log row per touched
+bucket: (version, stream, batch id, bucket, folder or NULL when the bucket became empty, number of buckets). The current
 table is, per bucket, the folder of its latest log row. Nothing is overwritten in place, so
 readers always see a whole version and a crash before the log append leaves the previous
 version current (the orphan folder is ignored; a replay writes a new version).
 
 The log holds at most ``buckets`` rows per publish; only the per-bucket latest folder (at most
-``buckets`` paths) is brought to the driver.
+``buckets`` paths) is brought to the driver. The number of buckets is part of the log: opening a table
+with another one raises. ``vacuum`` removes folders that no bucket points at any more.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.changes import merge_changes
+from ..operators.changes import apply_changes
 from ..schema import TargetSpec
 
 BUCKET = "_bucket"
-LOG_DDL = "version long, batch_id long, bucket int, path string"
+LOG_DDL = "version long, batch_id long, bucket int, path string, stream string, buckets int"
 
 
 class BucketedStore:
-    def __init__(self, spark: SparkSession, root: str, spec: TargetSpec, buckets: int = 64, fmt: str = "orc"):
+    def __init__(self, spark: SparkSession, root: str, spec: TargetSpec, buckets: int = 64, fmt: str = "orc", files_per_bucket: int = 1):
         self.spark = spark
         self.root = root.rstrip("/")
         self.spec = spec
         self.schema = spec.table_schema
         self.buckets = buckets
         self.fmt = fmt
+        self.files_per_bucket = files_per_bucket
         self._paths: dict[int, str | None] | None = None
         self._version = 0
-        self._max_batch: int | None = None  # the ledger: highest published batch id
+        self._max_batch: dict[str, int] = {}  # the ledger: highest published batch id of each stream
 
     def bucket_of(self, cols: list[str] | None = None) -> Column:
         keys = cols or self.spec.key_cols
@@ -53,16 +55,19 @@ class BucketedStore:
             log = self.spark.read.schema(LOG_DDL).parquet(f"{self.root}/_log")
         except AnalysisException:
             return
-        latest = log.groupBy("bucket").agg(F.max_by("path", "version").alias("path"), F.max("version").alias("v"),
-                                           F.max("batch_id").alias("b"))
+        latest = log.groupBy("bucket").agg(F.max_by("path", "version").alias("path"), F.max("version").alias("v"), F.max("buckets").alias("n"))
         for r in latest.collect():  # at most one row per bucket
+            if r["n"] is not None and r["n"] != self.buckets:
+                self._paths = None
+                raise ValueError(f"{self.root} has {r['n']} buckets, not {self.buckets}")
             self._paths[r["bucket"]] = r["path"]
             self._version = max(self._version, r["v"])
-            self._max_batch = r["b"] if self._max_batch is None else max(self._max_batch, r["b"])
+        for r in log.groupBy(F.coalesce("stream", F.lit("")).alias("s")).agg(F.max("batch_id").alias("b")).collect():
+            self._max_batch[r["s"]] = r["b"]
 
-    def has_batch(self, batch_id: int) -> bool:
+    def has_batch(self, batch_id: int, stream: str = "") -> bool:
         self._load()
-        return self._max_batch is not None and batch_id <= self._max_batch
+        return batch_id <= self._max_batch.get(stream, batch_id - 1)
 
     def current_paths(self, buckets: list[int] | None = None) -> list[str]:
         self._load()
@@ -77,44 +82,64 @@ class BucketedStore:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).format(self.fmt).load(paths)
 
-    def _publish(self, df: DataFrame, buckets: list[int], batch_id: int) -> dict:
+    def _publish(self, df: DataFrame, buckets: list[int], batch_id: int, stream: str = "") -> dict:
         self._load()
         version = self._version + 1
         path = f"{self.root}/v={version}"
         out = df.select(*self.schema.fieldNames()).withColumn(BUCKET, self.bucket_of())
+        # One task per file: without this every task would write a file of every bucket.
+        part = F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.key_cols], F.lit(1)), F.lit(self.files_per_bucket))
+        out = out.repartition(max(1, len(buckets) * self.files_per_bucket), F.col(BUCKET), part)
         out.write.mode("overwrite").partitionBy(BUCKET).format(self.fmt).save(path)
-        written = self.spark.read.format(self.fmt).load(path).inputFiles()  # a listing, no scan
-        present = {int(m.group(1)) for f in written if (m := re.search(rf"/{BUCKET}=(\d+)/", f))}
-        rows = [(version, batch_id, b, f"{path}/{BUCKET}={b}" if b in present else None) for b in sorted(buckets)]
+        # Reads folder names and row counts only; at most one row per bucket.
+        written = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])).format(self.fmt).load(path)
+        present = {r[BUCKET] for r in written.select(BUCKET).distinct().collect()}
+        rows = [(version, batch_id, b, f"{path}/{BUCKET}={b}" if b in present else None, stream, self.buckets) for b in sorted(buckets)]
         self.spark.createDataFrame(rows, LOG_DDL).coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
-        for _, _, b, p in rows:
+        for _, _, b, p, _, _ in rows:
             self._paths[b] = p
         self._version = version
-        self._max_batch = batch_id if self._max_batch is None else max(self._max_batch, batch_id)
+        self._max_batch[stream] = max(batch_id, self._max_batch.get(stream, batch_id))
         return {"version": version, "buckets": len(buckets), "batch_id": batch_id}
 
-    def publish(self, df: DataFrame, batch_id: int) -> dict:
+    def publish(self, df: DataFrame, batch_id: int, stream: str = "") -> dict:
         """Replace the whole table (every bucket)."""
-        return self._publish(df, list(range(self.buckets)), batch_id)
+        return self._publish(df, list(range(self.buckets)), batch_id, stream)
 
-    def touched(self, collapsed: DataFrame) -> list[int]:
-        """Buckets a collapsed change batch touches (old keys of moved rows are change rows
+    def touched(self, changes: DataFrame) -> list[int]:
+        """Buckets a change batch touches (old keys of moved rows are change rows
         too, so they count). At most ``buckets`` values reach the driver."""
-        b = collapsed.select(self.bucket_of().alias("b")).distinct()
+        b = changes.select(self.bucket_of().alias("b")).distinct()
         return sorted(r["b"] for r in b.collect())
 
-    def apply(self, collapsed: DataFrame, spec: TargetSpec, as_of, batch_id: int,
-              pre: Callable[[DataFrame], DataFrame] | None = None, **merge_kw) -> dict:
-        """Merge a collapsed batch: read the touched buckets, merge, publish them.
+    def apply(self, changes: DataFrame, spec: TargetSpec, as_of, batch_id: int,
+              pre: Callable[[DataFrame], DataFrame] | None = None, full_pre: bool = False, stream: str = "", **merge_kw) -> dict:
+        """Merge a batch of changes: read the touched buckets, merge, publish them.
 
-        ``pre`` (e.g. a purge) transforms the current table first; it concerns every bucket,
-        so with it the whole table is rewritten.
+        ``pre`` (e.g. a purge by row) transforms the rows read first: those of the touched buckets, or with
+        ``full_pre`` (a scheduled purge) the whole table, which is then rewritten.
         """
-        buckets = list(range(self.buckets)) if pre is not None else self.touched(collapsed)
+        buckets = list(range(self.buckets)) if pre is not None and full_pre else self.touched(changes)
         if not buckets:
             return {"version": self._version, "buckets": 0, "batch_id": batch_id}
         current = self.read(buckets)
         if pre is not None:
             current = pre(current)
-        merged = merge_changes(current, collapsed, spec, as_of, **merge_kw)
-        return self._publish(merged, buckets, batch_id)
+        return self._publish(apply_changes(current, changes, spec, as_of=as_of, **merge_kw), buckets, batch_id, stream)
+
+    def vacuum(self, older_than_hours: float = 24.0) -> int:
+        """Remove bucket folders that are not current and were written more than ``older_than_hours`` ago, which
+        must be longer than any reader runs. Returns their number."""
+        import time
+
+        self._load()
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        root = hadoop.Path(self.root)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        current = {str(fs.makeQualified(hadoop.Path(p)).toString()) for p in self._paths.values() if p}
+        found = fs.globStatus(hadoop.Path(f"{self.root}/v=*/{BUCKET}=*")) or []
+        limit, gone = (time.time() - older_than_hours * 3600) * 1000, 0
+        for status in found:
+            if str(status.getPath().toString()) not in current and status.getModificationTime() <= limit:
+                gone += bool(fs.delete(status.getPath(), True))
+        return gone

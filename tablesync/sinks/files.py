@@ -27,17 +27,17 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> N
 
 
 def _array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per partition: '[' + first doc, ',' + each next doc, ']' appended to the last line."""
-    pending = None
+    """Per partition: '[' + first doc, ',' + each next doc, and a last line ']'; one frame per Arrow batch."""
     first = True
     for pdf in batches:
-        for text in pdf["value"]:
-            if pending is not None:
-                yield pd.DataFrame({"value": [pending]})
-            pending = ("[" if first else ",") + text
-            first = False
-    if pending is not None:
-        yield pd.DataFrame({"value": [pending + "]"]})
+        if len(pdf):
+            lines = "," + pdf["value"]
+            if first:
+                lines.iloc[0] = "[" + pdf["value"].iloc[0]
+                first = False
+            yield pd.DataFrame({"value": lines})
+    if not first:
+        yield pd.DataFrame({"value": ["]"]})
 
 
 def write_json_multiline(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

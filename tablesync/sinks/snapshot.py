@@ -1,12 +1,14 @@
-"""Two-slot snapshot store for file targets, with a version log that is also the batch ledger.
+"""Slot snapshot store for file targets, with a version log that is also the batch ledger.
 
-Layout under ``root``: ``slot=a/`` and ``slot=b/`` hold whole snapshots (ORC); ``_log/`` is
-an append-only Parquet table with one row per publish (version, slot, batch id, rows, time).
-A publish writes the idle slot in full, then appends its log row; readers take the slot of
-the highest version. A crash between the two leaves the log pointing at the old, intact
-slot, and the next publish simply rewrites the idle slot. The snapshot being read is never
+Layout under ``root``: ``slot=a/``, ``slot=b/`` (more with ``slots``) hold whole snapshots (ORC); ``_log/`` is
+an append-only Parquet table with one row per publish (version, slot, stream, batch id, rows, time).
+A publish writes the oldest slot in full, then appends its log row; readers take the slot of
+the highest version. A crash between the two leaves the log pointing at the current, intact
+slot, and the next publish simply rewrites the slot. The snapshot being read is never
 the one being overwritten, so a merge can read the current table and publish the next one
-in a single plan.
+in a single plan. A reader keeps its files for ``slots`` - 1 further publishes.
+
+The ledger is per stream: batch ids of one stream only grow, a new stream (a new checkpoint) starts at 0 again.
 """
 
 from __future__ import annotations
@@ -22,22 +24,23 @@ LOG_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType()),
     T.StructField("rows", T.LongType()),
     T.StructField("published_at", T.TimestampType()),
+    T.StructField("stream", T.StringType()),
 ])
-SLOTS = ("a", "b")
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, fmt: str = "orc"):
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, fmt: str = "orc", slots: int = 2):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.fmt = fmt
+        self.slots = "abcdefghijklmnopqrstuvwxyz"[: max(2, slots)]
         # The log is read once per process; this store object is the table's only writer,
-        # so later heads are known without re-reading it. Stream batch ids only grow, and a
+        # so later heads are known without re-reading it. A stream's batch ids only grow, and a
         # replay re-delivers ids at or below the last published one, so the ledger is one
-        # number: the highest published batch id.
+        # number per stream: its highest published batch id.
         self._head: dict | None = None
-        self._max_batch: int | None = None
+        self._max_batch: dict[str, int] = {}
         self._loaded = False
 
     # -- log ---------------------------------------------------------------------------
@@ -54,21 +57,21 @@ class SnapshotStore:
         log = self._log()
         if log is None:
             return
-        row = log.agg(
-            F.max_by(F.struct(*LOG_SCHEMA.fieldNames()), "version").alias("h"), F.max("batch_id").alias("b")
-        ).first()
+        row = log.agg(F.max_by(F.struct(*LOG_SCHEMA.fieldNames()), "version").alias("h")).first()
         if row is not None and row["h"] is not None:
-            self._head, self._max_batch = row["h"].asDict(), row["b"]
+            self._head = row["h"].asDict()
+        for r in log.groupBy(F.coalesce("stream", F.lit("")).alias("s")).agg(F.max("batch_id").alias("b")).collect():  # a row per stream
+            self._max_batch[r["s"]] = r["b"]
 
     def head(self) -> dict | None:
         """Latest log row (version, slot, batch_id, rows) or None before the first publish."""
         self._load()
         return self._head
 
-    def has_batch(self, batch_id: int) -> bool:
-        """Ledger test: was this batch already published here (a replay after a failure)?"""
+    def has_batch(self, batch_id: int, stream: str = "") -> bool:
+        """Ledger test: was this batch of the stream already published here (a replay after a failure)?"""
         self._load()
-        return self._max_batch is not None and batch_id <= self._max_batch
+        return batch_id <= self._max_batch.get(stream, batch_id - 1)
 
     def history(self) -> DataFrame:
         log = self._log()
@@ -85,27 +88,27 @@ class SnapshotStore:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).format(self.fmt).load(self.slot_path(h["slot"]))
 
-    def publish(self, df: DataFrame, batch_id: int, rows: int | None = None) -> dict:
-        """Write ``df`` to the idle slot, then append the log row that makes it current.
+    def publish(self, df: DataFrame, batch_id: int, rows: int | None = None, stream: str = "") -> dict:
+        """Write ``df`` to the oldest slot, then append the log row that makes it current.
 
         ``rows`` is recorded as given (no extra scan of the snapshot to count it)."""
         h = self.head()
-        slot = SLOTS[0] if h is None or h["slot"] == SLOTS[1] else SLOTS[1]
+        slot = self.slots[0] if h is None else self.slots[(self.slots.index(h["slot"]) + 1) % len(self.slots)]
         version = 1 if h is None else h["version"] + 1
         path = self.slot_path(slot)
         df.select(*self.schema.fieldNames()).write.mode("overwrite").format(self.fmt).save(path)
-        entry = self.spark.createDataFrame([(version, slot, batch_id, rows)], "version long, slot string, batch_id long, rows long")
-        entry.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
+        entry = self.spark.createDataFrame([(version, slot, batch_id, rows, stream)], "version long, slot string, batch_id long, rows long, stream string")
+        entry.withColumn("published_at", F.current_timestamp()).select(*LOG_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
         self._head = {"version": version, "slot": slot, "batch_id": batch_id, "rows": rows}
-        self._max_batch = batch_id if self._max_batch is None else max(self._max_batch, batch_id)
+        self._max_batch[stream] = max(batch_id, self._max_batch.get(stream, batch_id))
         return dict(self._head)
 
-    def apply(self, collapsed: DataFrame, spec, as_of, batch_id: int, pre=None, **merge_kw) -> dict:
-        """Merge a collapsed batch into the current snapshot (after ``pre``, e.g. a purge) and
-        publish the result to the other slot."""
-        from ..operators.changes import merge_changes
+    def apply(self, changes: DataFrame, spec, as_of, batch_id: int, pre=None, full_pre: bool = False, stream: str = "", **merge_kw) -> dict:
+        """Merge a batch of changes into the current snapshot (after ``pre``, e.g. a purge) and
+        publish the result to the next slot. ``full_pre`` makes no difference here: all rows are rewritten."""
+        from ..operators.changes import apply_changes
 
         current = self.read()
         if pre is not None:
             current = pre(current)
-        return self.publish(merge_changes(current, collapsed, spec, as_of, **merge_kw), batch_id)
+        return self.publish(apply_changes(current, changes, spec, as_of=as_of, **merge_kw), batch_id, stream=stream)

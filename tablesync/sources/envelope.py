@@ -26,6 +26,8 @@ REASON_UNKNOWN_OP = "unknown_op"
 REASON_NO_IMAGE = "missing_image"
 REASON_BAD_IMAGE = "bad_image"
 REASON_NULL_KEY = "null_key"
+REASON_BAD_TIME = "bad_op_ts"
+REASON_NO_TARGET = "no_target"
 
 # JSON time formats of images, with microseconds (the default drops them).
 JSON_OPTIONS = {
@@ -37,14 +39,18 @@ JSON_OPTIONS = {
 ORDER_EXTRAS = ("_src_partition", "_src_offset")
 
 
-def parse_envelope(raw: DataFrame, value_col: str = "value", schema=ENVELOPE_SCHEMA) -> DataFrame:
+def parse_envelope(raw: DataFrame, value_col: str = "value", schema=ENVELOPE_SCHEMA, tags: tuple[str, ...] = ("table",)) -> DataFrame:
     """Raw text column -> envelope columns, keeping the text in ``_raw`` and a ``_reason``.
 
     Extra columns of ``raw`` (for example a source partition/offset) are carried along.
-    ``_reason`` is NULL for a well-formed envelope and a reason code otherwise.
+    ``tags``: the fields that may name the table; those that the schema lacks are parsed as text.
+    ``_reason`` is NULL for a well-formed envelope and a reason code otherwise: one without any tag or
+    op type, an unknown op type, a missing image, or an op_ts that is no time (it would sort as the oldest).
     """
     text = F.col(value_col).cast("string")
     extras = [c for c in raw.columns if c != value_col]
+    more = [t for t in tags if t not in schema.fieldNames()]
+    schema = T.StructType([*schema.fields, *[T.StructField(t, T.StringType()) for t in more]])
     fields = schema.fieldNames()
     if all(isinstance(f.dataType, T.StringType) for f in schema.fields):
         # One JSON parse per row. json_tuple is a generator: filters on its output (bad-row
@@ -55,10 +61,11 @@ def parse_envelope(raw: DataFrame, value_col: str = "value", schema=ENVELOPE_SCH
         out = raw.select(*extras, text.alias(RAW), F.inline(F.array(F.from_json(text, schema)))).select(*extras, RAW, *fields)
     op = F.col("op_type")
     reason = (
-        F.when(F.col("table").isNull() | op.isNull(), F.lit(REASON_MALFORMED))
+        F.when(F.coalesce(*[F.col(t) for t in tags]).isNull() | op.isNull(), F.lit(REASON_MALFORMED))
         .when(~op.isin(*OP_TYPES), F.lit(REASON_UNKNOWN_OP))
         .when((op == OP_DELETE) & F.col("before").isNull(), F.lit(REASON_NO_IMAGE))
         .when((op != OP_DELETE) & F.col("after").isNull(), F.lit(REASON_NO_IMAGE))
+        .when(F.col("op_ts").isNotNull() & F.col("op_ts").try_cast("timestamp_ntz").isNull(), F.lit(REASON_BAD_TIME))
     )
     return out.withColumn(REASON, reason)
 
@@ -73,6 +80,12 @@ def route(parsed: DataFrame, table: str, tag_col: str = "table") -> DataFrame:
     return parsed.where(F.col(tag_col) == F.lit(table))
 
 
+def unrouted(parsed: DataFrame, wanted: list[tuple[str, str]]) -> DataFrame:
+    """Envelopes that no (tag column, table) of ``wanted`` takes, with their reason."""
+    hit = functools.reduce(operator.or_, [F.coalesce(F.col(tag) == F.lit(table), F.lit(False)) for tag, table in wanted], F.lit(False))
+    return parsed.where(~hit).select(RAW, F.lit(REASON_NO_TARGET).alias(REASON))
+
+
 def route_by_op(parsed: DataFrame, op_type: str) -> DataFrame:
     return parsed.where(F.col("op_type") == F.lit(op_type))
 
@@ -161,21 +174,20 @@ def change_rows(parsed: DataFrame, spec: TargetSpec) -> tuple[DataFrame, DataFra
     return out, bad
 
 
-def has_key_changes(changes: DataFrame) -> bool:
-    """Whether any change moves a row to another key (a narrow scan, stops at the first).
-    Cheap on a persisted batch; on a lazy one use ``envelopes_move_keys``."""
-    return not changes.where(F.col("_prev").isNotNull()).isEmpty()
-
-
-def envelopes_move_keys(parsed: DataFrame, spec: TargetSpec) -> bool:
-    """Whether any update envelope has before/after images with different keys. Parses only
-    the key fields of update images (a narrow scan, stops at the first hit)."""
+def log_shape(parsed: DataFrame, spec: TargetSpec) -> dict[str, bool]:
+    """``key_changes``: whether an update moves a key; ``rebirths``: whether a key changes again after a
+    delete. One job that parses only the key fields and combines per key before its shuffle."""
     ks = spec.key_schema
-    u = parsed.where((F.col("op_type") == F.lit(OP_UPDATE)) & F.col("before").isNotNull() & F.col("after").isNotNull())
-    k = u.select(F.inline(F.array(F.struct(F.from_json("after", ks, JSON_OPTIONS).alias("a"),
-                                           F.from_json("before", ks, JSON_OPTIONS).alias("b")))))
-    differs = _null_safe_differs([F.col(f"a.{c}") for c in spec.keys], [F.col(f"b.{c}") for c in spec.keys])
-    return not k.where(F.col("b").isNotNull() & differs).isEmpty()
+    image = lambda name, alias: F.from_json(name, ks, JSON_OPTIONS).alias(alias)
+    rows = parsed.select("op_type", seq_column(parsed).alias("s"), F.inline(F.array(F.struct(image("after", "a"), image("before", "b")))))
+    moved = (F.col("op_type") == OP_UPDATE) & F.col("b").isNotNull() & _null_safe_differs([F.col(f"a.{c}") for c in spec.keys], [F.col(f"b.{c}") for c in spec.keys])
+    gone = F.col("op_type") == OP_DELETE
+    this = F.struct(F.when(gone, F.col("b")).otherwise(F.col("a")).alias("k"), gone.alias("d"), moved.alias("m"))
+    old = F.struct(F.col("b").alias("k"), F.lit(True).alias("d"), F.lit(True).alias("m"))
+    rows = rows.select("s", F.inline(F.when(moved, F.array(this, old)).otherwise(F.array(this))))
+    keys = rows.groupBy("k").agg(F.max(F.when(F.col("d"), F.col("s"))).alias("last_d"), F.max("s").alias("last"), F.max("m").alias("m"))
+    found = keys.agg(F.max("m").alias("m"), F.max(F.col("last_d") < F.col("last")).alias("r")).first()
+    return {"key_changes": bool(found["m"]), "rebirths": bool(found["r"])}
 
 
 def envelope_columns(df: DataFrame, spec: TargetSpec, op_col: Column, op_ts: Column, pos: Column,

@@ -1,12 +1,13 @@
 """Structured Streaming table sync: ``readStream`` -> ``foreachBatch`` -> per-target merge.
 
-Per micro-batch: skip an empty batch; persist the parsed batch once; set malformed envelopes
-aside in the quarantine table; then for each target in plan order: route -> shape changes
-(bad images and NULL keys to quarantine) -> purge (if enabled) -> merge or phased apply ->
-publish to the target's snapshot store, whose log is the batch ledger (a replayed batch is
-skipped per target) -> one metrics row per (batch, target, op). The batch is unpersisted in
-``finally``. Infrastructure errors are not swallowed: the query fails and, on restart, the
-checkpoint replays the batch, which the ledger makes harmless.
+Per micro-batch: skip an empty batch; persist the parsed batch once; set malformed and unwanted envelopes
+aside in the quarantine table; then for each target: route by its tag -> shape changes
+(bad images and NULL keys to quarantine) -> net change per key in log order, of the op types the plan names ->
+merge (after a purge of the rows read, if enabled) -> publish to the target's store, whose log is the batch ledger.
+A target without rows in the batch is left alone. Quarantine and metrics rows are written before the ledger row, each
+(stream, batch, target) to a folder of its own by overwrite, so a replay neither loses nor doubles
+them, and a target already published is skipped. Infrastructure errors are not swallowed: the query fails and, on
+restart, the checkpoint replays the batch.
 
 State across batches is the target table itself; there is no keyed stream state.
 """
@@ -14,6 +15,7 @@ State across batches is the target table itself; there is no keyed stream state.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -22,18 +24,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ..operators.changes import apply_phases, collapse_changes
-from ..operators.joins import DEFAULT_BROADCAST_ROWS
-from ..operators.retention import purge_expired
+from ..operators.changes import has_rebirths, of_ops, utc_column
+from ..operators.retention import purge_expired, purge_health
 from ..schema import TargetSpec
 from ..sinks.bucketed import BucketedStore
 from ..sinks.snapshot import SnapshotStore
 from ..functions.convert import control_type
 from ..functions.text import error_text
-from ..sources.envelope import RAW, REASON, change_rows, parse_envelope, route, split_bad
+from ..sources.envelope import RAW, REASON, change_rows, parse_envelope, route, split_bad, unrouted
 
 METRICS_DDL = "batch_id long, target string, op string, n long, started_at timestamp, ms long"
 QUARANTINE_DDL = "batch_id long, target string, reason string, raw string"
+HEALTH_DDL = "target string, last_run timestamp"
+ENVELOPES = "_envelopes"  # stands for a target where a row belongs to none
 ERROR_DDL = "batch_id long, failed_at timestamp, error string"
 
 
@@ -44,10 +47,11 @@ class SyncTarget:
     spec: TargetSpec
     store: SnapshotStore | BucketedStore
     tag_col: str = "table"
-    op_order: tuple[str, ...] | None = None  # None: one merge of the net change per key
+    op_order: tuple[str, ...] | None = None  # the op types to apply (all if None); the log orders them
     purge_days: int | None = None
     purge_column: str | None = None
     purge_keys: tuple[str, ...] | None = None
+    full_purge_hours: float = 24.0  # a bucketed store purges the buckets it rewrites anyway, and all of them this often
     insert_mode: str = "replace"
     strategy: str = "auto"
 
@@ -60,13 +64,16 @@ class SyncJob:
     as_of: object = None  # None: current time per batch
     error_path: str | None = None  # one row per failed batch (then the query fails)
     parallelism: int = 1  # targets merged at once within a batch (FAIR pools; set spark.scheduler.mode=FAIR)
-    persist_level: str = "MEMORY_AND_DISK"
+    health: SnapshotStore | None = None  # of HEALTH_DDL: one row per target and batch, ids due are purged
+    health_days: int = 15
+    stream_id: str = ""  # set by run_stream from the checkpoint
     last_batch: dict = field(default_factory=dict)
     # Control refresh: every ``refresh_hours`` the targets are rebuilt by ``refresh()``
     # (typically: re-read the control tables, build_plan, targets_from_plan).
     refresh: Callable[[], list[SyncTarget]] | None = None
     refresh_hours: float = 4.0
     _refreshed_at: float | None = None
+    _purged_at: dict = field(default_factory=dict)
 
     def maybe_refresh(self, now: float) -> bool:
         if self.refresh is None:
@@ -84,7 +91,7 @@ class SyncJob:
 def targets_from_plan(rows: list[dict], spec_for: Callable[[str], TargetSpec],
                       store_for: Callable[[dict, TargetSpec], object]) -> list[SyncTarget]:
     """Plan rows (``plans.control.plan_rows``: one per table and op type, in SEQUENCE order)
-    -> one target per table applying its op types in that order. Purging follows the plan
+    -> one target per table applying its op types, in the order of the log. Purging follows the plan
     (PURGING = 'Y'; days and column from the first row of the table). A table_master column
     type (COLUMNNAME, DATATYPE) declares that image column with the control type, so the
     image parse casts it (a value that does not convert sends the row to quarantine)."""
@@ -110,33 +117,45 @@ def targets_from_plan(rows: list[dict], spec_for: Callable[[str], TargetSpec],
     return out
 
 
-def sync_table(batch: DataFrame, t: SyncTarget, batch_id: int, as_of=None) -> tuple[list, DataFrame]:
-    """Apply one batch to one target and publish it; returns (per-op counts, bad rows)."""
-    routed = route(batch, t.spec.name, t.tag_col)
-    changes, bad = change_rows(routed, t.spec)
-    # One small aggregation over the persisted batch: counts per op type (the metrics), whether
-    # any key moves, and the batch size that bounds the collapsed batch for the merge strategy.
-    stats = changes.groupBy("_op").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.col("_prev").isNotNull()).alias("moves")
-    ).collect()  # at most one row per op type
-    total = sum(r["n"] for r in stats)
-    moves = any(r["moves"] for r in stats)
-    strategy = t.strategy
-    if strategy == "auto":
-        strategy = "broadcast" if total <= DEFAULT_BROADCAST_ROWS else "general"
-    pre = None
-    if t.purge_days is not None:
-        keys = list(t.purge_keys) if t.purge_keys else None
-        pre = lambda df: purge_expired(df, t.purge_days, as_of, t.purge_column, keys)
+def sync_table(batch: DataFrame, t: SyncTarget, batch_id: int, as_of=None, stream: str = "", full_purge: bool = False,
+               before_publish: Callable[[list, DataFrame], None] | None = None) -> list:
+    """Apply one batch to one target and publish it; returns the counts per op type.
+
+    ``before_publish`` gets (counts, bad rows) once they are known. With no row for the target nothing is
+    published, unless a full purge is due.
+    """
+    changes, bad = change_rows(route(batch, t.spec.name, t.tag_col), t.spec)
     if t.op_order:
-        current = t.store.read()
-        current = pre(current) if pre else current
-        new = apply_phases(current, changes, t.spec, list(t.op_order), as_of, t.insert_mode, strategy, moves)
-        t.store.publish(new, batch_id)
-    else:
-        t.store.apply(collapse_changes(changes, t.spec.key_cols), t.spec, as_of, batch_id, pre=pre,
-                      insert_mode=t.insert_mode, strategy=strategy, key_changes=moves)
-    return [(r["_op"], r["n"]) for r in stats], bad
+        changes = of_ops(changes, list(t.op_order))
+    changes = changes.persist()  # images are parsed once for the counts, the touched buckets and the merge
+    try:
+        stats = changes.groupBy("_op").agg(
+            F.count(F.lit(1)).alias("n"), F.max(F.col("_prev").isNotNull()).alias("moves")
+        ).collect()  # at most one row per op type
+        counts = [(r["_op"], r["n"]) for r in stats]
+        if before_publish:
+            before_publish(counts, bad)
+        pre = None
+        if t.purge_days is not None:
+            keys = list(t.purge_keys) if t.purge_keys else None
+            pre = lambda df: purge_expired(df, t.purge_days, as_of, t.purge_column, keys)
+        if counts or (pre and full_purge):
+            t.store.apply(changes, t.spec, as_of, batch_id, pre=pre, full_pre=full_purge, stream=stream, insert_mode=t.insert_mode, strategy=t.strategy,
+                          key_changes=any(r["moves"] for r in stats), rebirths=has_rebirths(changes, t.spec.key_cols))
+        return counts
+    finally:
+        changes.unpersist()
+
+
+def _own_folder(path: str, stream: str, batch_id: int, target: str) -> str:
+    return f"{path}/p_stream={stream or 'none'}/p_batch={batch_id}/p_target={target}"
+
+
+def _write_health(job: SyncJob, names: list[str], instant) -> None:
+    spark = job.health.spark
+    rows = spark.createDataFrame([(n,) for n in names], "target string").withColumn("last_run", instant)
+    kept = purge_health(job.health.read(), "target", "last_run", instant, job.health_days)
+    job.health.publish(kept.unionByName(rows), (job.health.head() or {"version": 0})["version"])
 
 
 def make_batch_fn(job: SyncJob):
@@ -145,45 +164,55 @@ def make_batch_fn(job: SyncJob):
     def run(raw: DataFrame, batch_id: int) -> None:
         spark = raw.sparkSession
         started = time.time()
+        tags = tuple(dict.fromkeys(t.tag_col for t in job.targets)) or ("table",)
         # Persist the parsed batch first: the partitions the emptiness test reads stay cached,
         # so no part of the source is read twice.
-        parsed = parse_envelope(raw).persist()
-        if parsed.isEmpty():
-            parsed.unpersist()
-            return
-        job.maybe_refresh(started)
-        as_of = job.as_of if job.as_of is not None else F.lit(time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(started)))
+        parsed = parse_envelope(raw, tags=tags).persist()
         try:
+            if parsed.isEmpty():
+                return
+            if job.maybe_refresh(started) and any(t.tag_col not in parsed.columns for t in job.targets):
+                parsed.unpersist()
+                parsed = parse_envelope(raw, tags=tuple(dict.fromkeys(t.tag_col for t in job.targets))).persist()
             good, bad_env = split_bad(parsed)
-            quarantine = [bad_env.select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(None).cast("string").alias("target"),
-                                         F.col(REASON).alias("reason"), F.col(RAW).alias("raw"))]
-            metrics = []
+
+            def quarantine(rows: DataFrame, target: str | None) -> None:
+                rows = rows.select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(target).cast("string").alias("target"),
+                                   F.col(REASON).alias("reason"), F.col(RAW).alias("raw"))
+                if not rows.isEmpty():  # reads the persisted batch; stops at the first bad row
+                    rows.write.mode("overwrite").parquet(_own_folder(job.quarantine_path, job.stream_id, batch_id, target or ENVELOPES))
+
+            quarantine(bad_env.select(RAW, REASON).unionByName(unrouted(good, [(t.tag_col, t.spec.name) for t in job.targets])), None)
+
             def one(t: SyncTarget):
                 if job.parallelism > 1:  # each target's jobs share the cluster fairly
                     spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"sync-{t.spec.name}")
                 t0 = time.time()
-                counts, bad = sync_table(good, t, batch_id, as_of)
-                return t, counts, bad, int((time.time() - t0) * 1000)
+                as_of = job.as_of if job.as_of is not None else utc_column(started, t.spec.audit_type)
+                full = t.purge_days is not None and started - job._purged_at.get(t.spec.name, float("-inf")) >= t.full_purge_hours * 3600
 
-            todo = [t for t in job.targets if not t.store.has_batch(batch_id)]
+                def before_publish(counts: list, bad: DataFrame) -> None:
+                    quarantine(bad, t.spec.name)
+                    ms = int((time.time() - t0) * 1000)
+                    rows = spark.createDataFrame([(batch_id, t.spec.name, op, n, ms) for op, n in counts], "batch_id long, target string, op string, n long, ms long")
+                    rows.select("batch_id", "target", "op", "n", F.timestamp_seconds(F.lit(started)).alias("started_at"), "ms") \
+                        .coalesce(1).write.mode("overwrite").parquet(_own_folder(job.metrics_path, job.stream_id, batch_id, t.spec.name))
+
+                sync_table(good, t, batch_id, as_of, job.stream_id, full, before_publish)
+                if full:
+                    job._purged_at[t.spec.name] = started
+
+            todo = [t for t in job.targets if not t.store.has_batch(batch_id, job.stream_id)]
             if job.parallelism > 1 and len(todo) > 1:
                 # Targets are distinct tables (one per table, see targets_from_plan): independent.
                 with ThreadPoolExecutor(max_workers=job.parallelism) as pool:
-                    done = list(pool.map(one, todo))
+                    list(pool.map(one, todo))
             else:
-                done = [one(t) for t in todo]
-            for t, counts, bad, ms in done:
-                metrics += [(batch_id, t.spec.name, op, n, ms) for op, n in counts]
-                quarantine.append(bad.select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(t.spec.name).alias("target"),
-                                             F.col(REASON).alias("reason"), F.col(RAW).alias("raw")))
-            q = quarantine[0]
-            for extra in quarantine[1:]:
-                q = q.unionByName(extra)
-            if not q.isEmpty():  # reads the persisted batch; stops at the first bad row
-                q.write.mode("append").parquet(job.quarantine_path)
-            mdf = spark.createDataFrame(metrics, "batch_id long, target string, op string, n long, ms long")
-            mdf.select("batch_id", "target", "op", "n", F.timestamp_seconds(F.lit(started)).alias("started_at"), "ms") \
-                .coalesce(1).write.mode("append").parquet(job.metrics_path)
+                for t in todo:
+                    one(t)
+            if job.health is not None and todo:
+                instant = F.lit(str(job.as_of)).cast("timestamp") if job.as_of is not None else F.timestamp_seconds(F.lit(started))
+                _write_health(job, [t.spec.name for t in todo], instant)
             job.last_batch = {"batch_id": batch_id, "targets": len(job.targets)}
         except Exception as e:
             # Log the failure, then fail the query: the checkpoint replays the batch on restart
@@ -200,9 +229,27 @@ def make_batch_fn(job: SyncJob):
     return run
 
 
-def run_stream(source: DataFrame, job: SyncJob, checkpoint: str, trigger: dict | None = None, query_name: str | None = None):
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns a checkpoint folder, made on first use and kept in it."""
+    path = f"{checkpoint.rstrip('/')}/sync_stream"
+    try:
+        return spark.read.schema("id string").json(path).first()["id"]
+    except (AnalysisException, TypeError):
+        stream = uuid.uuid4().hex
+        spark.createDataFrame([(stream,)], "id string").coalesce(1).write.mode("overwrite").json(path)
+        return stream
+
+
+def run_stream(source: DataFrame, job: SyncJob, checkpoint: str, trigger: dict | None = None, query_name: str | None = None,
+               plan: DataFrame | None = None, topics: list[str] | None = None):
     """Start the sync query. ``trigger``: e.g. {"processingTime": "60 seconds"} (the default)
-    or {"availableNow": True} to drain what is there and stop."""
+    or {"availableNow": True} to drain what is there and stop. With ``plan`` and ``topics``, the plan's topics are
+    checked first."""
+    if plan is not None and topics is not None:
+        from ..plans.control import validate_topics
+
+        validate_topics(plan, topics)
+    job.stream_id = stream_identity(source.sparkSession, checkpoint)
     trigger = trigger or {"processingTime": "60 seconds"}
     w = source.writeStream.foreachBatch(make_batch_fn(job)).option("checkpointLocation", checkpoint).trigger(**trigger)
     if query_name:
@@ -212,7 +259,8 @@ def run_stream(source: DataFrame, job: SyncJob, checkpoint: str, trigger: dict |
 
 def _read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     try:
-        return spark.read.schema(ddl).parquet(path)
+        names = [c.split()[0] for c in ddl.split(", ")]
+        return spark.read.schema(ddl).parquet(path).select(*names)
     except AnalysisException:  # nothing written yet
         return spark.createDataFrame([], ddl)
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.operators.changes import apply_changes, apply_phases, collapse_changes, merge_changes
+from tablesync.operators.changes import apply_changes, apply_phases, collapse_changes
 from tablesync.schema import INSERT_DATE, UPDATE_DATE, TargetSpec, data_columns, key_list
 from tablesync.sources.envelope import change_rows, parse_envelope, split_bad
 
@@ -90,7 +90,7 @@ def test_latest_event_wins(spark):
         env("I", 9, {"k": 1, "k2": "b", "v": "early"}, ts="2024-01-01 00:00:00.000001"),
         env("U", 10, {"k": 1, "k2": "b", "v": "late-pos-early-ts"}, ts="2024-01-01 00:00:00.000000"),
     ])
-    out = rows(merge_changes(t, collapse_changes(ch, SPEC.key_cols), SPEC, AS_OF))
+    out = rows(apply_changes(t, ch, SPEC, None, AS_OF))
     assert [(r[0], r[1], r[2]) for r in out] == [(1, "a", "third"), (1, "b", "early")]
 
 
@@ -148,7 +148,7 @@ def test_phases_equal_one_pass_when_one_change_per_key(spark):
         env("D", 3, before={"k": 2, "k2": "a"}),
     ])
     a = rows(apply_phases(t, ch, SPEC, ["I", "U", "D"], AS_OF))
-    b = rows(merge_changes(t, collapse_changes(ch, SPEC.key_cols), SPEC, AS_OF))
+    b = rows(apply_changes(t, ch, SPEC, None, AS_OF))
     assert a == b
 
 
@@ -160,7 +160,7 @@ def test_batches_replays_and_one_batch_agree(spark):
 
     def merge(t, part):
         ch, _, _ = changes(spark, part)
-        return spark.createDataFrame(merge_changes(t, collapse_changes(ch, SPEC.key_cols), SPEC, AS_OF).collect(), t0.schema)
+        return spark.createDataFrame(apply_changes(t, ch, SPEC, None, AS_OF).collect(), t0.schema)
 
     one = rows(merge(t0, lines))
     t = t0
@@ -205,7 +205,7 @@ def test_sequence_guard_ignores_late_changes(spark, strategy):
         env("U", 3, {"k": 3, "k2": "a", "v": "fresh"}, ts=day3),
         env("I", 4, {"k": 4, "k2": "a", "v": "new"}, ts=day1),
     ])
-    out = merge_changes(t, collapse_changes(ch, SPEC.key_cols), spec, AS_OF, strategy=strategy)
+    out = apply_changes(t, ch, spec, None, AS_OF, strategy=strategy)
     got = {r["k"]: (r["v"], r["_last_pos"]) for r in out.collect()}
     assert got == {
         1: ("x", newer),

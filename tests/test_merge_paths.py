@@ -1,57 +1,139 @@
-"""The merge paths agree on random change logs (repeated keys, deletes, key moves)."""
+"""Random change logs against a plain sequential answer: every path, one batch, several batches, one event a batch."""
 
-import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tablesync.operators.changes import collapse_changes, merge_changes, resolve_key_chains
-from tablesync.schema import TargetSpec
+from tablesync.operators.changes import apply_changes
+from tablesync.schema import INSERT_DATE
 from tablesync.session import scratch_path
 from tablesync.sinks.bucketed import BucketedStore
-from tablesync.sources.envelope import change_rows, has_key_changes, parse_envelope, split_bad
 
-AS_OF = "2024-06-01 00:00:00"
+from test_changes import AS_OF, OLD, SPEC, changes, env, rows, target
 
 
-def _log(seed, n=200, keys=80):
-    rnd = random.Random(seed)
+def random_log(rnd, n, keys):
+    """Events over few keys, with moves back and forth, in log order."""
     out = []
-    for i in range(n):
-        k = rnd.randrange(keys)
-        op = rnd.choice("IUUD")
-        d = {"table": "T.KV", "op_type": op, "op_ts": "2024-01-01 00:00:00.000000", "pos": f"{i:020d}"}
+    for pos in range(n):
+        k, other = rnd.randrange(keys), rnd.randrange(keys)
+        op = rnd.choice(["I", "U", "U", "M", "M", "D"])
+        out.append((op, k, other if other != k else (k + 1) % keys, f"v{pos}"))
+    return out
+
+
+def lines_of(log, start=0):
+    out = []
+    for pos, (op, k, other, v) in enumerate(log, start):
+        row = lambda key: {"k": key, "k2": "a", "v": v}
         if op == "D":
-            d["before"] = {"k": k}
+            out.append(env("D", pos, before=row(k)))
+        elif op == "M":
+            out.append(env("U", pos, row(other), row(k)))
         else:
-            new_k = k + 1000 if (op == "U" and rnd.random() < 0.1) else k
-            d["after"] = {"k": new_k, "v": f"v{i}"}
-            if op == "U":
-                d["before"] = {"k": k, "v": "old"}
-        out.append(json.dumps(d))
+            out.append(env(op, pos, row(k)))
     return out
 
 
+def sequential(state, log, as_of=AS_OF, mode="replace"):
+    """One event after the other on a dictionary: key -> (value, insert date, update date)."""
+    state = dict(state)
+    for op, k, other, v in log:
+        if op == "D":
+            state.pop(k, None)
+        elif op == "M":
+            old = state.pop(k, None)
+            here = state.get(other) or old
+            state[other] = (v, here[1] if here else as_of, as_of)
+        elif not (op == "I" and mode == "keep" and k in state):
+            state[k] = (v, state[k][1] if k in state else as_of, as_of)
+    return sorted((k, "a", *row) for k, row in state.items())
+
+
+START = {0: ("x", OLD, OLD), 1: ("y", OLD, OLD), 2: ("z", OLD, OLD)}
+
+
+def start(spark):
+    return target(spark, [(k, "a", v) for k, (v, _, _) in START.items()])
+
+
+def local(spark, df):
+    return spark.createDataFrame(df.collect(), df.schema)
+
+
+@pytest.mark.parametrize("strategy", ["general", "broadcast"])
+@pytest.mark.parametrize("mode", ["replace", "keep"])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_general_broadcast_and_bucketed_agree(spark, seed):
-    spec = TargetSpec.of("T.KV", spark.createDataFrame([], "k long, v string").schema, "k")
-    target = spark.range(0, 60, 2).select(
-        F.col("id").alias("k"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("v"),
-        F.lit("2020-01-01").cast("timestamp_ntz").alias("INSERT_DATE"), F.lit("2020-01-01").cast("timestamp_ntz").alias("UPDATE_DATE"))
-    raw = spark.createDataFrame([(x,) for x in _log(seed)], "value string")
-    ch, _ = change_rows(split_bad(parse_envelope(raw))[0], spec)
-    moves = has_key_changes(ch)
-    collapsed = collapse_changes(resolve_key_chains(ch, ["k"]) if moves else ch, ["k"])
-
-    def rows(df):
-        return sorted(tuple(r) for r in df.collect())
-
-    general = rows(merge_changes(target, collapsed, spec, AS_OF, strategy="general", key_changes=moves))
-    broadcast = rows(merge_changes(target, collapsed, spec, AS_OF, strategy="broadcast", key_changes=moves))
-    store = BucketedStore(spark, scratch_path(spark, "t_paths"), spec, buckets=4)
-    store.publish(target, 0)
-    store.apply(collapsed, spec, AS_OF, 1, strategy="general", key_changes=moves)
-    bucketed = rows(store.read())
-    assert general == broadcast == bucketed
-    assert len({r[0] for r in general}) == len(general)  # keys stay unique
+def test_one_batch_equals_the_sequence(spark, seed, mode, strategy):
+    log = random_log(random.Random(seed), 24, 6)
+    ch, _, _ = changes(spark, lines_of(log))
+    out = apply_changes(start(spark), ch, SPEC, None, AS_OF, insert_mode=mode, strategy=strategy)
+    assert rows(out) == sequential(START, log, mode=mode)
+
+
+@pytest.mark.parametrize("size", [1, 5])
+def test_batches_equal_the_sequence(spark, size):
+    log = random_log(random.Random(11), 10, 5)
+    t = start(spark)
+    for at in range(0, len(log), size):
+        ch, _, _ = changes(spark, lines_of(log[at : at + size], at))
+        t = local(spark, apply_changes(t, ch, SPEC, None, AS_OF, strategy="broadcast"))
+    assert rows(t) == sequential(START, log)
+
+
+def test_bucketed_store_equals_the_sequence(spark):
+    log = random_log(random.Random(5), 30, 9)
+    store = BucketedStore(spark, scratch_path(spark, "t_paths"), SPEC, buckets=5)
+    store.publish(start(spark), 0)
+    for n, at in enumerate(range(0, 30, 15), 1):
+        ch, _, _ = changes(spark, lines_of(log[at : at + 15], at))
+        store.apply(ch, SPEC, AS_OF, n)
+    assert rows(store.read()) == sequential(START, log)
+
+
+def test_moves_in_a_circle_end(spark):
+    """1 -> 2, 2 -> 1, 1 -> 2: the first life of key 1 is the origin."""
+    log = [("M", 1, 2, "a"), ("M", 2, 1, "b"), ("M", 1, 2, "c")]
+    t = target(spark, [(1, "a", "y")])
+    ch, _, _ = changes(spark, lines_of(log))
+    assert rows(apply_changes(t, ch, SPEC, None, AS_OF)) == [(2, "a", "c", OLD, AS_OF)]
+
+
+def test_a_key_used_as_swap_slot_many_times(spark):
+    log = []
+    for k in range(60):
+        log += [("M", k, 1000, "out"), ("M", 1000, k, "back")]
+    t = target(spark, [(k, "a", "v") for k in range(60)])
+    ch, _, _ = changes(spark, lines_of(log))
+    out = apply_changes(t, ch, SPEC, None, AS_OF)
+    assert out.count() == 60 and {str(r[INSERT_DATE]) for r in out.collect()} == {OLD}
+
+
+def test_moved_rows_and_op_types(spark):
+    """A move belongs to the updates: without them in the plan, its old row stays."""
+    log = [("I", 7, 0, "new"), ("M", 1, 8, "moved"), ("D", 2, 0, "")]
+    t = start(spark)
+    ch, _, _ = changes(spark, lines_of(log))
+    without = {r[0]: r[2] for r in rows(apply_changes(t, ch, SPEC, ["I", "D"], AS_OF))}
+    assert without == {0: "x", 1: "y", 7: "new"}
+    assert rows(apply_changes(t, ch, SPEC, ["D", "U", "I"], AS_OF)) == sequential(START, log)
+
+
+def test_tombstones_keep_late_events_out(spark):
+    from pyspark.sql import types as T
+
+    from tablesync.operators.changes import live_rows
+    from tablesync.schema import TargetSpec
+
+    spec = TargetSpec(SPEC.name, SPEC.data_schema, SPEC.keys, seq_column="_pos", tombstone="_dead")
+    t = start(spark).withColumn("_pos", F.lit(None).cast("string")).withColumn("_dead", F.lit(False))
+    assert isinstance(spec.table_schema["_dead"].dataType, T.BooleanType)
+    log = random_log(random.Random(8), 12, 4)
+    log = [x if x[0] != "M" else ("U", x[1], x[2], x[3]) for x in log]
+    batches = [log[8:], log[:4], log[4:8]]  # the last part arrives first
+    for part, at in zip(batches, (8, 0, 4)):
+        ch, _, _ = changes(spark, lines_of(part, at))
+        t = local(spark, apply_changes(t, ch, spec, None, AS_OF, strategy="general"))
+    want = {r[0]: r[2] for r in sequential(START, log)}
+    assert {r["k"]: r["v"] for r in live_rows(t, spec).collect()} == want
