@@ -28,6 +28,7 @@ from ..operators.changes import has_rebirths, of_ops, utc_column
 from ..operators.retention import purge_expired, purge_health
 from ..schema import TargetSpec
 from ..sinks.bucketed import BucketedStore
+from ..sinks.jdbc import JdbcStore
 from ..sinks.snapshot import SnapshotStore
 from ..functions.convert import control_type
 from ..functions.text import error_text
@@ -45,7 +46,7 @@ class SyncTarget:
     """One target of a sync job (one plan entry, or all op types of a table at once)."""
 
     spec: TargetSpec
-    store: SnapshotStore | BucketedStore
+    store: SnapshotStore | BucketedStore | JdbcStore
     tag_col: str = "table"
     op_order: tuple[str, ...] | None = None  # the op types to apply (all if None); the log orders them
     purge_days: int | None = None
