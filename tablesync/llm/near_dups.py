@@ -8,9 +8,9 @@ agree in a band are candidates, and their exact probability Jaccard is then comp
 
 Exact copies (equal lower-cased words) are one text from the start. A band's bucket of up to ``small`` texts
 gives all its pairs. In a larger one every text meets the bucket's first and last text by hash and that of
-its salt; then, where the bucket's texts are not yet one class, each text outside its largest class meets all
-texts of other classes: no link between classes that the bands propose is lost, and no quadratic set of
-pairs within a class is made.
+its salt; then, where the bucket's texts are not yet one class, prefix filtering groups those that may still link,
+and bounded blocks of them are compared as matrices: no link between classes is lost, and no
+quadratic set of pairs is made.
 
 Defined results: null and empty texts (no word) are alone in their class; rows that share a doc_id
 are one document; a row with a null doc_id has a null class and is kept; an empty table gives no rows.
@@ -173,16 +173,118 @@ def candidate_pairs(member: DataFrame, small: int, salts: int) -> DataFrame:
     return few.unionByName(star).distinct()
 
 
-def unsettled_pairs(member: DataFrame, classes: DataFrame, small: int) -> DataFrame:
-    """In large buckets of several classes: each node outside the largest class with all nodes of other classes."""
-    many = member.where(F.col("n") > small).select("key", "node")
-    many = many.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = many.groupBy("key", "component").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
-    mixed = many.join(largest.select("key", "largest"), "key")
-    outside = mixed.where("component != largest").select("key", F.col("node").alias("x"), F.col("component").alias("cx"))
-    pairs = outside.join(mixed.select("key", "node", "component"), "key").where("cx != component")
-    return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+def unsettled_nodes(member: DataFrame, classes: DataFrame, small: int) -> DataFrame:
+    """(node, component) of the large buckets that hold several classes."""
+    many = member.where(F.col("n") > small).select("key", "node").join(classes, "node", "left")
+    many = many.withColumn("component", F.coalesce("component", "node"))
+    parts = many.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    return many.join(parts.select("key"), "key").select("node", "component").distinct()
+
+
+def canopies(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(node, canopy): the ``nodes`` that may reach ``similarity`` with another, grouped so that all such pairs share a canopy.
+
+    Prefix filtering: probability Jaccard is at most the common mass of the two texts' normalised weights. So if each text's
+    shingles are put in one order (that of their hashes), two texts that reach it share one among those that come
+    before 1 - similarity of the mass is used up. Texts that share one are in one canopy.
+    """
+    texts = texts.join(nodes.select(F.col("node").alias("doc_id")), "doc_id")
+
+    def prefixes(batches):
+        for batch in batches:
+            for lo, hi, buf, offsets in slices(pc.utf8_lower(pc.fill_null(batch.column("text"), ""))):
+                row, code, weight, *_ = shingles(buf, offsets)
+                share = weight / np.bincount(row, weights=weight, minlength=hi - lo)[row]
+                total = np.cumsum(share)
+                used = total - share - np.concatenate([[0.0], total])[np.searchsorted(row, row)]
+                keep = used <= 1 - similarity + 1e-6
+                ids = batch.column("doc_id").slice(lo, hi - lo).take(pa.array(row[keep]))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(code[keep].view(np.int64))], names=["node", "shingle"])
+
+    rows = stash(texts.select("doc_id", "text").mapInArrow(prefixes, "node long, shingle long"), "prefixes")
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("df"), F.min("node").alias("first")).where("df > 1")
+    links = rows.join(shared, "shingle").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+    return components(links).withColumnRenamed("component", "canopy")
+
+
+def mass_bound(left: list[tuple[np.ndarray, np.ndarray]], right: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Upper bounds of the probability Jaccard of all left and right texts, given their (shingles, weights).
+
+    With p and q the masses of either text inside the other, the two minima agree at most as if they came
+    from one exponential variable: 1 / (1/p + 1/q - 1).
+    """
+    sides = []
+    for texts in (left, right):
+        code = np.concatenate([c for c, _ in texts])
+        row = np.repeat(np.arange(len(texts)), [len(c) for c, _ in texts])
+        sides.append((code, row, np.concatenate([w / w.sum() for _, w in texts])))
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    p, q = np.zeros((len(left), len(right))), np.zeros((len(left), len(right)))
+    for lo in range(0, len(common), 4096):  # bounds the dense matrices
+        some = common[lo : lo + 4096]
+        dense = []
+        for (code, row, share), texts in zip(sides, (left, right)):
+            at = np.minimum(np.searchsorted(some, code), len(some) - 1)
+            hit = some[at] == code
+            mass, held = np.zeros((len(texts), len(some)), np.float32), np.zeros((len(texts), len(some)), np.float32)
+            mass[row[hit], at[hit]], held[row[hit], at[hit]] = share[hit], 1
+            dense.append((mass, held))
+        (mass_l, held_l), (mass_r, held_r) = dense
+        p += mass_l @ held_r.T
+        q += held_l @ mass_r.T
+    with np.errstate(divide="ignore"):
+        return 1 / (1 / np.minimum(p, 1) + 1 / np.minimum(q, 1) - 1)
+
+
+def links_between_classes(nodes: DataFrame, texts: DataFrame, similarity: float, left_rows: int = 256, right_rows: int = 512) -> DataFrame:
+    """Links (a, b) that join all components of ``nodes`` (node, component) between which some pair reaches ``similarity``.
+
+    In a canopy, blocks of nodes outside its largest component meet blocks of all its nodes; a task holds two
+    blocks and returns only links that join components it has not yet joined.
+    """
+    grouped = nodes.join(canopies(nodes, texts, similarity), "node").join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
+    grouped = stash(grouped, "canopies")
+    sizes = grouped.groupBy("canopy", "component").agg(F.count("*").alias("size"))
+    sizes = sizes.groupBy("canopy").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.sum("size").alias("all"), F.max("size").alias("most"), F.count("*").alias("parts"))
+    blocks = [F.ceil((F.col("all") - F.col("most")) / left_rows).cast("int").alias("lefts"), F.ceil(F.col("all") / right_rows).cast("int").alias("rights")]
+    rows = grouped.join(sizes.where("parts > 1").select("canopy", "largest", *blocks), "canopy")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.where("component != largest").withColumn("i", F.pmod(F.xxhash64("node"), "lefts").cast("int")).withColumn("j", every("rights"))
+    right = rows.withColumn("j", F.pmod(F.xxhash64("node", F.lit(1)), "rights").cast("int")).withColumn("i", every("lefts"))
+    columns = ["canopy", "i", "j", "node", "component", "text"]
+    right = right.select(columns).toDF(*columns)
+
+    def meet(one: pa.Table, other: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if one.num_rows and other.num_rows:
+            bags = []
+            for table in (one, other):
+                bag = []
+                for lo, hi, buf, offsets in slices(pc.utf8_lower(pc.fill_null(table["text"], ""))):
+                    row, code, weight, *_ = shingles(buf, offsets)
+                    cut = np.searchsorted(row, np.arange(1, hi - lo))
+                    bag += zip(np.split(code, cut), np.split(weight, cut))
+                bags.append(bag)
+            bound = mass_bound(*bags)
+            (a, ca), (b, cb) = ((t["node"].to_pylist(), t["component"].to_pylist()) for t in (one, other))
+            x, y = np.nonzero((bound >= similarity - 1e-4) & (np.array(ca)[:, None] != np.array(cb)[None]))
+            root = {c: c for c in [*ca, *cb]}
+
+            def find(c: int) -> int:
+                while root[c] != c:
+                    root[c] = root[root[c]]
+                    c = root[c]
+                return c
+
+            for k in np.argsort(-bound[x, y], kind="stable").tolist():
+                i, j = x[k], y[k]
+                c, d = find(ca[i]), find(cb[j])
+                if c != d and probability_jaccard(*bags[0][i], *bags[1][j]) >= similarity:
+                    root[max(c, d)] = min(c, d)
+                    found.append((a[i], b[j]))
+        return pa.table({"a": pa.array([p for p, _ in found], pa.int64()), "b": pa.array([p for _, p in found], pa.int64())})
+
+    return left.select(columns).groupBy("canopy", "i", "j").cogroup(right.groupBy("canopy", "i", "j")).applyInArrow(meet, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 20, band_rows: int = 5, small: int = 24, salts: int = 64) -> DataFrame:
@@ -197,10 +299,12 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 20, b
     texts = stash(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "candidates")
     links = stash(verified(candidate_pairs(member, small, salts), texts, similarity), "pairs")
     classes = components(links)
-    rest = stash(unsettled_pairs(member, classes, small), "unsettled")
+    rest = stash(unsettled_nodes(member, classes, small), "unsettled")
     if not rest.isEmpty():
-        links = links.unionByName(stash(verified(rest, texts, similarity), "more-pairs"))
-        classes = components(links)
+        more = stash(links_between_classes(rest, texts, similarity), "more-links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            classes = components(links)
     by_text = nodes.select("fp1", "fp2", "node").join(classes, "node", "left").select("fp1", "fp2", F.coalesce("component", "node").alias("class"))
     out = sketched.drop("bands").join(by_text, ["fp1", "fp2"], "left")
     class_id = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("class")).otherwise(F.col("doc_id"))
