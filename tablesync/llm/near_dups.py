@@ -76,7 +76,7 @@ def prob_min_hash(row: np.ndarray, code: np.ndarray, weight: np.ndarray, rows: i
     limit = np.full(rows, np.inf)
     drawn, block = 0, 1
     while len(live):
-        for part in np.array_split(live, max(1, len(live) * block >> 21)):  # bounds the matrix of arrivals
+        for part in np.array_split(live, max(1, len(live) * block >> 18)):  # bounds the matrix of arrivals
             number = U(drawn) + np.arange(1, block + 1, dtype=np.uint64)
             bits = mix(code[part][:, None] + mix(number * U(0x9E3779B97F4A7C15)))
             step = -np.log(((bits >> U(11)).astype(float) + 0.5) / float(1 << 53)) / weight[part][:, None]

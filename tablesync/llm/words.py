@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20  # text handled at once; a longer document makes a slice of its own
+SLICE_BYTES = 1 << 19  # text handled at once; a longer document makes a slice of its own
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
