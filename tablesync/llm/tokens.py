@@ -65,7 +65,9 @@ class SegmentEncoder:
 
     def add(self, hashes: np.ndarray, segments: list[str]) -> None:
         """``hashes`` distinct and not yet known."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
+        found = []
+        for lo in range(0, len(segments), 4096):  # the library's results are much larger than their ids
+            found += [e.ids for e in self.tokenizer.encode_batch_fast(segments[lo : lo + 4096], add_special_tokens=False)]
         count = np.fromiter(map(len, found), np.int64, len(found))
         base, n, used = self.known, len(hashes), int(self.at[self.known])
         end = used + int(count.sum())
