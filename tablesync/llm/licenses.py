@@ -89,7 +89,8 @@ def own_licenses(docs: DataFrame, threshold: float) -> DataFrame:
     held = docs.where(F.col("text").rlike(cue)).select("file", "text").distinct()
     lines = F.filter(F.split("text", r"\r?\n|\r"), lambda line: line.rlike(cue))
     units = held.select("file", F.explode(F.array_union(lines, F.array("text"))).alias("unit"))
-    counted = units.select("file", "unit", F.explode(words_of(F.col("unit"))).alias("word")).groupBy("file", "unit", "word").agg(F.count("*").alias("tf"))
+    # words travel with a hash of their unit, not with its text
+    counted = units.select("file", F.xxhash64("unit").alias("unit"), F.explode(words_of(F.col("unit"))).alias("word")).groupBy("file", "unit", "word").agg(F.count("*").alias("tf"))
     known = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
     weight = F.col("tf") * F.coalesce(known[F.col("word")], F.lit(rare))
     dots = []
