@@ -1,15 +1,17 @@
 """Embedding near-duplicates: spherical k-means cells and blocked cosine products.
 
 Centroids are fitted on a bounded sample; every vector is then assigned to its nearest one (by cosine) and
-visits each other cell whose border is near enough for a partner to lie behind it. A cell's members
-are cut into blocks; a block of visitors or members against a block of members is one product of two bounded
-matrices. A task returns link counts and, for components, each vector's smallest linked
+visits each later cell whose border is near enough for a partner to lie behind it, so two cells meet on one side
+only and a link found there counts for both its ends. A cell's members
+are cut into blocks; a block of visitors or members against a block of members is compared as two bounded
+matrices: the product of the first components plus the product of the rests' lengths is at least the cosine, and only
+pairs this bound leaves are compared whole. A task returns link counts and, for components, each vector's smallest linked
 vector after settling links inside the block, never the pairs.
 
 Equal vectors are one vector with a multiplicity, so a very common one is a single row.
 
-With ``slack`` 1 the border test is exact (x.(c-c') <= r |c-c'|, r the largest distance of two unit vectors that link):
-no link is lost. Smaller values visit fewer cells and may lose links; recall is then to be measured.
+With ``slack`` 1, the default, the border test is exact (x.(c-c') <= r |c-c'|, r the largest distance of two unit vectors
+that link): no link is lost. Smaller values visit fewer cells and may lose links; recall is then to be measured.
 
 Defined results: vectors that are null, empty, zero, or hold a null or non-finite component, and those with a
 null vec_id, link with nothing (n_links 0, their own component, kept); vectors of different length
@@ -67,8 +69,28 @@ def settle(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) ->
             return at_left, at_right
 
 
+def linked_pairs(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of all rows of ``x`` and ``y`` (unit rows) whose cosine reaches ``cosine``, in order of i."""
+    dims = x.shape[1]
+    head = max(1, dims // 4)
+    front = lambda m: np.hstack([m[:, :head], np.linalg.norm(m[:, head:], axis=1, keepdims=True)]).astype(np.float32)
+    u, w = front(x), front(y).T.copy()
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo in range(0, len(x), 512):  # bounds the products
+        some = x[lo : lo + 512]
+        i, j = np.divmod(np.flatnonzero(u[lo : lo + 512] @ w >= cosine - 1e-5), len(y))  # rounding of single precision is below 1e-5
+        if len(i) * 32 > len(some) * len(y):  # the bound does not part them: all pairs whole
+            i, j = np.nonzero(some @ y.T >= cosine)
+        else:
+            reach = np.einsum("ij,ij->i", some[i], y[j]) >= cosine
+            i, j = i[reach], j[reach]
+        left.append(i + lo)
+        right.append(j)
+    return np.concatenate(left), np.concatenate(right)
+
+
 def cell_visits(distinct: DataFrame, centre: np.ndarray, reach: float) -> DataFrame:
-    """(cell, node, copies, home, v): every vector in its own cell, and in those it visits."""
+    """(cell, node, copies, home, v): every vector in its own cell, and in the later ones it visits."""
     dims, shared = centre.shape[1], distinct.sparkSession.sparkContext.broadcast(centre)
     span = np.linalg.norm(centre[:, None] - centre[None], axis=2) if len(centre) <= 512 else None
 
@@ -82,7 +104,7 @@ def cell_visits(distinct: DataFrame, centre: np.ndarray, reach: float) -> DataFr
                 home = like.argmax(1)
                 gap = like[np.arange(len(x)), home][:, None] - like
                 apart = span[home] if span is not None else np.sqrt(np.maximum(0, 2 - 2 * (c[home] @ c.T)))
-                goes = gap <= reach * apart
+                goes = (gap <= reach * apart + 1e-9) & (np.arange(len(c)) > home[:, None])
                 goes[np.arange(len(x)), home] = True
                 row, cell = np.nonzero(goes)
                 take = pa.array(row)
@@ -93,29 +115,34 @@ def cell_visits(distinct: DataFrame, centre: np.ndarray, reach: float) -> DataFr
 
 
 def block_links(visits: DataFrame, dims: int, cosine: float, block_rows: int) -> DataFrame:
-    """(node, linked, other): linked vectors of a node in one block, and a link that keeps its component."""
+    """(node, linked, other): linked vectors of a node in one block, and a link that keeps its component.
+
+    A link counts for both its ends: visitors come from one side only, and of two members the one with the smaller node counts.
+    """
     sizes = visits.groupBy("cell").agg(F.count("*").alias("queries"), F.sum(F.col("home").cast("long")).alias("members"))  # a row per cell
     sizes = sizes.select("cell", F.ceil(F.col("queries") / block_rows).cast("int").alias("q"), F.greatest(F.lit(1), F.ceil(F.col("members") / block_rows).cast("int")).alias("m"))
     rows = visits.join(F.broadcast(sizes), "cell")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    queries = rows.withColumn("i", F.pmod(F.xxhash64("node"), "q").cast("int")).withColumn("j", every("m")).select("cell", "i", "j", "node", "v")
+    queries = rows.withColumn("i", F.pmod(F.xxhash64("node"), "q").cast("int")).withColumn("j", every("m")).select("cell", "i", "j", "node", "copies", "home", "v")
     members = rows.where("home").withColumn("j", F.pmod(F.xxhash64("node", F.lit(1)), "m").cast("int")).withColumn("i", every("q")).select("cell", "i", "j", "node", "copies", "v")
     members = members.toDF(*members.columns)  # columns of its own: both sides come from one table
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         a = left["node"].to_numpy().astype(np.int64)
         b = right["node"].to_numpy().astype(np.int64)
-        linked, other = np.zeros(len(a), np.int64), a.copy()
+        linked, other = np.zeros(len(a) + len(b), np.int64), np.concatenate([a, b])
         if len(a) and len(b):
             x, y = (unit_rows(t["v"].combine_chunks(), dims) for t in (left, right))
-            i, j = np.nonzero(x @ y.T >= cosine)
-            linked = np.bincount(i, weights=right["copies"].to_numpy()[j], minlength=len(a)).astype(np.int64)
-            other, low = settle(a, b, i, j)
-            # members have links of their own: what they settled on is a link too
-            more = np.flatnonzero(low != b)
-            a, linked, other = np.concatenate([a, b[more]]), np.concatenate([linked, np.zeros(len(more), np.int64)]), np.concatenate([other, low[more]])
-        keep = (linked > 0) | (other != a)
-        return pa.table({"node": a[keep], "linked": linked[keep], "other": other[keep]})
+            i, j = linked_pairs(x, y, cosine)
+            once = ~left["home"].to_numpy()[i] | (a[i] <= b[j])  # members meet in both orders
+            i, j = i[once], j[once]
+            both = ~left["home"].to_numpy()[i] | (a[i] < b[j])  # vectors of one node are seen from each
+            linked[: len(a)] = np.bincount(i, weights=right["copies"].to_numpy()[j], minlength=len(a))
+            linked[len(a) :] = np.bincount(j[both], weights=left["copies"].to_numpy()[i[both]], minlength=len(b))
+            other = np.concatenate(settle(a, b, i, j))
+        nodes = np.concatenate([a, b])
+        keep = (linked > 0) | (other != nodes)
+        return pa.table({"node": nodes[keep], "linked": linked[keep], "other": other[keep]})
 
     grouped = queries.groupBy("cell", "i", "j").cogroup(members.groupBy("cell", "i", "j"))
     return grouped.applyInArrow(compare, "node long, linked long, other long")
@@ -135,7 +162,7 @@ def _centroids(distinct: DataFrame, dims: int, cell_rows: int, sample_rows: int,
 
 
 def link_vectors(
-    vectors: DataFrame, cosine: float = 0.95, cell_rows: int = 1500, block_rows: int = 2048, sample_rows: int = 20_000, most_cells: int = 4096, slack: float = 0.4
+    vectors: DataFrame, cosine: float = 0.95, cell_rows: int = 1500, block_rows: int = 2048, sample_rows: int = 20_000, most_cells: int = 4096, slack: float = 1.0
 ) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding): vec_id, n_links, component_id, kept.
 

@@ -143,6 +143,18 @@ def test_vectors_against_all_pairs(spark):
     check_vectors(spark, rows)
 
 
+def test_vectors_near_cell_borders(spark):
+    # few dimensions inside more: planted partners often lie in different cells
+    rng = np.random.default_rng(5)
+    flat = rng.normal(size=(1200, 4))
+    near = flat[:400] / np.linalg.norm(flat[:400], axis=1, keepdims=True)
+    side = rng.normal(size=near.shape)
+    side -= (side * near).sum(1, keepdims=True) * near
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    x = np.concatenate([flat, 0.955 * near + np.sqrt(1 - 0.955**2) * side]) @ np.linalg.qr(rng.normal(size=(16, 4)))[0].T
+    check_vectors(spark, [(k, [float(c) for c in v]) for k, v in enumerate(x)], cell_rows=40)
+
+
 def test_vector_edges(spark):
     v = [0.1, 0.2]
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [None, 1.0]), (7, v), (8, [x * 1e30 for x in v]), (9, [0.1, 0.2, 0.0]), (10, [0.0, 1.0]), (11, [-0.0, 1.0]), (None, v)]
