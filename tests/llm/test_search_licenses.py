@@ -82,3 +82,25 @@ def test_license_scan(spark):
     }
     assert scan_licenses(docs).count() == len(rows)
     assert scan_licenses(docs.limit(0)).count() == 0
+
+
+def test_license_tags_and_wrapped_headers(spark):
+    apache = (
+        "Licensed under the Apache License, Version 2.0 (the \"License\");|you may not use this file except in compliance with the License.|You may obtain a copy of the License at||    http://www.apache.org/licenses/LICENSE-2.0||"
+        "Unless required by applicable law or agreed to in writing, software|distributed under the License is distributed on an \"AS IS\" BASIS,|WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."
+    ).split("|")
+    code = "\n".join(f"value{k} = compute{k}(alpha{k}, beta{k})" for k in range(300))
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met:"
+    agpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU Affero General Public License as\n# published by the Free Software Foundation, either version 3 of the\n# License, or (at your option) any later version."
+    texts = {
+        "MIT": "// SPDX-License-Identifier: MIT\n" + code,
+        "Apache-2.0": code + "\n" + "\n".join(" * " + line for line in apache) + "\n" + code,
+        "BSD-3-Clause": code + "\n" + bsd + "\n" + code,
+        "AGPL-3.0": agpl + "\n" + code,
+        "GPL-3.0": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n\n" + "The licenses for most works are designed to take away your freedom. " * 50,
+        "LGPL-2.1": "/* SPDX-License-Identifier: LGPL-2.1-or-later */",
+        "": "// SPDX-License-Identifier: LicenseRef-Own\n" + code,
+    }
+    docs = spark.createDataFrame([(k, f"d{k}/f", t) for k, t in enumerate(texts.values())], "doc_id long, path string, text string")
+    got = {r["doc_id"]: r["own_license"] for r in scan_licenses(docs).collect()}
+    assert got == {k: name or None for k, name in enumerate(texts)}
