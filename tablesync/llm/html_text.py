@@ -1,14 +1,16 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines, one per block of text; scripts, styles, comments and elements that
-are never article text (menus, forms, footers, adverts, reader comments, by element or by class and id)
-go with it. Each remaining line has its text length without link text; summed over sliding windows of lines, these
+Markup is stripped into lines, one per block of text; scripts, styles and comments go with it. Text inside furniture
+(menus, forms, footers, adverts, reader comments, by element or by class and id) is marked, and left out once the whole
+page is read, but only where the furniture is no wrapper of the article: an element that holds most of the text of
+the article elements, or, on a page without such, most of the page's text without links, is none. Each remaining line has its text length without link text; summed over sliding windows of lines, these
 lengths surge where the article begins and dive where it ends. The run of lines between surge and dive
 with the most text is the core; it is widened to the container element that holds all of it, so
 short lines at the edges (a headline, a last sentence) stay, and lines mostly of links are left out
 where that container is the whole page.
 
-Defined results: a null or empty html, or one without text, gives "" and 0; unclosed or cut markup is
+Defined results: a null or empty html, or one without text, gives "" and 0; a page whose text outside links is all inside
+furniture is read as if it had none; unclosed or cut markup is
 read to its end; repeated rows and null ids are rows like any other; extra columns are not read.
 """
 
@@ -29,7 +31,9 @@ THRESHOLD = 40  # characters a window needs for a surge
 
 # Elements by their part in a page.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "noembed", "noframes", "xmp", "svg", "math"}
-NEVER = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "object", "canvas", "audio", "video", "map"}
+NEVER = {"head", "button", "select", "option", "object", "canvas", "audio", "video", "map"}
+PARTS = {"nav", "footer", "aside", "menu", "dialog"}
+HEAD = {"base", "html", "link", "meta"}  # do not end the head
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br"}
 BOXES = {"html", "body", "div", "main", "article", "section", "td", "center", "table", "tbody", "tr", "header"}
@@ -38,6 +42,10 @@ WIDGETS = (
     "footer foot header masthead topbar cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login search form share sharing social "
     "comment comments commentlist respond disqus reply replies discussion related recommended widget pagination pager toolbar legal copyright skip hidden"
 ).split()
+# Furniture that may hold more text than a short article, and words before one that say the element is not it.
+DECLARED = set("cookie cookies consent gdpr dialog alertdialog menu navigation complementary contentinfo comment comments commentlist respond disqus reply replies discussion".split())
+ABOUT = {"no", "non", "not", "with", "without", "has", "is", "hide", "show"}
+WRAPPER, OWN, HARD = 1, 2, 3
 
 _MARKUP = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)([^>=]*(?:=(?:\s*\"[^\"]*(?:\"|\Z)|\s*'[^']*(?:'|\Z))?[^>=]*)*)(?:>|\Z)|<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)",
@@ -47,23 +55,26 @@ _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?
 _WORDS = re.compile(r"[^a-z0-9]+")
 
 
-def is_widget(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is furniture of the page and no article text."""
+def furniture(tag: str, attributes: str, in_article: bool) -> int:
+    """0 for article text, else ``WRAPPER`` (may be around the article), ``OWN`` (says what it is) or ``HARD`` (never text)."""
     if tag in NEVER:
-        return True
-    if tag == "header" and not in_article:
-        return True
+        return HARD
+    if tag in PARTS:
+        return OWN
+    kind = WRAPPER if tag == "form" or tag == "header" and not in_article else 0
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return kind
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return OWN
         if name == "role" and value in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "form"):
-            return True
-        if name in ("class", "id") and any(w in WIDGETS for w in _WORDS.split(value)):
-            return True
-    return False
+            kind = max(kind, OWN if value in DECLARED else WRAPPER)
+        if name in ("class", "id"):
+            for words in map(_WORDS.split, value.split()):
+                if words[0] not in ABOUT and any(w in WIDGETS for w in words):
+                    kind = max(kind, OWN if words[0] in DECLARED else WRAPPER)
+    return kind
 
 
 @dataclass
@@ -73,39 +84,100 @@ class Line:
     boxes: tuple[int, ...]  # the container elements around it, outermost first
 
 
+@dataclass
+class Part:
+    raw: str
+    links: int
+    marks: tuple[int, ...]  # numbers of the furniture around it, outermost first
+    article: bool  # inside an article or main element
+
+    @property
+    def plain(self) -> int:
+        return len(self.raw.strip()) - self.links
+
+
 @dataclass
 class _Reader:
-    """Lines of a page from its markup."""
+    """Lines of a page from its markup, as parts with marks."""
 
-    lines: list[Line] = field(default_factory=list)
-    open: list[tuple[str, bool, int]] = field(default_factory=list)  # tag, is furniture, number
-    parts: list[str] = field(default_factory=list)
-    links: int = 0
-    skipped: int = 0  # furniture elements open
+    lines: list[tuple[list[Part], tuple[int, ...]]] = field(default_factory=list)
+    open: list[tuple[str, int, int]] = field(default_factory=list)  # tag, kind of furniture, number
+    parts: list[Part] = field(default_factory=list)
+    marks: tuple[int, ...] = ()
+    kinds: dict[int, int] = field(default_factory=dict)  # of furniture, by number
+    mains: set[int] = field(default_factory=set)  # furniture around a main element
+    around: set[int] = field(default_factory=set)  # furniture around an outermost article element
+    counted: set[int] = field(default_factory=set)  # article and main elements, without reader comments
+    articles: int = 0  # how many of them are open
+    skipped: int = 0  # elements open that never hold text
     linked: int = 0
     count: int = 0
 
     def text(self, raw: str) -> None:
         if raw and not self.skipped:
-            self.parts.append(raw)
-            if self.linked:
-                self.links += len(raw.strip())
+            self.parts.append(Part(raw, len(raw.strip()) if self.linked else 0, self.marks, self.articles > 0))
 
     def cut(self) -> None:
         if self.parts:
-            text = " ".join(html.unescape("".join(self.parts)).split())
+            self.lines.append((self.parts, tuple(n for tag, _, n in self.open if tag in BOXES)))
+            self.parts = []
+
+    def kept(self, free: set[int]) -> list[Line]:
+        """The lines without the furniture that is not ``free``."""
+        out = []
+        for parts, boxes in self.lines:
+            parts = [x for x in parts if not x.marks or free.issuperset(x.marks)]
+            text = " ".join(html.unescape("".join(x.raw for x in parts)).split())
             if text:
-                self.lines.append(Line(text, self.links, tuple(n for tag, _, n in self.open if tag in BOXES)))
-            self.parts, self.links = [], 0
+                out.append(Line(text, sum(x.links for x in parts), boxes))
+        return out
+
+    def wrappers(self) -> set[int]:
+        """The furniture that is around the article and so is none."""
+        total, article = 0, 0
+        held, of_article = dict.fromkeys(self.kinds, 0), dict.fromkeys(self.kinds, 0)
+        for parts, _ in self.lines:
+            for x in parts:
+                total += x.plain
+                article += x.plain * x.article
+                for n in x.marks:
+                    held[n] += x.plain
+                    of_article[n] += x.plain * x.article
+        free = set()
+        for n, kind in self.kinds.items():
+            most, most_article = 2 * held[n] > total, 2 * of_article[n] > article
+            if kind == WRAPPER and (most_article or most and 4 * article < total) or kind == OWN and n in self.around and most_article and most or n in self.mains:
+                free.add(n)
+        return free
+
+    def result(self) -> list[Line]:
+        free = self.wrappers() if self.kinds else set()
+        lines = self.kept(free)
+        total = sum(x.plain for parts, _ in self.lines for x in parts) if self.kinds else 0
+        if total and not _surges(lines) and not any(x.article and x.plain and free.issuperset(x.marks) for parts, _ in self.lines for x in parts):
+            # no article outside the furniture
+            held = dict.fromkeys(self.kinds, 0)
+            for parts, _ in self.lines:
+                for x in parts:
+                    for n in x.marks:
+                        held[n] += x.plain
+            lines = self.kept(free | {n for n in self.kinds if 2 * held[n] > total and held[n] > 10 * THRESHOLD})
+            if not any(len(x.text) > x.links for x in lines):
+                lines = self.kept(set(self.kinds))
+        return lines
 
     def close(self, at: int) -> None:
-        for tag, furniture, _ in self.open[at:]:
-            self.skipped -= furniture
+        for tag, kind, n in self.open[at:]:
+            self.skipped -= kind == HARD
+            self.marks = self.marks[:-1] if kind in (WRAPPER, OWN) else self.marks
+            self.articles -= n in self.counted
             self.linked -= tag == "a"
         del self.open[at:]
 
     def start(self, tag: str, attributes: str) -> None:
         block = tag not in INLINE
+        if self.open and self.open[-1][0] == "head" and tag not in HEAD:  # its end may be left out
+            self.close(len(self.open) - 1)
         if block:
             self.cut()
             for k in range(len(self.open) - 1, -1, -1):
@@ -118,13 +190,22 @@ class _Reader:
             self.text(" ")
         if tag in VOID or attributes.rstrip().endswith("/"):
             return
-        inside = any(t in ("article", "main") for t, _, _ in self.open)
-        furniture = is_widget(tag, attributes, inside)
-        if furniture and not block:
+        kind = furniture(tag, attributes, self.articles > 0)
+        if kind and not block:
             self.text(" ")
         self.count += 1
-        self.open.append((tag, furniture, self.count))
-        self.skipped += furniture
+        self.open.append((tag, kind, self.count))
+        self.skipped += kind == HARD
+        if kind in (WRAPPER, OWN):
+            self.marks += (self.count,)
+            self.kinds[self.count] = kind
+        if tag == "main" or tag == "article" and furniture("div", attributes, True) != OWN:
+            if not self.articles:
+                self.around.update(self.marks)
+            if tag == "main":
+                self.mains.update(self.marks)
+            self.counted.add(self.count)
+            self.articles += 1
         self.linked += tag == "a"
 
     def end(self, tag: str) -> None:
@@ -142,7 +223,7 @@ class _Reader:
 
 
 def page_lines(page: str) -> list[Line]:
-    """Text lines of a page, without what is never article text."""
+    """Text lines of a page, without its furniture."""
     reader, at = _Reader(), 0
     low = None
     while match := _MARKUP.search(page, at):
@@ -169,7 +250,12 @@ def page_lines(page: str) -> list[Line]:
         rest = page[at:]
         reader.text(rest[: rest.rfind("<")] if re.search(r"<[/a-zA-Z!][^>]*\Z", rest) else rest)
     reader.cut()
-    return reader.lines
+    return reader.result()
+
+
+def _surges(lines: list[Line]) -> bool:
+    plain = [max(0, len(x.text) - x.links) for x in lines]
+    return any(sum(plain[k : k + WINDOW]) > THRESHOLD for k in range(len(plain)))
 
 
 def core_run(lengths: np.ndarray) -> tuple[int, int]:

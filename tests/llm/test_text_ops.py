@@ -101,6 +101,36 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+BODY = "".join(f"<p>{ARTICLE} Part {k}.</p>" for k in range(4))
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<div class='layout with-sidebar'>", "<div class=sidebar>Aside text</div></div>"),
+        ("<div class='post no-comments'>", "</div>"),
+        ("<div id='search-page'>", "</div>"),
+        ("<section class='legal news'>", "</section>"),
+        ("<form id='aspnetForm'><nav><a href=x>Home</a></nav><div>", "</div><footer>Foot</footer></form>"),
+        ("<form id='aspnetForm'><article>", f"</article></form><div class=comments>{ARTICLE * 9}</div>"),
+        ("<div class='header'><main>", f"</main></div><aside>{ARTICLE * 9}</aside>"),
+        ("<nav><a href=x>Home</a><div>", "</div>"),
+        ("<head><meta charset=x><title>T</title><body><div>", f"</div><div class='site-footer'>{ARTICLE}</div>"),
+        ("<div hidden><div>", "</div></div>"),
+        ("<div class=post>", f"</div><div id=comments><article class='comment-body'>{ARTICLE * 9}</article></div>"),
+        ("<article><div>", f"</div><div id=comments>{ARTICLE * 9}</div></article>"),
+    ],
+)
+def test_wrappers_named_like_furniture_keep_the_article(before, after):
+    text = main_text(f"<html>{before}{BODY}{after}</html>")
+    assert [x for x in text.split("\n\n") if x != "Home"] == [f"{ARTICLE} Part {k}." for k in range(4)]
+
+
+def test_a_page_of_furniture_only_is_not_empty():
+    assert main_text("".join(f"<section class='legal n{k}'><p>{ARTICLE} {k}</p></section>" for k in range(5))) == "\n\n".join(f"{ARTICLE} {k}" for k in range(5))
+    assert main_text("<nav><a href=x>Home</a></nav>") == ""
+
+
 def test_core_run_is_between_surge_and_dive():
     assert core_run(np.array([3, 0, 0, 0, 80, 5, 90, 0, 0, 0, 50])) == (4, 7)
     assert core_run(np.array([0, 0])) == (0, 0)
