@@ -27,6 +27,7 @@ from .words import slices
 UNDETERMINED = "und"
 DIMS = 1 << 13
 GRAMS = (2, 3, 4)
+HASHES = 1 << 62  # of texts; a share of a language of any size is above 0
 
 # Families of common languages (ISO 639-1). A code that is not listed is a family of its own.
 FAMILIES = {
@@ -162,19 +163,19 @@ class LanguageModel:
 
 
 def fit_language_model(labelled: DataFrame, per_language: int = 400) -> LanguageModel | None:
-    """Fit on a bounded sample: about ``per_language`` rows of each language, by a hash of the text.
+    """Fit on a bounded sample: about ``per_language`` distinct texts of each language, by a hash of the text; all if it has fewer.
 
-    Counts per language come from all labelled rows; the sampled rows become n-gram vectors on the
+    Counts per language are of the distinct texts of all labelled rows, so neither copies nor size thin a language out; the sampled rows become n-gram vectors on the
     executors, so what reaches the driver is bounded whatever the length of the texts.
     """
     good = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", F.col("lang").cast("string").alias("lang"))
-    counts = {r["lang"]: r["n"] for r in good.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in good.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()}
     if not counts:
         return None
-    share = F.lit(0)
+    share = F.lit(0).cast("long")
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, int(min(1.0, per_language / n) * (1 << 20))).otherwise(share)
-    sample = good.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share)
+        share = F.when(F.col("lang") == lang, F.lit(int(min(1.0, per_language / max(1, n)) * HASHES))).otherwise(share)
+    sample = good.where(F.pmod(F.xxhash64("text"), F.lit(HASHES)) < share)
 
     def vectors(batches):
         for batch in batches:

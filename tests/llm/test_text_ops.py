@@ -8,7 +8,7 @@ import pytest
 
 from tablesync.llm import words
 from tablesync.llm.html_text import core_run, extract_main_text, main_text
-from tablesync.llm.lang_id import UNDETERMINED, LanguageModel, fit_language_model, linear_svm, predict_language
+from tablesync.llm.lang_id import HASHES, UNDETERMINED, LanguageModel, fit_language_model, linear_svm, predict_language
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string"
@@ -65,6 +65,17 @@ def test_language_id_edges(spark):
     assert got[3:] == [(None, "en"), (5, "fr"), (5, "fr"), (6, "fr")]
 
 
+def test_a_language_of_copies_is_in_the_model(spark):
+    fr = spark.range(20).selectExpr("id doc_id", "concat('le la les des ', repeat('x', int(id))) text", "'fr' lang")
+    copies = spark.range(20_000).selectExpr("id doc_id", "'une phrase' text", "'fr' lang")
+    en = spark.range(300).selectExpr("id doc_id", "concat('the of and is ', repeat('y', int(id))) text", "'en' lang")
+    assert fit_language_model(fr.union(copies).union(en), per_language=20).families == ["germanic", "romance"]
+
+
+def test_a_share_of_a_very_large_language_is_above_zero():
+    assert int(400 / 10**15 * HASHES) > 0
+
+
 def test_language_id_without_training_rows(spark):
     empty = spark.createDataFrame([], DOCS)
     assert fit_language_model(empty) is None
