@@ -10,7 +10,9 @@ entity has or that is itself a real entity of the table, until all are distinct.
 
 Defined results: a null text stays null, an empty one empty; a text without entities is unchanged;
 repeated rows get equal results; null ids are kept; an empty table gives no rows. Names are found
-only after a title, which also tells the gender ("" where the title does not).
+after a title, which also tells the gender ("" where the title does not). Within a document a titled name that is part of a
+longer one ("Mr. Smith", "Dr. J. Smith" beside "Mr. John Smith") is the same person, and capitalised words that are a part
+of a found name are replaced without a title too, each part by its own part of the surrogate.
 """
 
 from __future__ import annotations
@@ -44,8 +46,11 @@ SECRET_WORDS = ["password", "passwd", "pwd", "secret", "token", "api_key", "apik
 
 _SECRET = r"(?i:(?<![\p{L}\p{N}])(?:" + "|".join(SECRET_WORDS) + r")\s{0,3}[=:]\s{0,3}[\"']?[^\s\"']{6,}[\"']?)"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-_TITLE = "(?:" + "|".join(t for titles in TITLES.values() for t in titles) + r")(?!\p{L})"
+_TITLE = "(?:" + "|".join(t for titles in TITLES.values() for t in [*titles, *map(str.upper, titles)]) + r")(?!\p{L})"
 _CAPITAL = r"\p{Lu}[\p{L}'’-]+"
+_INITIAL = r"(?:\p{Lu}\.)+|\p{Lu}"
+_ENDING = r"(?:['’][sS]?|-)$"  # of a name: a possessive
+_TOKEN = r"(?<!\p{L})" + _CAPITAL
 
 #: Kind and pattern; where two could match at one place, the first counts.
 KINDS = {
@@ -55,10 +60,12 @@ KINDS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![A-Za-z0-9])\d(?:[ -]?\d){12,18}(?![A-Za-z0-9])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
-    r"|\+\d{1,3}[ .-]\d{1,2}(?:[ .-]\d{2}){4}(?!\d)|(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\p{L}\p{N}-]))",
+    r"|\+\d{1,3}[ .-]\d{1,2}(?:[ .-]\d{2}){4}(?!\d)|(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\p{L}\p{N}-])"
+    r"|0[1-9](?:[ .-]\d{2}){4}(?![\p{L}\p{N}-])|(?:\(0\d{1,4}\)|0\d{2,4})[ /-]{1,3}\d{3,4}[ -]?\d{2,5}(?![\p{L}\p{N}-])"
+    r"|(?<!\d[ .,])(?:[6-9]\d{2}(?:[ -]\d{3}){2}|[6-9]\d{2}(?:[ -]\d{2}){3}|[89]\d[ -]\d{3}(?:[ -]\d{2}){2})(?![\p{L}\p{N}-]|[ .,]\d))",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
     "ip": r"(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}]|\.\d)",
-    "name": r"(?<!\p{L})" + _TITLE + r"\.?[  ]" + _CAPITAL + r"(?:[  ]" + _CAPITAL + r"){0,2}",
+    "name": r"(?<!\p{L})" + _TITLE + r"\.?[  ](?:\p{Lu}(?:\.[  ]?|[  ])){0,3}" + _CAPITAL + r"(?:[  ](?:\p{Lu}\.[  ])?" + _CAPITAL + r"){0,2}",
 }
 PATTERN = "|".join(KINDS.values())
 
@@ -71,25 +78,32 @@ def kind_of(entity: Column) -> Column:
     return out
 
 
+def _shouted(name: Column) -> Column:
+    return (name == F.upper(name)) & name.rlike(r"\p{L}{2}")
+
+
 def parsed(mentions: DataFrame) -> DataFrame:
     """Adds to ``entity``: ``kind``, ``lead`` (kept as it is), ``core`` (replaced), ``tail``, ``canon``, ``gender``."""
     entity, kind = F.col("entity"), F.col("kind")
     secret = r"^((?i:" + "|".join(SECRET_WORDS) + r")\s*[=:]\s*[\"']?)(.*?)([\"']?)$"
     named = "^(" + _TITLE + r"\.?[  ])(.*)$"
-    country = r"^(\+\d{1,3}(?:[ .-]|(?=\()))(.*)$"
+    country = r"^(\+\d{1,3}(?:[ .-]|(?=\())|\(?0)(.*)$"  # or the trunk prefix
     lead = F.when(kind == "secret", F.regexp_extract(entity, secret, 1)).when(kind == "name", F.regexp_extract(entity, named, 1))
     lead = lead.when(kind == "phone", F.regexp_extract(entity, country, 1)).otherwise("")
-    tail = F.when(kind == "secret", F.regexp_extract(entity, secret, 3)).otherwise("")
+    tail = F.when(kind == "secret", F.regexp_extract(entity, secret, 3)).when(kind == "name", F.regexp_extract(entity, _ENDING, 0)).otherwise("")
     gender = F.lit("")
     for g, titles in TITLES.items():
         if g:
-            gender = F.when(F.regexp_extract(entity, "^(" + _TITLE + ")", 1).isin(titles), g).otherwise(gender)
+            gender = F.when(F.regexp_extract(entity, "^(" + _TITLE + ")", 1).isin([*titles, *map(str.upper, titles)]), g).otherwise(gender)
     out = mentions.withColumn("kind", kind_of(entity)).withColumn("lead", lead).withColumn("tail", tail)
     core = F.substring(entity, F.length("lead") + 1, F.length(entity) - F.length("lead") - F.length("tail"))
     out = out.withColumn("core", core).withColumn("gender", F.when(kind == "name", gender).otherwise(""))
     core = F.col("core")
     canon = F.when(kind == "email", F.lower(core)).when(kind.isin("phone", "card", "ssn"), F.regexp_replace(core, r"\D", ""))
-    canon = canon.when(kind == "iban", F.regexp_replace(core, " ", "")).when(kind == "name", F.regexp_replace(core, r"[  ]+", " "))
+    canon = canon.when(kind == "iban", F.regexp_replace(core, " ", ""))
+    # initials stand apart
+    name = F.trim(F.regexp_replace(F.regexp_replace(core, r"\.(?=\p{L})", ". "), r"[  ]+", " "))
+    canon = canon.when(kind == "name", F.when(_shouted(core), F.initcap(F.lower(name))).otherwise(name))
     return out.withColumn("canon", canon.otherwise(core))
 
 
@@ -148,7 +162,14 @@ def _name(canon: Column, gender: Column, seed: Column, attempt: Column) -> Colum
         first = F.when(gender == "m", _pick(lists["m"], _draw(seed, F.lit(1), len(lists["m"]))))
         first = first.when(gender == "f", _pick(lists["f"], _draw(seed, F.lit(1), len(lists["f"])))).otherwise(_pick(lists[""], _draw(seed, F.lit(1), len(lists[""]))))
         last = lambda k: _pick(lists["last"], _draw(seed, F.lit(k), len(lists["last"])))
-        full = F.when(canon.contains(" "), F.concat_ws(" ", first, last(2))).otherwise(last(2))
+        parts = F.split(canon, " ")
+
+        def word(part: Column, at: Column) -> Column:
+            middle = _pick(lists["last"], _draw(seed, at + 40, len(lists["last"])))
+            new = F.when(at == F.size(parts) - 1, last(2)).when(at == 0, first).otherwise(middle)
+            return F.when(part.rlike(f"^(?:{_INITIAL})$"), F.concat(F.substring(new, 1, 1), F.lit("."))).otherwise(new)
+
+        full = F.array_join(F.transform(parts, word), " ")
         # the lists are short: later draws join surnames, so there are always more
         more = F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), attempt)), lambda k: _pick(lists["last"], _draw(seed, k + 10, len(lists["last"])))), "-")
         return F.when(attempt > 0, F.concat_ws("-", full, more)).otherwise(full)
@@ -191,7 +212,7 @@ def rendered(core: Column, kind: Column, new: Column) -> Column:
     spaced = F.array_join(F.transform(F.split(digits, ""), put), "")
     blanks = F.array_join(F.transform(F.split(core, ""), lambda c, at: F.when(c == " ", c).otherwise(F.substring(new, F.length(F.regexp_replace(F.substring(core, F.lit(1), at), " ", "")) + 1, F.lit(1)))), "")
     out = F.when(kind.isin("phone", "card", "ssn"), spaced).when(kind == "iban", blanks)
-    return out.when((kind == "email") & (core == F.upper(core)), F.upper(new)).otherwise(new)
+    return out.when((kind == "email") & (core == F.upper(core)) | (kind == "name") & _shouted(core), F.upper(new)).otherwise(new)
 
 
 def assign_surrogates(entities: DataFrame, key: str, most: int = 64) -> DataFrame:
@@ -213,13 +234,67 @@ def assign_surrogates(entities: DataFrame, key: str, most: int = 64) -> DataFram
     raise ValueError(f"no distinct surrogates after {most} draws: a format has too few values for its entities")
 
 
+def with_persons(mentions: DataFrame) -> DataFrame:
+    """Adds ``person``: the longest name of the document that a name is part of (itself, as a rule); of other kinds ``canon``."""
+    names = mentions.where("kind = 'name'").groupBy("_id", "_hash")
+    names = names.agg(F.sort_array(F.collect_set(F.struct((-F.length("canon")).alias("order"), "canon", "gender"))).alias("_known"))
+    parts = F.split(F.lower("canon"), " ")
+
+    def covers(other: Column) -> Column:
+        theirs = F.split(F.lower(other.canon), " ")
+        whole = F.forall(parts, lambda x: F.array_contains(theirs, x) | x.rlike(r"^\p{L}\.?$") & F.exists(theirs, lambda y: y.startswith(F.substring(x, 1, 1))))
+        same = (other.gender == F.col("gender")) | (other.gender == "") | (F.col("gender") == "")
+        return (F.length(other.canon) > F.length("canon")) & same & whole & F.array_contains(theirs, F.element_at(parts, -1))
+
+    owner = F.get(F.filter("_known", covers), F.lit(0)).canon
+    named = mentions.where("kind = 'name'").join(names, ["_id", "_hash"]).withColumn("person", F.coalesce(owner, F.col("canon"))).drop("_known")
+    return mentions.where("kind <> 'name'").withColumn("person", F.col("canon")).unionByName(named)
+
+
+def _part_of(token: Column, pairs: Column) -> Column:
+    """The surrogate of a part of a name, in its letter case; null for other words."""
+    new = F.get(F.filter(pairs, lambda p: p.old == F.lower(token)), F.lit(0)).new
+    return F.when(_shouted(token), F.upper(new)).otherwise(new)
+
+
+def _pairs(canon: Column, sur: Column) -> Column:
+    old, new = F.split(F.lower(canon), " "), F.split(sur, " ")
+    return F.transform(old, lambda x, at: F.struct(x.alias("old"), F.get(new, at).alias("new")))
+
+
+def _short_form(canon: Column, core: Column, person: Column, sur: Column) -> Column:
+    """The surrogate of a name that is part of ``person``'s."""
+    pairs = _pairs(person, sur)
+
+    def word(token: Column) -> Column:
+        like = F.get(F.filter(pairs, lambda p: p.old.startswith(F.lower(F.substring(token, 1, 1)))), F.lit(0)).new
+        short = F.when(token.rlike(f"^(?:{_INITIAL})$"), F.concat(F.substring(like, 1, 1), F.lit(".")))
+        return F.coalesce(_part_of(token, pairs), short, token)
+
+    new = F.array_join(F.transform(F.split(canon, " "), word), " ")
+    return F.when(_shouted(core), F.upper(new)).otherwise(new)
+
+
+def _untitled(part: Column, pairs: Column) -> Column:
+    """``part`` of a text with the capitalised words that are part of a known name replaced."""
+    tokens = F.regexp_extract_all(part, F.lit(_TOKEN), F.lit(0))
+
+    def one(rest: Column, at: Column) -> Column:
+        token = F.get(tokens, at)
+        base, first = F.regexp_replace(token, _ENDING, ""), F.regexp_extract(token, r"^\p{L}+", 0)
+        keep = lambda x: F.concat(_part_of(x, pairs), F.substring(token, F.length(x) + 1, F.length(token)))
+        return F.concat(rest, F.coalesce(keep(base), keep(first), token, F.lit("")))
+
+    return F.array_join(F.transform(F.split(part, _TOKEN, -1), one), "")
+
+
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with the entities of ``text`` replaced, and ``n_entities``; other columns are kept.
 
     Texts without an entity are not shuffled. Mentions meet their surrogates in a join by entity and return to
     their text by (doc_id, hash of the text); added columns replace columns of the same name.
     """
-    docs = docs.drop("n_entities", "_ents", "_hash", "_subs", "_id")
+    docs = docs.drop("n_entities", "_ents", "_hash", "_subs", "_names", "_id")
     columns = docs.columns
     found = docs.withColumn("_ents", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
     none = F.coalesce(F.size("_ents"), F.lit(0)) < 1  # size(null) is -1 or null
@@ -227,10 +302,17 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     hits = stash(found.where(~none).withColumn("_hash", F.xxhash64("text")).withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "pii-texts")
     mentions = parsed(hits.select("_id", "_hash", F.posexplode("_ents").alias("pos", "entity")))
     mapping = assign_surrogates(mentions.select("kind", "canon", "gender"), key)
-    new = F.concat("lead", rendered(F.col("core"), F.col("kind"), F.col("sur")), "tail")
-    subs = mentions.join(mapping, ["kind", "canon"]).select("_id", "_hash", F.struct("pos", new.alias("new")).alias("sub"))
-    subs = subs.groupBy("_id", "_hash").agg(F.sort_array(F.collect_set("sub")).alias("_subs"))
+    mapping = mapping.withColumnRenamed("canon", "person")
+    short = (F.col("kind") == "name") & (F.col("person") != F.col("canon"))
+    new = F.when(short, _short_form(F.col("canon"), F.col("core"), F.col("person"), F.col("sur"))).otherwise(rendered(F.col("core"), F.col("kind"), F.col("sur")))
+    sub = F.struct("pos", F.concat("lead", new, "tail").alias("new"))
+    name = F.when(F.col("kind") == "name", F.struct((-F.length("person")).alias("order"), "person", "sur"))
+    subs = with_persons(mentions).join(mapping, ["kind", "person"]).select("_id", "_hash", sub.alias("sub"), name.alias("name"))
+    subs = subs.groupBy("_id", "_hash").agg(F.sort_array(F.collect_set("sub")).alias("_subs"), F.sort_array(F.collect_set("name")).alias("_names"))
+    # longer names first
+    subs = subs.withColumn("_names", F.flatten(F.transform("_names", lambda x: _pairs(x.person, x.sur))))
     parts = F.split("text", PATTERN, -1)
+    parts = F.when(F.size("_names") > 0, F.transform(parts, lambda part: _untitled(part, F.col("_names")))).otherwise(parts)
     text = F.array_join(F.transform(parts, lambda part, at: F.concat(part, F.coalesce(F.get(F.col("_subs.new"), at), F.lit("")))), "")
     changed = hits.join(subs, ["_id", "_hash"]).withColumn("n_entities", F.size("_ents")).withColumn("text", text)
     return clean.select(*columns, "n_entities").unionByName(changed.select(*columns, "n_entities"))

@@ -160,3 +160,32 @@ def test_pii_edges(spark):
     assert got[0][2] == got[4][2] == got[5][2] and got[6][2].split()[0] == got[4][2]
     assert len(set(got[7][2].split())) == 500
     assert replace_entities(docs.limit(0), "k").count() == 0
+
+
+def test_names_within_a_document(spark):
+    texts = [
+        "Mr. John Smith met Mrs. Anna Lee. Mr. Smith left. Smith's dog, JOHN and John Smith stayed; Blacksmith too. Lee wrote.",
+        "Dr. J. Smith and MR. BROWN. Then Smith saw Brown. Dr. John Smith agreed.",
+        "Smith is not named here",
+    ]
+    one, two, three = replaced(spark, texts)
+    m = re.fullmatch(r"Mr\. (\w+) ([\w-]+) met Mrs\. (\w+) ([\w-]+)\. Mr\. ([\w-]+) left\. ([\w-]+)'s dog, (\w+) and (\w+) ([\w-]+) stayed; Blacksmith too\. ([\w-]+) wrote\.", one)
+    assert m, one
+    first, last, _, her, *same, lee = m.groups()
+    assert same == [last, last, first.upper(), first, last] and lee == her and {first, last} & {"John", "Smith"} == set()
+    m = re.fullmatch(r"Dr\. (\w)\. ([\w-]+) and MR\. ([A-Z-]+)\. Then ([\w-]+) saw ([\w-]+)\. Dr\. (\w+) ([\w-]+) agreed\.", two)
+    assert m, two
+    initial, a, brown, b, c, full, d = m.groups()
+    assert a == b == d and full[0] == initial and c.upper() == brown != "BROWN" and "Smith" not in two
+    assert three == texts[2]
+
+
+def test_national_phone_forms(spark):
+    texts = ["Tel. 01 23 45 67 89.", "Tel. 030 1234567, Berlin", "(030) 1234567", "0176/12345678", "llama al 612 345 678", "91 123 45 67", "+33 1 23 45 67 89"]
+    got = replaced(spark, texts)
+    for text, new in zip(texts, got):
+        assert new != text and re.sub(r"\d", "#", new) == re.sub(r"\d", "#", text), (text, new)
+        assert (re.search(r"\d", new)[0] == "0") == (re.search(r"\d", text)[0] == "0")
+    assert got[0][6:-1] == got[6][4:]
+    kept = ["from 2019 to 2024", "12 345 678 people", "on 01/02/2024", "2 612 345 678", "612 345 678 900"]
+    assert replaced(spark, kept) == kept
