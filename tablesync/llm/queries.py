@@ -110,4 +110,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
 
 
+@query
+def op11_interval_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the documents, and what becomes of the root where every seventh row (by crc32) is tampered with."""
+    from .manifest import fold, merkle_manifest, proof_digest, row_digest
+
+    names = ["doc_id", "source", "lang", "n_chars", "text"]
+    forged = row_digest([F.col(c) + 1 if c == "n_chars" else F.col(c) for c in names])
+    docs = table(spark, sf_dir, "documents")
+    found = merkle_manifest(docs, names, "lang", "doc_id", [F.col("doc_id"), F.when(crc_mod("doc_id", 7) == 0, forged).alias("forged")])
+    found = found.withColumn("folded_root", fold(F.coalesce("forged", "leaf"), F.col("path")))
+    return found.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 ORACLE.update(oracles.all_sql())
