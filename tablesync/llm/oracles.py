@@ -115,6 +115,43 @@ SELECT doc_id, path, own_license, score, coalesce(own_license, dir_license) AS l
 FROM found LEFT JOIN near USING (rid)
 """
 
+DOCUMENT_TRIE = rf"""
+WITH bag AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+stats AS (SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS n_terms FROM bag WHERE len(words) > 0),
+tf AS (SELECT rid, doc_id, n, w, count(*) AS tf FROM (SELECT rid, doc_id, len(words) AS n, unnest(words) AS w FROM bag) GROUP BY ALL),
+weight AS (SELECT w, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM tf, stats GROUP BY w, n_docs),
+item AS (
+  SELECT DISTINCT iid, item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w
+  FROM (SELECT *, row_number() OVER () AS iid FROM benchmark)),
+s AS (
+  SELECT iid, item_id, rid, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM item JOIN weight USING (w) JOIN tf USING (w), stats GROUP BY iid, item_id, rid, doc_id)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0) WHERE rank <= 50
+"""
+
+REPEATS = """
+WITH bytes AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+piece AS (SELECT rid, doc_id, p * 500 AS base, substr(hx, p * 1000 + 1, 1098) AS part FROM bytes, LATERAL (SELECT unnest(range(n_bytes // 500 + 1)) AS p)),
+string AS (
+  SELECT rid, doc_id, base + i AS i, sha256(substr(part, 2 * i + 1, 100)) AS s
+  FROM piece, LATERAL (SELECT unnest(range(least(500, len(part) // 2 - 49))) AS i)),
+first AS (SELECT s, min(doc_id) AS doc FROM string GROUP BY s),
+again AS (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before FROM string JOIN first USING (s) WHERE doc_id > doc),
+span AS (
+  SELECT rid, min(i) AS a, max(i) + 50 AS b
+  FROM (SELECT rid, i, sum(CASE WHEN i <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY i) AS k FROM again) GROUP BY rid, k),
+gap AS (SELECT *, lead(a) OVER (PARTITION BY rid ORDER BY a) AS next FROM span),
+cut AS (
+  SELECT rid, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed,
+         substr(any_value(hx), 1, 2 * min(a)) || string_agg(substr(hx, 2 * b + 1, 2 * (coalesce(next, n_bytes) - b)), '' ORDER BY a) AS rest
+  FROM gap JOIN bytes USING (rid) GROUP BY rid)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest, hx))) AS kept_sha256
+FROM bytes LEFT JOIN cut USING (rid)
+"""
+
 
 def manifest_sql() -> str:
     """Whole levels as lists; a path's siblings with ``F`` (first), ``S`` (second) or ``-`` (none) in front of each digest."""
@@ -160,4 +197,4 @@ FROM folded
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_block_max_wand": TOP_K, "op5_spherical_kmeans": VECTOR_LINKS, "op9_mix_sources": MIX, "op10_license_scan": license_sql(), "op11_interval_manifest": manifest_sql()}
+    return {"op2_block_max_wand": TOP_K, "op5_spherical_kmeans": VECTOR_LINKS, "op9_mix_sources": MIX, "op10_license_scan": license_sql(), "op11_interval_manifest": manifest_sql(), "op12_document_trie": DOCUMENT_TRIE, "op13_previous_factors": REPEATS}

@@ -123,4 +123,21 @@ def op11_interval_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+@query
+def op12_document_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fp_search import trie_search
+
+    return trie_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import remove_repeats
+
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 ORACLE.update(oracles.all_sql())
