@@ -79,3 +79,12 @@ def plus_days(ts: Column, days: int | Column) -> Column:
     """Timestamp + whole days (an integer day count; decimals are rounded down first)."""
     d = days if isinstance(days, Column) else F.lit(days)
     return ts + F.make_dt_interval(F.floor(d).cast("int"))
+
+
+def micros(c: Column, dtype: T.DataType) -> Column:
+    """Microseconds since 1970: of a timestamp the instant, of any other date or time its wall clock, in no time zone."""
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    clock = c if isinstance(dtype, T.TimestampNTZType) else c.try_cast("timestamp_ntz")
+    minutes = F.unix_date(clock.cast("date")).cast("long") * 1440 + F.hour(clock) * 60 + F.minute(clock)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), clock) * 1_000_000).cast("long")

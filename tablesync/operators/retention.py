@@ -8,10 +8,13 @@ a plain row filter, which needs no join and is the same thing when the key is un
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.convert import HEALTH_PURGE_DAYS, age_days, plus_days
+from ..functions.convert import HEALTH_PURGE_DAYS, age_days, micros, plus_days
 from ..operators.changes import as_of_column
 from ..operators.joins import broadcast_if_bounded
 from ..schema import UPDATE_DATE
@@ -35,6 +38,25 @@ def purge_expired(df: DataFrame, days: int, as_of=None, column: str | None = Non
     return df.join(expired_keys, list(keys), "left_anti")
 
 
+@dataclass(frozen=True)
+class Purge:
+    """A purge as a value: calling it removes expired rows; stores also compare its cutoff with the dates in their logs."""
+
+    days: int
+    as_of: object = None
+    column: str | None = None
+    keys: tuple[str, ...] | None = None
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return purge_expired(df, self.days, self.as_of, self.column, list(self.keys) if self.keys else None)
+
+    def cutoff(self, spark: SparkSession, dtype: T.DataType) -> int:
+        """The latest expired date, as ``functions.convert.micros`` of a column of type ``dtype``."""
+        kind = dtype if isinstance(dtype, T.TimestampType) else T.TimestampNTZType()
+        last = plus_days(as_of_column(self.as_of, kind), -self.days).cast(kind)
+        return spark.range(1).select(micros(last, kind)).first()[0]
+
+
 def purge_by_id(df: DataFrame, id_col: str, id_value) -> DataFrame:
     """All rows except those of one id (rows with a NULL id go too, as with ``!=``)."""
     return df.where(F.col(id_col) != F.lit(id_value))

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from ..operators.changes import live_rows
 from ..schema import TargetSpec
 from ..sinks.bucketed import BucketedStore
+from ..sinks.health import HealthLog
 from ..sinks.snapshot import SnapshotStore
 from ..session import scratch_path
 from ..sources.streams import stream_changes
-from ..streaming.sync import HEALTH_DDL, SyncJob, SyncTarget, read_metrics, read_quarantine, run_stream, targets_from_plan
+from ..streaming.sync import SyncJob, SyncTarget, read_metrics, read_quarantine, run_stream, targets_from_plan
 from . import fixtures as fx
 from .control import MASTER_SCHEMA, HEALTH_SCHEMA, TABLE_MASTER_SCHEMA, build_plan, plan_rows
 from .q_changes import CHAIN_SQL, MERGE_ORDERS_SQL, chain_steps, mixed_topic
@@ -216,8 +217,8 @@ def health_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = fx.table(spark, sf_dir, "customer")
     ago = F.make_dt_interval(F.pmod("c_custkey", F.lit(30)).cast("int"))
     rows = cust.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("target"), (F.lit(fx.AS_OF).cast("timestamp") - ago).alias("last_run"))
-    job.health = SnapshotStore(spark, f"{root}/health", spark.createDataFrame([], HEALTH_DDL).schema)
-    job.health.publish(rows, 0)
+    job.health = HealthLog(spark, f"{root}/health")
+    job.health.publish(rows)
     mixed_topic(spark, sf_dir).write.text(f"{root}/in")
     run_stream(stream_changes(spark, "files", path=f"{root}/in"), job, f"{root}/ckpt", {"availableNow": True}).awaitTermination()
     return job.health.read().groupBy("target").agg(F.count(F.lit(1)).alias("n"))

@@ -30,4 +30,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import q_changes, q_nested, q_convert, q_retention, q_io, q_control, q_stream  # noqa: F401
+    from . import q_changes, q_nested, q_convert, q_retention, q_io, q_control, q_stream, q_stores  # noqa: F401

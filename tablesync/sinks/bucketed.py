@@ -9,7 +9,8 @@ readers always see a whole version and a crash before the log append leaves the
 version current (the orphan folder is ignored; a replay writes a new version).
 
 The log holds at most ``buckets`` rows per publish; only the per-bucket latest folder (at most
-``buckets`` paths) is brought to the driver. The number of buckets is part of the log: opening a table
+``buckets`` paths) is brought to the driver, with the least date in it, so that a scheduled purge rewrites only
+buckets that can hold an expired row; the log also keeps the time of the last one. The number of buckets is part of the log: opening a table
 with another one raises. ``vacuum`` removes folders that no bucket points at any more.
 """
 
@@ -22,15 +23,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.convert import micros
 from ..operators.changes import apply_changes
-from ..schema import TargetSpec
+from ..operators.retention import Purge
+from ..schema import UPDATE_DATE, TargetSpec
 
 BUCKET = "_bucket"
-LOG_DDL = "version long, batch_id long, bucket int, path string, stream string, buckets int"
+LOG_DDL = "version long, batch_id long, bucket int, path string, stream string, buckets int, least long, purged_at double"
 
 
 class BucketedStore:
-    def __init__(self, spark: SparkSession, root: str, spec: TargetSpec, buckets: int = 64, fmt: str = "orc", files_per_bucket: int = 1):
+    def __init__(self, spark: SparkSession, root: str, spec: TargetSpec, buckets: int = 64, fmt: str = "orc", files_per_bucket: int = 1, date_column: str = UPDATE_DATE):
         self.spark = spark
         self.root = root.rstrip("/")
         self.spec = spec
@@ -38,7 +41,10 @@ class BucketedStore:
         self.buckets = buckets
         self.fmt = fmt
         self.files_per_bucket = files_per_bucket
+        self.date_column = date_column  # whose least value per bucket the log keeps, for purges
         self._paths: dict[int, str | None] | None = None
+        self._least: dict[int, int | None] = {}  # None: unknown, or no date in the bucket
+        self._purged_at: float | None = None
         self._version = 0
         self._max_batch: dict[str, int] = {}  # the ledger: highest published batch id of each stream
 
@@ -55,13 +61,17 @@ class BucketedStore:
             log = self.spark.read.schema(LOG_DDL).parquet(f"{self.root}/_log")
         except AnalysisException:
             return
-        latest = log.groupBy("bucket").agg(F.max_by("path", "version").alias("path"), F.max("version").alias("v"), F.max("buckets").alias("n"))
+        latest = log.groupBy("bucket").agg(F.max_by(F.struct("path", "least"), "version").alias("at"), F.max("version").alias("v"), F.max("buckets").alias("n"), F.max("purged_at").alias("purged"))
         for r in latest.collect():  # at most one row per bucket
             if r["n"] is not None and r["n"] != self.buckets:
                 self._paths = None
                 raise ValueError(f"{self.root} has {r['n']} buckets, not {self.buckets}")
-            self._paths[r["bucket"]] = r["path"]
             self._version = max(self._version, r["v"])
+            self._purged_at = max(filter(None, (self._purged_at, r["purged"])), default=None)
+            if r["bucket"] is None:  # a purge that had nothing to rewrite
+                continue
+            self._paths[r["bucket"]] = r["at"]["path"]
+            self._least[r["bucket"]] = r["at"]["least"]
         for r in log.groupBy(F.coalesce("stream", F.lit("")).alias("s")).agg(F.max("batch_id").alias("b")).collect():
             self._max_batch[r["s"]] = r["b"]
 
@@ -82,7 +92,7 @@ class BucketedStore:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).format(self.fmt).load(paths)
 
-    def _publish(self, df: DataFrame, buckets: list[int], batch_id: int, stream: str = "") -> dict:
+    def _publish(self, df: DataFrame, buckets: list[int], batch_id: int, stream: str = "", purged_at: float | None = None) -> dict:
         self._load()
         version = self._version + 1
         path = f"{self.root}/v={version}"
@@ -91,17 +101,33 @@ class BucketedStore:
         part = F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.key_cols], F.lit(1)), F.lit(self.files_per_bucket))
         out = out.repartition(max(1, len(buckets) * self.files_per_bucket), F.col(BUCKET), part)
         out.write.mode("overwrite").partitionBy(BUCKET).format(self.fmt).save(path)
-        # Reads folder names and row counts only; at most one row per bucket.
+        # Reads one column of what was written; at most one row per bucket reaches the driver.
         written = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])).format(self.fmt).load(path)
-        present = {r[BUCKET] for r in written.select(BUCKET).distinct().collect()}
-        rows = [(version, batch_id, b, f"{path}/{BUCKET}={b}" if b in present else None, stream, self.buckets) for b in sorted(buckets)]
-        self.spark.createDataFrame(rows, LOG_DDL).coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
-        for _, _, b, p, _, _ in rows:
-            self._paths[b] = p
+        least = F.min(micros(F.col(self.date_column), self.schema[self.date_column].dataType)).alias("least")
+        found = {r[BUCKET]: r["least"] for r in written.groupBy(BUCKET).agg(least).collect()}
+        rows = [(version, batch_id, b, f"{path}/{BUCKET}={b}" if b in found else None, stream, self.buckets, found.get(b), purged_at) for b in sorted(buckets)]
+        self._log(rows)
+        for row in rows:
+            self._paths[row[2]], self._least[row[2]] = row[3], row[6]
         self._version = version
         self._max_batch[stream] = max(batch_id, self._max_batch.get(stream, batch_id))
         return {"version": version, "buckets": len(buckets), "batch_id": batch_id}
 
+    def _log(self, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, LOG_DDL).coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
+
+    def last_purge(self) -> float:
+        """When all expired rows were last removed (as ``apply`` was told), over restarts."""
+        self._load()
+        return self._purged_at if self._purged_at is not None else float("-inf")
+
+    def expirable(self, purge: Callable) -> list[int]:
+        """The buckets that can hold a row that ``purge`` removes: by the least dates in the log, or all where those do not tell."""
+        self._load()
+        by_row = isinstance(purge, Purge) and (purge.column or UPDATE_DATE) == self.date_column and (not purge.keys or set(purge.keys) == set(self.spec.keys))
+        cutoff = purge.cutoff(self.spark, self.schema[self.date_column].dataType) if by_row else None
+        return sorted(b for b, p in self._paths.items() if p and (cutoff is None or self._least.get(b) is None or self._least[b] <= cutoff))
+
     def publish(self, df: DataFrame, batch_id: int, stream: str = "") -> dict:
         """Replace the whole table (every bucket)."""
         return self._publish(df, list(range(self.buckets)), batch_id, stream)
@@ -113,19 +139,26 @@ class BucketedStore:
         return sorted(r["b"] for r in b.collect())
 
     def apply(self, changes: DataFrame, spec: TargetSpec, as_of, batch_id: int,
-              pre: Callable[[DataFrame], DataFrame] | None = None, full_pre: bool = False, stream: str = "", **merge_kw) -> dict:
+              pre: Callable[[DataFrame], DataFrame] | None = None, full_pre: bool = False, stream: str = "", at: float | None = None, **merge_kw) -> dict:
         """Merge a batch of changes: read the touched buckets, merge, publish them.
 
-        ``pre`` (e.g. a purge by row) transforms the rows read first: those of the touched buckets, or with
-        ``full_pre`` (a scheduled purge) the whole table, which is then rewritten.
+        ``pre`` (e.g. a purge by row) transforms the rows read first: those of the touched buckets, and with
+        ``full_pre`` (a scheduled purge, at the time ``at``) of all that can hold a row it removes.
         """
-        buckets = list(range(self.buckets)) if pre is not None and full_pre else self.touched(changes)
+        full = pre is not None and full_pre
+        buckets = sorted({*self.touched(changes), *self.expirable(pre)}) if full else self.touched(changes)
         if not buckets:
+            if full:
+                self._version += 1
+                self._log([(self._version, batch_id, None, None, stream, self.buckets, None, at)])
+                self._purged_at = at or self._purged_at
             return {"version": self._version, "buckets": 0, "batch_id": batch_id}
         current = self.read(buckets)
         if pre is not None:
             current = pre(current)
-        return self._publish(apply_changes(current, changes, spec, as_of=as_of, **merge_kw), buckets, batch_id, stream)
+        done = self._publish(apply_changes(current, changes, spec, as_of=as_of, **merge_kw), buckets, batch_id, stream, at if full else None)
+        self._purged_at = (at if full else None) or self._purged_at
+        return done
 
     def vacuum(self, older_than_hours: float = 24.0) -> int:
         """Remove bucket folders that are not current and were written more than ``older_than_hours`` ago, which

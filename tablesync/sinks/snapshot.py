@@ -6,17 +6,27 @@ A publish writes the oldest slot in full, then appends its log row; readers take
 the highest version. A crash between the two leaves the log pointing at the current, intact
 slot, and the next publish simply rewrites the slot. The snapshot being read is never
 the one being overwritten, so a merge can read the current table and publish the next one
-in a single plan. A reader keeps its files for ``slots`` - 1 further publishes.
+in a single plan. A reader keeps its files for ``slots`` - 1 further publishes, or as long as it pins them.
+The log is kept in folders of ``PER_FOLDER`` versions, with a file of the state at each full one: opening reads that and the rows since.
 
 The ledger is per stream: batch ids of one stream only grow, a new stream (a new checkpoint) starts at 0 again.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+
+from .versions import Files, VersionLog
+
+ALL_SLOTS = "abcdefghijklmnopqrstuvwxyz"
+PER_FOLDER = 64  # log rows (versions) in a folder of the log
+STATE = "_state.json"  # head and ledger as of the last full folder
 
 LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -34,7 +44,8 @@ class SnapshotStore:
         self.root = root.rstrip("/")
         self.schema = schema
         self.fmt = fmt
-        self.slots = "abcdefghijklmnopqrstuvwxyz"[: max(2, slots)]
+        self.slots = ALL_SLOTS[: max(2, slots)]
+        self._files, self._pins = Files(spark, self.root), VersionLog(spark, self.root)
         # The log is read once per process; this store object is the table's only writer,
         # so later heads are known without re-reading it. A stream's batch ids only grow, and a
         # replay re-delivers ids at or below the last published one, so the ledger is one
@@ -44,24 +55,26 @@ class SnapshotStore:
         self._loaded = False
 
     # -- log ---------------------------------------------------------------------------
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_log")
-        except AnalysisException:
-            return None
+    def _log(self, since: int = 0) -> DataFrame | None:
+        """The log rows, of the folders from version ``since`` on (``PER_FOLDER`` versions each)."""
+        names = [n for n in self._files.names("_log") if n.startswith("p=") and int(n[2:]) >= since // PER_FOLDER]
+        return self.spark.read.schema(LOG_SCHEMA).parquet(*[f"{self.root}/_log/{n}" for n in names]) if names else None
 
     def _load(self) -> None:
         if self._loaded:
             return
         self._loaded = True
-        log = self._log()
+        if self._files.exists(STATE):
+            state = json.loads(self._files.read(STATE))
+            self._head, self._max_batch = state["head"], state["batches"]
+        log = self._log(self._head["version"] if self._head else 0)
         if log is None:
             return
         row = log.agg(F.max_by(F.struct(*LOG_SCHEMA.fieldNames()), "version").alias("h")).first()
         if row is not None and row["h"] is not None:
             self._head = row["h"].asDict()
         for r in log.groupBy(F.coalesce("stream", F.lit("")).alias("s")).agg(F.max("batch_id").alias("b")).collect():  # a row per stream
-            self._max_batch[r["s"]] = r["b"]
+            self._max_batch[r["s"]] = max(r["b"], self._max_batch.get(r["s"], r["b"]))
 
     def head(self) -> dict | None:
         """Latest log row (version, slot, batch_id, rows) or None before the first publish."""
@@ -88,19 +101,37 @@ class SnapshotStore:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).format(self.fmt).load(self.slot_path(h["slot"]))
 
+    def _next_slot(self, current: str | None) -> str:
+        """The slot after the current one; pinned ones are left out, and more slots are used if all are."""
+        at = self.slots.index(current) + 1 if current and current in self.slots else 0
+        pinned = self._pins.leased()
+        for slot in self.slots[at:] + self.slots[:at] + ALL_SLOTS[len(self.slots):]:
+            if slot != current and self.slot_path(slot) not in pinned:
+                return slot
+        raise RuntimeError(f"readers pin all slots of {self.root}")
+
+    @contextmanager
+    def pinned(self, hours: float = 24.0) -> Iterator[DataFrame]:
+        """The current snapshot for a slow reader: its slot is not overwritten meanwhile, for ``hours`` at most."""
+        h = self.head()
+        with self._pins.lease([self.slot_path(h["slot"])] if h else [], hours):
+            yield self.read()
+
     def publish(self, df: DataFrame, batch_id: int, rows: int | None = None, stream: str = "") -> dict:
-        """Write ``df`` to the oldest slot, then append the log row that makes it current.
+        """Write ``df`` to the oldest slot that no reader has pinned, then append the log row that makes it current.
 
         ``rows`` is recorded as given (no extra scan of the snapshot to count it)."""
         h = self.head()
-        slot = self.slots[0] if h is None else self.slots[(self.slots.index(h["slot"]) + 1) % len(self.slots)]
+        slot = self._next_slot(h["slot"] if h else None)
         version = 1 if h is None else h["version"] + 1
         path = self.slot_path(slot)
         df.select(*self.schema.fieldNames()).write.mode("overwrite").format(self.fmt).save(path)
         entry = self.spark.createDataFrame([(version, slot, batch_id, rows, stream)], "version long, slot string, batch_id long, rows long, stream string")
-        entry.withColumn("published_at", F.current_timestamp()).select(*LOG_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
+        entry.withColumn("published_at", F.current_timestamp()).select(*LOG_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(f"{self.root}/_log/p={version // PER_FOLDER}")
         self._head = {"version": version, "slot": slot, "batch_id": batch_id, "rows": rows}
         self._max_batch[stream] = max(batch_id, self._max_batch.get(stream, batch_id))
+        if version % PER_FOLDER == 0:  # opening then reads this and the folders after it
+            self._files.put(STATE, json.dumps({"head": self._head, "batches": self._max_batch}))
         return dict(self._head)
 
     def apply(self, changes: DataFrame, spec, as_of, batch_id: int, pre=None, full_pre: bool = False, stream: str = "", **merge_kw) -> dict:

@@ -110,8 +110,11 @@ def probe_fields(parsed: DataFrame, probes: dict[str, tuple[str, str]]) -> DataF
     return parsed.select(*cols)
 
 
-def _null_safe_differs(a: list[Column], b: list[Column]) -> Column:
-    return functools.reduce(operator.or_, [~x.eqNullSafe(y) for x, y in zip(a, b)])
+def _moves(new: list[Column], old: list[Column]) -> Column:
+    """Whether an update moves its row: the before image holds a whole key, and another one. Logs often send only
+    the changed columns; without the old key the update is in place."""
+    whole = functools.reduce(operator.and_, [y.isNotNull() for y in old])
+    return whole & functools.reduce(operator.or_, [~x.eqNullSafe(y) for x, y in zip(new, old)])
 
 
 def seq_column(parsed: DataFrame) -> Column:
@@ -151,7 +154,7 @@ def change_rows(parsed: DataFrame, spec: TargetSpec) -> tuple[DataFrame, DataFra
     key_cols = [F.when(op == OP_DELETE, F.col(f"_b.{k}")).otherwise(F.col(f"_a.{k}")).alias(k) for k in keys]
     a_keys = [F.col(f"_a.{k}") for k in keys]
     b_keys = [F.col(f"_b.{k}") for k in keys]
-    moved = (op == OP_UPDATE) & F.col("_b").isNotNull() & _null_safe_differs(a_keys, b_keys)
+    moved = (op == OP_UPDATE) & F.col("_b").isNotNull() & _moves(a_keys, b_keys)
     prev = F.when(moved, F.struct(*[F.col(f"_b.{k}").alias(k) for k in keys]))
     img = F.when(op != OP_DELETE, F.col("_a").dropFields(CORRUPT))
     bad_img = F.coalesce(F.col(f"_a.{CORRUPT}").isNotNull() | F.col(f"_b.{CORRUPT}").isNotNull(), F.lit(False))
@@ -180,7 +183,7 @@ def log_shape(parsed: DataFrame, spec: TargetSpec) -> dict[str, bool]:
     ks = spec.key_schema
     image = lambda name, alias: F.from_json(name, ks, JSON_OPTIONS).alias(alias)
     rows = parsed.select("op_type", seq_column(parsed).alias("s"), F.inline(F.array(F.struct(image("after", "a"), image("before", "b")))))
-    moved = (F.col("op_type") == OP_UPDATE) & F.col("b").isNotNull() & _null_safe_differs([F.col(f"a.{c}") for c in spec.keys], [F.col(f"b.{c}") for c in spec.keys])
+    moved = (F.col("op_type") == OP_UPDATE) & F.col("b").isNotNull() & _moves([F.col(f"a.{c}") for c in spec.keys], [F.col(f"b.{c}") for c in spec.keys])
     gone = F.col("op_type") == OP_DELETE
     this = F.struct(F.when(gone, F.col("b")).otherwise(F.col("a")).alias("k"), gone.alias("d"), moved.alias("m"))
     old = F.struct(F.col("b").alias("k"), F.lit(True).alias("d"), F.lit(True).alias("m"))

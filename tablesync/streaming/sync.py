@@ -25,18 +25,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..operators.changes import has_rebirths, of_ops, utc_column
-from ..operators.retention import purge_expired, purge_health
+from ..operators.retention import Purge
 from ..schema import TargetSpec
 from ..sinks.bucketed import BucketedStore
+from ..sinks.health import HEALTH_DDL, HealthLog  # noqa: F401
 from ..sinks.jdbc import JdbcStore
+from ..sinks.merge_on_read import MergeOnReadStore
 from ..sinks.snapshot import SnapshotStore
+from ..sinks.versions import CommitLog
 from ..functions.convert import control_type
 from ..functions.text import error_text
 from ..sources.envelope import RAW, REASON, change_rows, parse_envelope, route, split_bad, unrouted
 
 METRICS_DDL = "batch_id long, target string, op string, n long, started_at timestamp, ms long"
 QUARANTINE_DDL = "batch_id long, target string, reason string, raw string"
-HEALTH_DDL = "target string, last_run timestamp"
 ENVELOPES = "_envelopes"  # stands for a target where a row belongs to none
 ERROR_DDL = "batch_id long, failed_at timestamp, error string"
 
@@ -46,13 +48,13 @@ class SyncTarget:
     """One target of a sync job (one plan entry, or all op types of a table at once)."""
 
     spec: TargetSpec
-    store: SnapshotStore | BucketedStore | JdbcStore
+    store: SnapshotStore | BucketedStore | MergeOnReadStore | JdbcStore
     tag_col: str = "table"
     op_order: tuple[str, ...] | None = None  # the op types to apply (all if None); the log orders them
     purge_days: int | None = None
     purge_column: str | None = None
     purge_keys: tuple[str, ...] | None = None
-    full_purge_hours: float = 24.0  # a bucketed store purges the buckets it rewrites anyway, and all of them this often
+    full_purge_hours: float = 24.0  # how often all expired rows go; in between, those that a batch rewrites anyway
     insert_mode: str = "replace"
     strategy: str = "auto"
 
@@ -65,8 +67,10 @@ class SyncJob:
     as_of: object = None  # None: current time per batch
     error_path: str | None = None  # one row per failed batch (then the query fails)
     parallelism: int = 1  # targets merged at once within a batch (FAIR pools; set spark.scheduler.mode=FAIR)
-    health: SnapshotStore | None = None  # of HEALTH_DDL: one row per target and batch, ids due are purged
+    health: HealthLog | None = None  # one row per target and batch, replayed ones included; ids due are purged
     health_days: int = 15
+    health_hours: float = 24.0  # how often the health log is compacted and purged
+    commits: CommitLog | None = None  # the targets of a batch become current together (their stores must be merge-on-read)
     stream_id: str = ""  # set by run_stream from the checkpoint
     last_batch: dict = field(default_factory=dict)
     # Control refresh: every ``refresh_hours`` the targets are rebuilt by ``refresh()``
@@ -75,6 +79,7 @@ class SyncJob:
     refresh_hours: float = 4.0
     _refreshed_at: float | None = None
     _purged_at: dict = field(default_factory=dict)
+    _health_at: float | None = None
 
     def maybe_refresh(self, now: float) -> bool:
         if self.refresh is None:
@@ -92,35 +97,44 @@ class SyncJob:
 def targets_from_plan(rows: list[dict], spec_for: Callable[[str], TargetSpec],
                       store_for: Callable[[dict, TargetSpec], object]) -> list[SyncTarget]:
     """Plan rows (``plans.control.plan_rows``: one per table and op type, in SEQUENCE order)
-    -> one target per table applying its op types, in the order of the log. Purging follows the plan
-    (PURGING = 'Y'; days and column from the first row of the table). A table_master column
-    type (COLUMNNAME, DATATYPE) declares that image column with the control type, so the
-    image parse casts it (a value that does not convert sends the row to quarantine)."""
+    -> one target per table applying its op types, in the order of the log.
+
+    Every row of a table counts: it is purged if any row says PURGING = 'Y', and every table_master column type (COLUMNNAME,
+    DATATYPE) declares that image column with the control type, so the image parse casts it (a value that does not
+    convert sends the row to quarantine). Rows of a table that contradict each other raise: two purges with other days or columns, two
+    types of a column, two keys, tags, or sinks."""
     by_table: dict[str, list[dict]] = {}
     for r in rows:
         by_table.setdefault(r["table_name"], []).append(r)
     out = []
     for name, rs in by_table.items():
-        spec = spec_for(name)
-        first = rs[0]
-        typed = next((r for r in rs if r.get("cast_column") and r.get("cast_type")), None)
-        if typed is not None:
-            spec = spec.with_type(typed["cast_column"], control_type(typed["cast_type"], spec.audit_type))
+        spec, first = spec_for(name), rs[0]
+
+        def one(what: str, values: list):
+            if len({repr(v) for v in values}) > 1:
+                raise ValueError(f"plan rows of {name} differ in {what}: {values}")
+            return values[0] if values else None
+
+        one("key", [list(r["keys"]) for r in rs])
+        for what in ("tag_column", "sink_kind", "db_table"):
+            one(what, [r.get(what) for r in rs])
         if list(first["keys"]) != spec.key_cols:
             raise ValueError(f"plan key {first['keys']} differs from the key of {name}: {spec.key_cols}")
-        purge = first["purge"] and first["purge_days"] is not None
-        out.append(SyncTarget(
-            spec, store_for(first, spec), tag_col=first["tag_column"],
-            op_order=tuple(r["op_type"] for r in rs),
-            purge_days=first["purge_days"] if purge else None,
-            purge_column=first["purge_column"] if purge else None,
-        ))
+        types: dict[str, list[str]] = {}
+        for r in rs:
+            if r.get("cast_column") and r.get("cast_type"):
+                types.setdefault(r["cast_column"], []).append(r["cast_type"])
+        for column, kinds in types.items():
+            spec = spec.with_type(column, control_type(one(f"type of {column}", kinds), spec.audit_type))
+        purge = one("purge", [(r["purge_days"], r["purge_column"]) for r in rs if r["purge"] and r["purge_days"] is not None])
+        days, column = purge or (None, None)
+        out.append(SyncTarget(spec, store_for(first, spec), tag_col=first["tag_column"], op_order=tuple(r["op_type"] for r in rs), purge_days=days, purge_column=column))
     return out
 
 
 def sync_table(batch: DataFrame, t: SyncTarget, batch_id: int, as_of=None, stream: str = "", full_purge: bool = False,
-               before_publish: Callable[[list, DataFrame], None] | None = None) -> list:
-    """Apply one batch to one target and publish it; returns the counts per op type.
+               before_publish: Callable[[list, DataFrame], None] | None = None, **store_kw) -> list:
+    """Apply one batch to one target and publish it (``store_kw``: more for the store); returns the counts per op type.
 
     ``before_publish`` gets (counts, bad rows) once they are known. With no row for the target nothing is
     published, unless a full purge is due.
@@ -138,11 +152,10 @@ def sync_table(batch: DataFrame, t: SyncTarget, batch_id: int, as_of=None, strea
             before_publish(counts, bad)
         pre = None
         if t.purge_days is not None:
-            keys = list(t.purge_keys) if t.purge_keys else None
-            pre = lambda df: purge_expired(df, t.purge_days, as_of, t.purge_column, keys)
+            pre = Purge(t.purge_days, as_of, t.purge_column, t.purge_keys)
         if counts or (pre and full_purge):
             t.store.apply(changes, t.spec, as_of, batch_id, pre=pre, full_pre=full_purge, stream=stream, insert_mode=t.insert_mode, strategy=t.strategy,
-                          key_changes=any(r["moves"] for r in stats), rebirths=has_rebirths(changes, t.spec.key_cols))
+                          key_changes=any(r["moves"] for r in stats), rebirths=has_rebirths(changes, t.spec.key_cols), **store_kw)
         return counts
     finally:
         changes.unpersist()
@@ -152,15 +165,10 @@ def _own_folder(path: str, stream: str, batch_id: int, target: str) -> str:
     return f"{path}/p_stream={stream or 'none'}/p_batch={batch_id}/p_target={target}"
 
 
-def _write_health(job: SyncJob, names: list[str], instant) -> None:
-    spark = job.health.spark
-    rows = spark.createDataFrame([(n,) for n in names], "target string").withColumn("last_run", instant)
-    kept = purge_health(job.health.read(), "target", "last_run", instant, job.health_days)
-    job.health.publish(kept.unionByName(rows), (job.health.head() or {"version": 0})["version"])
-
-
 def make_batch_fn(job: SyncJob):
     """The ``foreachBatch`` function of a sync job."""
+    if job.commits and not all(hasattr(t.store, "finish") for t in job.targets):
+        raise ValueError("a group commit needs stores that can prepare a version")
 
     def run(raw: DataFrame, batch_id: int) -> None:
         spark = raw.sparkSession
@@ -190,7 +198,10 @@ def make_batch_fn(job: SyncJob):
                     spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"sync-{t.spec.name}")
                 t0 = time.time()
                 as_of = job.as_of if job.as_of is not None else utc_column(started, t.spec.audit_type)
-                full = t.purge_days is not None and started - job._purged_at.get(t.spec.name, float("-inf")) >= t.full_purge_hours * 3600
+                # file stores with a log remember their last full purge over restarts
+                logged = hasattr(t.store, "last_purge")
+                purged = t.store.last_purge() if logged else job._purged_at.get(t.spec.name, float("-inf"))
+                full = t.purge_days is not None and started - purged >= t.full_purge_hours * 3600
 
                 def before_publish(counts: list, bad: DataFrame) -> None:
                     quarantine(bad, t.spec.name)
@@ -199,10 +210,11 @@ def make_batch_fn(job: SyncJob):
                     rows.select("batch_id", "target", "op", "n", F.timestamp_seconds(F.lit(started)).alias("started_at"), "ms") \
                         .coalesce(1).write.mode("overwrite").parquet(_own_folder(job.metrics_path, job.stream_id, batch_id, t.spec.name))
 
-                sync_table(good, t, batch_id, as_of, job.stream_id, full, before_publish)
+                sync_table(good, t, batch_id, as_of, job.stream_id, full, before_publish, **({"at": started} if logged else {}), **({"commit": token} if token else {}))
                 if full:
                     job._purged_at[t.spec.name] = started
 
+            token = job.commits.token(job.stream_id, batch_id) if job.commits else None
             todo = [t for t in job.targets if not t.store.has_batch(batch_id, job.stream_id)]
             if job.parallelism > 1 and len(todo) > 1:
                 # Targets are distinct tables (one per table, see targets_from_plan): independent.
@@ -211,9 +223,16 @@ def make_batch_fn(job: SyncJob):
             else:
                 for t in todo:
                     one(t)
-            if job.health is not None and todo:
+            if job.commits and todo:
+                job.commits.commit(token, batch_id=batch_id, targets=[t.spec.name for t in todo])
+                for t in todo:
+                    t.store.finish()
+            if job.health is not None:  # a replayed batch too: its rows may be what the failure prevented
                 instant = F.lit(str(job.as_of)).cast("timestamp") if job.as_of is not None else F.timestamp_seconds(F.lit(started))
-                _write_health(job, [t.spec.name for t in todo], instant)
+                job.health.record([t.spec.name for t in job.targets], instant, batch_id, job.stream_id)
+                if job._health_at is None or started - job._health_at >= job.health_hours * 3600:
+                    job.health.compact(instant, job.health_days)
+                    job._health_at = started
             job.last_batch = {"batch_id": batch_id, "targets": len(job.targets)}
         except Exception as e:
             # Log the failure, then fail the query: the checkpoint replays the batch on restart
