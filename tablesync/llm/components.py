@@ -6,7 +6,7 @@ aggregated side, and the other side's rows of it may be split. The links never l
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import stash
@@ -24,15 +24,23 @@ def _star(arcs: DataFrame, larger_only: bool) -> DataFrame:
 
 
 def components(links: DataFrame, most: int = 60) -> DataFrame:
-    """(node, component) for every node of ``links`` (a, b); the component is its smallest node."""
+    """(node, component) for every node of ``links`` (a, b); the component is its smallest node.
+
+    Each round at least halves the longest way to a smallest node, so ``most`` rounds are enough for any
+    graph; should they not be, it raises.
+    """
     arcs = links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     arcs, last = stash(arcs, "links"), None
     for _ in range(most):
         both = arcs.unionByName(arcs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        arcs = stash(_star(_star(both, True), False), "stars")
-        state = arcs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        seen = Observation()  # counted while the round is written
+        total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+        arcs = stash(_star(_star(both, True), False).observe(seen, F.count(F.lit(1)).alias("n"), total.alias("sum")), "stars")
+        state = (seen.get["n"], seen.get["sum"])
         if state == last:
             break
         last = state
+    else:
+        raise RuntimeError(f"components have not settled after {most} rounds")
     roots = arcs.select(F.col("v").alias("node")).distinct()
     return arcs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.withColumn("component", F.col("node")))

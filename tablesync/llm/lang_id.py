@@ -7,7 +7,8 @@ scaled and of unit length, taken from the whole text.
 
 Defined results: a text that is null, empty or has no letter is ``und`` with score 0. A
 table with no usable labelled row gives ``und`` for every row. Ties between languages go to the
-smaller code. Repeated rows and null ids are rows like any other; extra columns are ignored.
+smaller code. Repeated rows and null ids are rows like any other; extra columns travel along, but ``lang_pred`` and ``score`` are
+replaced. Very long texts are read whole, in rows of n-gram counts of fixed size; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -81,30 +82,38 @@ def features(column: pa.Array) -> Iterator[np.ndarray]:
             yield out / np.where(norm > 0, norm, 1)
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 30, seed: int = 7) -> np.ndarray:
+def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 30, seed: int = 7, pick: np.ndarray | None = None) -> np.ndarray:
     """Weights (the last is the bias) of a two-class linear SVM with squared hinge loss; y is -1 or 1.
 
-    Dual coordinate descent with classes weighted by their inverse share, seeded, so reruns agree.
+    Dual coordinate descent with classes weighted by their inverse share, seeded, so reruns agree. ``x`` may be of half
+    precision and is never copied: rows (those of ``pick``, if given) are widened one at a time.
     """
     n = len(y)
-    x = np.hstack([x, np.ones((n, 1), np.float32)]).astype(np.float64)
+    pick = np.arange(n) if pick is None else pick
     weight = np.where(y > 0, n / (2 * max(1, (y > 0).sum())), n / (2 * max(1, (y < 0).sum())))
     diag = 1 / (2 * c * weight)
-    q = np.einsum("ij,ij->i", x, x) + diag
-    alpha, w = np.zeros(n), np.zeros(x.shape[1])
+    q = np.empty(n)
+    for i in range(n):
+        row = x[pick[i]].astype(np.float64)
+        q[i] = row @ row + 1 + diag[i]
+    alpha, w, bias = np.zeros(n), np.zeros(x.shape[1]), 0.0
     rng = np.random.default_rng(seed)
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(n):
-            gradient = y[i] * (w @ x[i]) - 1 + diag[i] * alpha[i]
+            row = x[pick[i]].astype(np.float64)
+            gradient = y[i] * (w @ row + bias) - 1 + diag[i] * alpha[i]
             new = max(0.0, alpha[i] - gradient / q[i])
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                step = (new - alpha[i]) * y[i]
+                row *= step
+                w += row
+                bias += step
                 moved = max(moved, abs(new - alpha[i]) * q[i])
                 alpha[i] = new
         if moved < 1e-2:
             break
-    return w
+    return np.append(w, bias)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -121,17 +130,20 @@ class LanguageModel:
     pair_w: dict[tuple[str, str], np.ndarray]
 
     @classmethod
-    def fit(cls, x: np.ndarray, lang: np.ndarray) -> LanguageModel:
+    def fit(cls, x: np.ndarray, lang: np.ndarray, order: np.ndarray | None = None) -> LanguageModel:
+        """``order``: the order in which the rows are taken, so that reruns agree."""
+        order = np.arange(len(lang)) if order is None else order
+        lang = lang[order]
         kin = np.array([family_of(str(v)) for v in lang])
         families = sorted(set(kin))
         members = {f: sorted({str(v) for v in lang[kin == f]}) for f in families}
-        rest = [linear_svm(x, np.where(kin == f, 1.0, -1.0)) for f in families] if len(families) > 1 else []
+        rest = [linear_svm(x, np.where(kin == f, 1.0, -1.0), pick=order) for f in families] if len(families) > 1 else []
         family_w = np.array(rest) if rest else np.zeros((len(families), x.shape[1] + 1))
         pairs = {}
         for names in members.values():
             for a, b in combinations(names, 2):
-                pick = (lang == a) | (lang == b)
-                pairs[a, b] = linear_svm(x[pick], np.where(lang[pick] == a, 1.0, -1.0))
+                pick = np.flatnonzero((lang == a) | (lang == b))
+                pairs[a, b] = linear_svm(x, np.where(lang[pick] == a, 1.0, -1.0), pick=order[pick])
         return cls(families, members, family_w.astype(np.float32), {k: v.astype(np.float32) for k, v in pairs.items()})
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,36 +174,43 @@ class LanguageModel:
         return out, np.clip(score, 0, 1)
 
 
-def fit_language_model(labelled: DataFrame, per_language: int = 400) -> LanguageModel | None:
+def fit_language_model(labelled: DataFrame, per_language: int = 400, max_rows: int = 6400, max_languages: int = 200) -> LanguageModel | None:
     """Fit on a bounded sample: about ``per_language`` distinct texts of each language, by a hash of the text; all if it has fewer.
 
     Counts per language are of the distinct texts of all labelled rows, so neither copies nor size thin a language out; the sampled rows become n-gram vectors on the
-    executors, so what reaches the driver is bounded whatever the length of the texts.
+    executors, so what reaches the driver is bounded whatever the length of the texts: by ``max_rows`` vectors of
+    16 KB, which the languages share where there are many. Of more than ``max_languages`` labels, those with the most texts are learned.
     """
+    spark = labelled.sparkSession
     good = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", F.col("lang").cast("string").alias("lang"))
-    counts = {r["lang"]: r["n"] for r in good.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()}
+    counts = good.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
     if not counts:
         return None
-    share = F.lit(0).cast("long")
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(int(min(1.0, per_language / max(1, n)) * HASHES))).otherwise(share)
-    sample = good.where(F.pmod(F.xxhash64("text"), F.lit(HASHES)) < share)
+    each = min(per_language, max_rows // len(counts))
+    shares = [(r["lang"], int(min(1.0, each / max(1, r["n"])) * HASHES)) for r in counts]
+    sample = good.join(F.broadcast(spark.createDataFrame(shares, "lang string, share long")), "lang").where(F.pmod(F.xxhash64("text"), F.lit(HASHES)) < F.col("share"))
 
     def vectors(batches):
         for batch in batches:
             at, langs = 0, batch.column("lang")
             for rows in features(batch.column("text")):
                 data = [row.tobytes() for row in rows.astype(np.float16)]
-                yield pa.RecordBatch.from_arrays([langs.slice(at, len(rows)), pa.array(data, pa.binary())], ["lang", "x"])
+                yield pa.RecordBatch.from_arrays([langs.slice(at, len(rows)), batch.column("h").slice(at, len(rows)), pa.array(data, pa.binary())], ["lang", "h", "x"])
                 at += len(rows)
 
     # copies of one text share its hash, so a text is taken once
-    rows = sample.dropDuplicates(["lang", "text"]).mapInArrow(vectors, "lang string, x binary").collect()
-    rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    if not rows:
+    rows = sample.dropDuplicates(["lang", "text"]).select("lang", F.xxhash64("text").alias("h"), "text").mapInArrow(vectors, "lang string, h long, x binary").toArrow()
+    if not rows.num_rows:
         return None
-    x = np.stack([np.frombuffer(r["x"], np.float16) for r in rows]).astype(np.float32)
-    return LanguageModel.fit(x, np.array([r["lang"] for r in rows], object))
+    x, at = np.empty((rows.num_rows, DIMS), np.float16), 0
+    for part in rows["x"].chunks:
+        for value in part:
+            x[at] = np.frombuffer(value.as_buffer(), np.float16)
+            at += 1
+    lang, h = np.array(rows["lang"].to_pylist(), object), np.asarray(rows["h"])
+    del rows
+    order = np.lexsort((h, lang.astype(str)))
+    return LanguageModel.fit(x, lang, order)
 
 
 def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:

@@ -312,8 +312,25 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 20, b
 
 
 def without_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
-    """One row of ``docs`` per class: that of the smallest doc_id (of repeated rows, one). Rows with a null id stay."""
-    classes = near_duplicates(docs, **parameters)
-    gone = classes.where(~F.col("kept")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of ``docs`` per class: that of the smallest doc_id. Rows with a null id stay.
+
+    Rows that share an id but not their text are documents of their own here, so that no text goes unless one like
+    it stays; of rows equal in both, one stays. Such further rows of an id have a number of their own, so in their
+    classes the smallest number stays.
+    """
+    number = "_number" + "_" * sum(c.startswith("_number") for c in docs.columns)
+    again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.xxhash64("text")).alias("first")).where("n > 1")
+    again = stash(again.select("doc_id", "first"), "repeated-ids")
+    key = F.col("doc_id").cast("long")
+    if again.isEmpty():
+        docs = docs.withColumn(number, key)
+    else:
+        renamed = again.select(F.col("doc_id").alias(f"{number}i"), F.col("first").alias(f"{number}f"))
+        docs = docs.join(renamed, F.col("doc_id") == F.col(f"{number}i"), "left")
+        other = F.col(f"{number}f").isNotNull() & (F.xxhash64("text") != F.col(f"{number}f"))
+        docs = docs.withColumn(number, F.when(other, F.xxhash64("doc_id", "text")).otherwise(key)).drop(f"{number}i", f"{number}f")
+        docs = stash(docs, "numbered")
+    classes = near_duplicates(docs.select(F.col(number).alias("doc_id"), "text"), **parameters)
+    gone = classes.where(~F.col("kept")).select(F.col("doc_id").alias(number)).distinct()
+    named = docs.where(F.col(number).isNotNull()).join(gone, number, "left_anti").dropDuplicates([number])
+    return named.unionByName(docs.where(F.col(number).isNull())).drop(number)

@@ -107,10 +107,18 @@ def test_near_duplicates_edges(spark):
     want = [(0, 0, True), (1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True), (5, 4, False), (5, 4, False), (6, 6, True), (7, 7, True), (8, 7, False), (9, 9, True), (9, 9, True)]
     assert got == want
     left = sorted((r["doc_id"] or 0) for r in without_near_duplicates(docs).collect())
-    assert left == [0, 1, 2, 3, 4, 6, 7, 9]
+    assert left == [0, 1, 2, 3, 4, 6, 7, 9, 9]  # the two texts of id 9 are unlike: neither goes
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_no_text_goes_unless_one_like_it_stays(spark):
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    docs = spark.createDataFrame([(1, a), (1, b), (2, b), (2, b), (3, a + " end"), (None, a)], "doc_id long, text string").selectExpr("*", "7 _number")
+    left = without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted(r["text"].removesuffix(" end") for r in left.where("doc_id is not null").collect()) == [a, b] and left.where("doc_id is null").count() == 1
+
+
 def test_a_large_group_of_copies(spark):
     docs = spark.range(3000).selectExpr("id doc_id", "if(id % 2 = 0, 'one two three four five six', concat('w', id, ' a b c d e f g h')) text")
     out = near_duplicates(docs)
