@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.nested import array_index, explode_column, flatten_long, pivot_points, unpivot_struct
 from ..session import scratch_path
 from ..sinks.files import write_csv, write_json_multiline
+from ..sources.json_arrays import read_json_array
 from ..sources.files import read_delimited, read_json
 from . import documents as docs
 from . import fixtures as fx
@@ -116,3 +117,11 @@ def json_multiline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "docs_json")
     write_json_multiline(docs.metric_documents(fx.table(spark, sf_dir, "lineitem")), path)
     return _long(read_json(spark, path, docs.DOCUMENT, multiline=True))
+
+
+@register("json_array_scan", _LONG_SQL)
+def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents as one array in one file, read by a task per byte range."""
+    path = scratch_path(spark, "docs_array")
+    write_json_multiline(docs.metric_documents(fx.table(spark, sf_dir, "lineitem")).coalesce(1), path)
+    return _long(read_json_array(spark, path, docs.DOCUMENT))
