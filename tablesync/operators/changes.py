@@ -31,6 +31,8 @@ from ..schema import INSERT_DATE, OP_DELETE, OP_INSERT, OP_UPDATE, UPDATE_DATE,
 from ..session import checkpoint_root
 from .joins import DEFAULT_BROADCAST_ROWS, fits_broadcast
 
+HOT_KEY_EVENTS = 1_000_000  # of one key, that one task still sorts
+
 CHANGE_COLS = ("_op", "_seq", "_img", "_prev")
 NET_COLS = ("_op", "_seq", "_img", "_first", "_upd", "_fresh", "_del_seq", "_carry", "_last_at", "_born")
 
@@ -72,6 +74,26 @@ def has_rebirths(changes: DataFrame, keys: list[str]) -> bool:
     return not last.where(F.col("d") < F.col("s")).isEmpty()
 
 
+def _lives(events: DataFrame) -> DataFrame:
+    """Adds ``_life``, how many deletes of the key came before the event.
+
+    A window per key, unless some key has more than ``HOT_KEY_EVENTS`` events (a key used as a swap slot, say): then the
+    events are dealt out by ranges of key and position, and a range adds the deletes of the ranges before it.
+    """
+    gone = (F.col("_op") == OP_DELETE).cast("long")
+    before = Window.partitionBy("_k").orderBy("_seq", "_moved").rowsBetween(Window.unboundedPreceding, -1)
+    if events.groupBy("_k").count().where(F.col("count") > HOT_KEY_EVENTS).isEmpty():
+        return events.withColumn("_life", F.coalesce(F.sum(gone).over(before), F.lit(0).cast("long")))
+    n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = events.repartitionByRange(n, "_k", "_seq", "_moved").withColumn("_range", F.spark_partition_id()).checkpoint()
+    inside = Window.partitionBy("_k", "_range").orderBy("_seq", "_moved").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = dealt.groupBy("_k", "_range").agg(F.sum(gone).alias("_gone"))
+    earlier = F.sum("_gone").over(Window.partitionBy("_k").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))  # a row per range
+    ranges = ranges.select("_k", "_range", F.coalesce(earlier, F.lit(0)).alias("_earlier"))
+    own = dealt.withColumn("_own", F.coalesce(F.sum(gone).over(inside), F.lit(0)))
+    return own.join(ranges, ["_k", "_range"]).withColumn("_life", F.col("_own") + F.col("_earlier")).drop("_own", "_earlier", "_range")
+
+
 def _lineage(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """(_from, _at, _carry): INSERT_DATE of the row that a move at position ``_at`` took from key ``_from``.
 
@@ -86,8 +108,7 @@ def _lineage(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFram
     audit = target.schema[INSERT_DATE].dataType
     when = F.col("_at") if "_at" in changes.columns else F.lit(None).cast(audit)
     events = changes.select(_keys_as(keys, "_k"), "_op", "_seq", "_prev", "_moved", when.alias("_time")).distinct().join(involved, "_k")
-    ended = F.sum((F.col("_op") == OP_DELETE).cast("long")).over(Window.partitionBy("_k").orderBy("_seq", "_moved").rowsBetween(Window.unboundedPreceding, -1))
-    events = events.withColumn("_life", F.coalesce(ended, F.lit(0).cast("long"))).checkpoint()
+    events = _lives(events.checkpoint()).checkpoint()
     births = events.where(F.col("_op") != OP_DELETE).groupBy("_k", "_life").agg(F.min_by(F.struct("_prev", "_seq", "_time"), "_seq").alias("_b"))
     left = events.where("_moved").select(F.col("_k").alias("_from"), F.col("_seq").alias("_at"), F.col("_life").alias("_left"))
     nodes = births.select("_k", "_life", F.col("_b._prev").alias("_from"), F.col("_b._seq").alias("_at"), F.col("_b._time").alias("_born"))

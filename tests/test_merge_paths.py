@@ -110,6 +110,14 @@ def test_a_key_used_as_swap_slot_many_times(spark):
     assert out.count() == 60 and {str(r[INSERT_DATE]) for r in out.collect()} == {OLD}
 
 
+@pytest.mark.parametrize("seed", [1, 6])
+def test_hot_keys_are_dealt_out_by_ranges(spark, seed, monkeypatch):
+    monkeypatch.setattr("tablesync.operators.changes.HOT_KEY_EVENTS", 2)
+    log = random_log(random.Random(seed), 30, 4)
+    ch, _, _ = changes(spark, lines_of(log))
+    assert rows(apply_changes(start(spark), ch, SPEC, None, AS_OF)) == sequential(START, log)
+
+
 def test_moved_rows_and_op_types(spark):
     """A move belongs to the updates: without them in the plan, its old row stays."""
     log = [("I", 7, 0, "new"), ("M", 1, 8, "moved"), ("D", 2, 0, "")]
