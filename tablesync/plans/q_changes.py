@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.changes import apply_changes, apply_phases, collapse_changes, dedupe, merge_changes, net_changes
 from ..operators.joins import join_composite_key, rename_prefix
 from ..schema import data_columns
-from ..sources.envelope import change_rows, log_shape, parse_envelope, route, split_bad, struct_expand
+from ..sources.envelope import change_rows, log_shape, parse_envelope, route, split_bad, struct_expand, typed_image
 from . import fixtures as fx
 from .registry import register
 
@@ -274,7 +274,7 @@ def filter_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = fx.table(spark, sf_dir, "orders")
     spec = fx.orders_spec(orders)
     env = parse_envelope(fx.order_envelopes(orders, spec, priorities=None))
-    img = env.select(F.from_json("after", spec.data_schema).alias("after"))
+    img = env.select(F.inline(F.array(F.struct(typed_image("after", spec.data_schema).alias("after")))))
     return img.where(F.col("after.o_orderpriority") == fx.PRIO_INSERT).select(
         F.col("after.o_orderkey").alias("o_orderkey"), F.col("after.o_custkey").alias("o_custkey"),
         F.col("after.o_totalprice").alias("o_totalprice"))

@@ -1,8 +1,8 @@
 """Change envelopes: parse raw JSON text, set bad rows aside, route by table, extract images.
 
-The envelope is parsed once with a declared schema (no inference pass); ``before`` and
-``after`` stay raw JSON text until the target's own schema is applied, so a batch that mixes
-tables, or lacks a ``before`` field altogether, parses the same way.
+The text is parsed once, into a variant; fields are looked up in it with their declared types (no inference pass).
+``before`` and ``after`` stay variants until the target's own schema is applied, so a batch that mixes
+tables, or lacks a ``before`` field altogether, parses the same way. A text that is no JSON, or has a key twice, is malformed.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from ..schema import ENVELOPE_SCHEMA, OP_DELETE, OP_INSERT, OP_TYPES, OP_UPDATE,
 
 RAW = "_raw"
 REASON = "_reason"
-CORRUPT = "__corrupt_image"
 
 # Quarantine reason codes.
 REASON_MALFORMED = "malformed"
@@ -39,6 +38,35 @@ JSON_OPTIONS = {
 ORDER_EXTRAS = ("_src_partition", "_src_offset")
 
 
+DOC = "_doc"  # the whole envelope as a variant
+IMAGES = ("before", "after")
+
+
+def _path(name: str) -> str:
+    return "$['" + name.replace("'", "\\'") + "']" if not name.isidentifier() else f"$.{name}"
+
+
+def _image(name: str) -> Column:
+    """An image of the envelope as a variant; a JSON null is none."""
+    image = F.try_variant_get(DOC, _path(name), "variant")
+    return F.when(~F.is_variant_null(image), image)
+
+
+def typed_image(image: Column | str, schema: T.StructType) -> Column:
+    """A variant image as a struct of the declared schema; missing fields, and those that do not convert, are NULL."""
+    ddl = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in schema.fields)
+    return F.try_variant_get(image, "$", f"struct<{ddl}>")
+
+
+def _does_not_convert(image: str, typed: str, schema: T.StructType) -> Column:
+    """Whether the image is no object, or has a field whose value is there and does not convert to its type."""
+    image_c, out = F.col(image), [F.col(image).isNotNull() & F.col(typed).isNull()]
+    for f in schema.fields:
+        given = F.try_variant_get(image_c, _path(f.name), "variant")
+        out.append(F.col(typed)[f.name].isNull() & given.isNotNull() & ~F.is_variant_null(given))
+    return F.coalesce(functools.reduce(operator.or_, out), F.lit(False))
+
+
 def parse_envelope(raw: DataFrame, value_col: str = "value", schema=ENVELOPE_SCHEMA, tags: tuple[str, ...] = ("table",)) -> DataFrame:
     """Raw text column -> envelope columns, keeping the text in ``_raw`` and a ``_reason``.
 
@@ -52,13 +80,11 @@ def parse_envelope(raw: DataFrame, value_col: str = "value", schema=ENVELOPE_SCH
     more = [t for t in tags if t not in schema.fieldNames()]
     schema = T.StructType([*schema.fields, *[T.StructField(t, T.StringType()) for t in more]])
     fields = schema.fieldNames()
-    if all(isinstance(f.dataType, T.StringType) for f in schema.fields):
-        # One JSON parse per row. json_tuple is a generator: filters on its output (bad-row
-        # split, routing) stay above it instead of being pushed down with a copy of the parse
-        # each. Nested images come back as their raw JSON text.
-        out = raw.select(*extras, text.alias(RAW), F.json_tuple(text, *fields).alias(*fields))
-    else:
-        out = raw.select(*extras, text.alias(RAW), F.inline(F.array(F.from_json(text, schema)))).select(*extras, RAW, *fields)
+    # One JSON parse per row, inside a one-row generator: filters on the fields (bad-row split, routing) stay above it
+    # instead of being pushed down with a copy of the parse each. Fields and images are then looked up in the variant.
+    out = raw.select(*extras, text.alias(RAW), F.inline(F.array(F.struct(F.try_parse_json(text).alias(DOC)))))
+    found = [_image(f.name) if f.name in IMAGES else F.try_variant_get(DOC, _path(f.name), f.dataType.simpleString()) for f in schema.fields]
+    out = out.select(*extras, RAW, DOC, *[c.alias(n) for c, n in zip(found, fields)])
     op = F.col("op_type")
     reason = (
         F.when(F.coalesce(*[F.col(t) for t in tags]).isNull() | op.isNull(), F.lit(REASON_MALFORMED))
@@ -92,20 +118,22 @@ def route_by_op(parsed: DataFrame, op_type: str) -> DataFrame:
 
 def struct_expand(parsed: DataFrame, spec: TargetSpec, image: str = "after") -> DataFrame:
     """``select(image.*)`` with the target's declared schema: a missing field is NULL."""
-    return parsed.select(F.from_json(F.col(image), spec.data_schema, JSON_OPTIONS).alias("_img")).select("_img.*")
+    return parsed.select(F.inline(F.array(typed_image(image, spec.data_schema))))
 
 
 def probe_fields(parsed: DataFrame, probes: dict[str, tuple[str, str]]) -> DataFrame:
-    """Field-present probes as boolean columns.
+    """Field-present probes as boolean columns, looked up in the parsed envelope.
 
-    ``probes`` maps an output name to (json path into the raw envelope, Spark type). A probe
+    ``probes`` maps an output name to (json path into the envelope, Spark type). A probe
     is true when the path exists and its value converts to the type, like a typed getter that
     succeeds.
     """
     cols = []
     for name, (path, dtype) in probes.items():
-        got = F.get_json_object(F.col(RAW), path)
-        ok = got.isNotNull() if dtype in ("string", "struct") else got.try_cast(dtype).isNotNull()
+        got = F.try_variant_get(DOC, path, "variant")
+        there = got.isNotNull() & ~F.is_variant_null(got)
+        ok = there if dtype in ("string", "struct") else there & F.try_variant_get(DOC, path, "string").try_cast(dtype).isNotNull()
+        ok = F.coalesce(ok, F.lit(False))
         cols.append(ok.alias(name))
     return parsed.select(*cols)
 
@@ -136,18 +164,15 @@ def change_rows(parsed: DataFrame, spec: TargetSpec) -> tuple[DataFrame, DataFra
     ``bad`` holds rows whose image does not parse or whose key has a NULL part.
     """
     keys = spec.key_cols
-    # A field that does not convert leaves the image text in the corrupt-record column.
-    img_schema = T.StructType(list(spec.data_schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    opts = {**JSON_OPTIONS, "columnNameOfCorruptRecord": CORRUPT}
-    after = F.from_json(F.col("after"), img_schema, opts)
-    before = F.from_json(F.col("before"), img_schema, opts)
-    # The images are parsed inside a one-row generator so that the filters below (bad rows,
-    # NULL keys) are not pushed under it with a copy of the parse per referenced field.
-    images = F.array(F.struct(after.alias("_a"), before.alias("_b")))
+    # The images are typed inside a one-row generator so that the filters below (bad rows,
+    # NULL keys) are not pushed under it with a copy of the conversion per referenced field.
+    images = F.array(F.struct(typed_image("after", spec.data_schema).alias("_a"), typed_image("before", spec.data_schema).alias("_b")))
     base = parsed.select(
         F.col("op_type").alias("_op"),
         seq_column(parsed).alias("_seq"),
         F.col(RAW),
+        F.col("after").alias("_va"),
+        F.col("before").alias("_vb"),
         F.inline(images),
     )
     op = F.col("_op")
@@ -156,8 +181,8 @@ def change_rows(parsed: DataFrame, spec: TargetSpec) -> tuple[DataFrame, DataFra
     b_keys = [F.col(f"_b.{k}") for k in keys]
     moved = (op == OP_UPDATE) & F.col("_b").isNotNull() & _moves(a_keys, b_keys)
     prev = F.when(moved, F.struct(*[F.col(f"_b.{k}").alias(k) for k in keys]))
-    img = F.when(op != OP_DELETE, F.col("_a").dropFields(CORRUPT))
-    bad_img = F.coalesce(F.col(f"_a.{CORRUPT}").isNotNull() | F.col(f"_b.{CORRUPT}").isNotNull(), F.lit(False))
+    img = F.when(op != OP_DELETE, F.col("_a"))
+    bad_img = _does_not_convert("_va", "_a", spec.data_schema) | _does_not_convert("_vb", "_b", spec.data_schema)
     shaped = base.select(*key_cols, "_op", "_seq", img.alias("_img"), prev.alias("_prev"), bad_img.alias("_bad_img"), RAW)
     null_key = functools.reduce(operator.or_, [F.col(k).isNull() for k in keys])
     reason = F.when(F.col("_bad_img"), F.lit(REASON_BAD_IMAGE)).when(null_key, F.lit(REASON_NULL_KEY))
@@ -181,7 +206,7 @@ def log_shape(parsed: DataFrame, spec: TargetSpec) -> dict[str, bool]:
     """``key_changes``: whether an update moves a key; ``rebirths``: whether a key changes again after a
     delete. One job that parses only the key fields and combines per key before its shuffle."""
     ks = spec.key_schema
-    image = lambda name, alias: F.from_json(name, ks, JSON_OPTIONS).alias(alias)
+    image = lambda name, alias: typed_image(name, ks).alias(alias)
     rows = parsed.select("op_type", seq_column(parsed).alias("s"), F.inline(F.array(F.struct(image("after", "a"), image("before", "b")))))
     moved = (F.col("op_type") == OP_UPDATE) & F.col("b").isNotNull() & _moves([F.col(f"a.{c}") for c in spec.keys], [F.col(f"b.{c}") for c in spec.keys])
     gone = F.col("op_type") == OP_DELETE
@@ -207,5 +232,5 @@ def envelope_columns(df: DataFrame, spec: TargetSpec, op_col: Column, op_ts: Col
 
 __all__ = [
     "parse_envelope", "split_bad", "route", "route_by_op", "struct_expand", "probe_fields",
-    "change_rows", "seq_column", "envelope_columns", "OP_INSERT", "OP_UPDATE", "OP_DELETE",
+    "typed_image", "change_rows", "seq_column", "envelope_columns", "OP_INSERT", "OP_UPDATE", "OP_DELETE",
 ]
