@@ -63,12 +63,36 @@ z AS (
   SELECT y.*, k, floor(place * frac + (k + 0.5::DOUBLE) / 32.0::DOUBLE) - floor((place - 1) * frac + (k + 0.5::DOUBLE) / 32.0::DOUBLE) AS extra
   FROM y, range(32) AS offsets(k)),
 miss AS (SELECT source, slot, k, abs(sum(extra * size) - any_value(frac) * sum(size)) AS miss FROM z GROUP BY ALL),
-pick AS (SELECT source, slot, k FROM miss QUALIFY row_number() OVER (PARTITION BY source, slot ORDER BY miss, k) = 1)
-SELECT z.doc_id, z.size, z.source_size, z.target, ((z.whole + z.extra) * z.size)::BIGINT AS taken
-FROM z JOIN pick ON z.source IS NOT DISTINCT FROM pick.source AND z.slot = pick.slot AND z.k = pick.k
+pick AS (SELECT source, slot, k FROM miss QUALIFY row_number() OVER (PARTITION BY source, slot ORDER BY miss, k) = 1),
+e0 AS (
+  SELECT z.doc_id, z.size, z.source, z.source_size, z.target, z.slot, z.place, z.whole, z.extra,
+         z.frac * sum(z.size) OVER (PARTITION BY z.source, z.slot) - sum(z.extra * z.size) OVER (PARTITION BY z.source, z.slot) AS rest
+  FROM z JOIN pick ON z.source IS NOT DISTINCT FROM pick.source AND z.slot = pick.slot AND z.k = pick.k),
+FILL_STEPS
+SELECT doc_id, size, source_size, target, ((whole + extra) * size)::BIGINT AS taken FROM eFILLS
 """
 
 
+def mix_sql() -> str:
+    """The mix with its rounds of filling."""
+    from .mixing import FILLS
+
+    steps = []
+    for n in range(FILLS):
+        steps.append(f"""
+m{n + 1} AS (
+  SELECT *, CASE WHEN rest < 0 THEN -1 ELSE 1 END AS turn,
+         size > 0 AND abs(abs(rest) - size) < abs(rest) AND extra = CASE WHEN rest < 0 THEN 1 ELSE 0 END AS helps
+  FROM e{n}),
+o{n + 1} AS (
+  SELECT *, helps AND row_number() OVER (PARTITION BY source, slot ORDER BY CASE WHEN helps THEN abs(abs(rest) - size) END NULLS LAST, place) = 1 AS chosen FROM m{n + 1}),
+e{n + 1} AS (
+  SELECT doc_id, size, source, source_size, target, slot, place, whole, extra + CASE WHEN chosen THEN turn ELSE 0 END AS extra,
+         rest - turn * coalesce(max(CASE WHEN chosen THEN size END) OVER (PARTITION BY source, slot), 0) AS rest
+  FROM o{n + 1})""")
+    return MIX.replace("FILL_STEPS", ",".join(steps).strip()).replace("eFILLS", f"e{FILLS}")
+
+
 def license_sql() -> str:
     """The scan of op10 with its templates as a table of values."""
     from .licenses import CUES, FILE_NAMES, TEMPLATES
@@ -197,4 +221,4 @@ FROM folded
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_block_max_wand": TOP_K, "op5_spherical_kmeans": VECTOR_LINKS, "op9_mix_sources": MIX, "op10_license_scan": license_sql(), "op11_interval_manifest": manifest_sql(), "op12_document_trie": DOCUMENT_TRIE, "op13_previous_factors": REPEATS}
+    return {"op2_block_max_wand": TOP_K, "op5_spherical_kmeans": VECTOR_LINKS, "op9_mix_sources": mix_sql(), "op10_license_scan": license_sql(), "op11_interval_manifest": manifest_sql(), "op12_document_trie": DOCUMENT_TRIE, "op13_previous_factors": REPEATS}

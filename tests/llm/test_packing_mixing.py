@@ -165,6 +165,25 @@ def test_mix_nears_its_targets(spark):
     assert again == {(r["doc_id"], r["taken"]) for r in rows}
 
 
+def test_a_source_with_one_huge_document_nears_its_target(spark):
+    rnd = random.Random(4)
+    docs = [(k, "w " * n, "a") for k, n in enumerate([5184, *[rnd.randint(50, 700) for _ in range(49)]])]
+    docs += [(100 + k, "w " * rnd.randint(100, 900), "b") for k in range(60)] + [(300 + k, "w " * rnd.randint(100, 2000), "c") for k in range(8)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string, source string").selectExpr("*", "1 rank", "2 weight", "3 slot", "4 _mix_place")
+    got = mix_sources(rows)
+    assert set(got.columns) == {*rows.columns, "size", "source_size", "target", "reps", "taken"}
+    for r in got.groupBy("source", "target").agg({"taken": "sum", "size": "max"}).collect():
+        few = r["source"] == "c"  # eight documents cannot come as near
+        assert abs(r["sum(taken)"] - r["target"]) <= (r["max(size)"] / 2 if few else 0.005 * r["target"])
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_given_sources_near_their_targets(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    for r in mix_sources(docs).groupBy("source", "target").agg({"taken": "sum", "size": "min", "*": "count"}).collect():
+        assert abs(r["sum(taken)"] - r["target"]) <= max(0.005 * r["target"], r["min(size)"], 8)
+
+
 def test_mixing_edges(spark):
     rows = [(1, None, "a"), (2, "", None), (None, "one two", "b"), (3, "x y z", "b"), (3, "x y z", "b"), (4, "w", "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "9 size", "8 rank", "7 taken")
