@@ -95,7 +95,7 @@ e{n + 1} AS (
 
 def license_sql() -> str:
     """The scan of op10 with its templates as a table of values."""
-    from .licenses import CUES, FILE_NAMES, TEMPLATES
+    from .licenses import CUES, FILE_NAMES, TEMPLATES, WINDOW_WORDS
 
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     notices = ", ".join(f"({k}, {quote(name)}, {quote(text)})" for k, (name, text) in enumerate((n, t) for n, texts in TEMPLATES.items() for t in texts))
@@ -116,15 +116,21 @@ df AS (
 total AS (SELECT count(*) AS t FROM documents),
 idf AS (SELECT DISTINCT tw.w, ln((t + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM total, tw LEFT JOIN df USING (w)),
 vec AS (SELECT k, license, w, n * idf / sqrt(sum((n * idf) * (n * idf)) OVER (PARTITION BY k)) AS v FROM tw JOIN idf USING (w)),
-held AS (SELECT DISTINCT text FROM files WHERE regexp_matches(text, {cue})),
-units AS (
-  SELECT text, unnest(list_distinct(list_append(list_filter(string_split_regex(text, '\r?\n|\r'), lambda x: regexp_matches(x, {cue})), text))) AS unit FROM held),
-uw AS (SELECT text, unit, w, count(*) AS tf FROM (SELECT text, unit, unnest(regexp_extract_all(lower(unit), {word})) AS w FROM units) GROUP BY ALL),
-weighed AS (SELECT text, unit, uw.w, tf * coalesce(idf, ln(t + 1) + 1) AS x FROM total, uw LEFT JOIN idf USING (w)),
-norm AS (SELECT text, unit, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY ALL),
-score AS (
-  SELECT text, license, round(sum(x * v) / any_value(norm), 9) AS score
-  FROM weighed JOIN vec USING (w) JOIN norm USING (text, unit) GROUP BY text, unit, k, license),
+held AS (SELECT text, row_number() OVER () AS tid FROM (SELECT DISTINCT text FROM files WHERE regexp_matches(text, {cue}))),
+cut AS (SELECT tid, string_split_regex(text, '\r?\n|\r') AS parts FROM held),
+part AS (SELECT tid, p, regexp_extract_all(lower(parts[p]), {word}) AS words, regexp_matches(parts[p], {cue})::INT AS cued FROM cut, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS p)),
+line AS (
+  SELECT tid, row_number() OVER per_text AS i, words, cued, sum(len(words)) OVER per_text AS upto, sum(cued) OVER per_text AS cues
+  FROM part WHERE len(words) > 0 WINDOW per_text AS (PARTITION BY tid ORDER BY p)),
+run AS (
+  SELECT a.tid, a.i AS s, b.i AS e FROM line a JOIN line b ON a.tid = b.tid AND b.i >= a.i
+    AND (b.i = a.i OR b.upto - a.upto + len(a.words) <= {WINDOW_WORDS}) AND b.cues > a.cues - a.cued
+  UNION SELECT tid, 1, max(i) FROM line GROUP BY tid),
+uw AS (SELECT tid, s, e, w, count(*) AS tf FROM (SELECT run.tid, s, e, unnest(words) AS w FROM run JOIN line ON line.tid = run.tid AND i BETWEEN s AND e) GROUP BY ALL),
+weighed AS (SELECT tid, s, e, uw.w, tf * coalesce(idf, ln(t + 1) + 1) AS x FROM total, uw LEFT JOIN idf USING (w)),
+norm AS (SELECT tid, s, e, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY ALL),
+dots AS (SELECT tid, s, e, license, sum(x * v) AS dot FROM weighed JOIN vec USING (w) GROUP BY tid, s, e, k, license),
+score AS (SELECT text, license, max(round(dot / norm, 9)) AS score FROM dots JOIN norm USING (tid, s, e) JOIN held USING (tid) GROUP BY text, license),
 own AS (SELECT text, license AS own_license, score FROM score WHERE score >= 0.75 QUALIFY row_number() OVER (PARTITION BY text ORDER BY score DESC, license) = 1),
 found AS (SELECT rid, doc_id, path, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, own_license, score FROM files LEFT JOIN own USING (text)),
 given AS (

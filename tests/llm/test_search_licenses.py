@@ -104,3 +104,23 @@ def test_license_tags_and_wrapped_headers(spark):
     docs = spark.createDataFrame([(k, f"d{k}/f", t) for k, t in enumerate(texts.values())], "doc_id long, path string, text string")
     got = {r["doc_id"]: r["own_license"] for r in scan_licenses(docs).collect()}
     assert got == {k: name or None for k, name in enumerate(texts)}
+
+
+def test_the_sql_finds_wrapped_headers_too(spark, tmp_path):
+    """Runs of lines, in the operator and in its SQL."""
+    import duckdb
+
+    from tablesync.llm.queries import ORACLE, QUERIES
+
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met:"
+    code = "\n".join(f"value{k} = compute{k}(alpha{k})" for k in range(40))
+    texts = [f"{code}\n{bsd}\n{code}", f"{code}\r\n{bsd}", bsd, "Released under the\nMIT License.", "license " * 400, "a license\n\n\n" + "word " * 300 + "\nReleased under the MIT License.", code, None, ""]
+    rows = [(20 * k, t, "en", "s", 1) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    order = lambda rows: sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows), key=repr)
+    got = QUERIES["op10_license_scan"](spark, str(tmp_path))
+    want = con.sql(ORACLE["op10_license_scan"]).select(*got.columns).fetchall()
+    assert order(map(tuple, got.collect())) == order(want)
+    assert [r["own_license"] for r in got.orderBy("doc_id").collect()][:4] == ["BSD-3-Clause"] * 3 + ["MIT"]
