@@ -11,7 +11,7 @@ where that container is the whole page.
 
 Defined results: a null or empty html, or one without text, gives "" and 0; a page whose text outside links is all inside
 furniture is read as if it had none; unclosed or cut markup is
-read to its end; repeated rows and null ids are rows like any other; extra columns are not read.
+read to its end, in time and memory that grow with its length however deep its elements lie in one another; repeated rows and null ids are rows like any other; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -81,14 +81,14 @@ def furniture(tag: str, attributes: str, in_article: bool) -> int:
 class Line:
     text: str
     links: int  # characters inside links
-    boxes: tuple[int, ...]  # the container elements around it, outermost first
+    box: int  # the innermost container element around it
 
 
 @dataclass
 class Part:
     raw: str
     links: int
-    marks: tuple[int, ...]  # numbers of the furniture around it, outermost first
+    mark: int  # the innermost furniture around it
     article: bool  # inside an article or main element
 
     @property
@@ -96,83 +96,130 @@ class Part:
         return len(self.raw.strip()) - self.links
 
 
-@dataclass
+class _Nest:
+    """Elements that lie in one another, numbered as they open: 0 is the page. Each knows only what it lies in, so that
+    deep nesting costs no more than flat."""
+
+    def __init__(self):
+        self.above, self.depth, self.now = [0], [0], 0
+
+    def open(self) -> int:
+        self.above.append(self.now)
+        self.depth.append(self.depth[self.now] + 1)
+        self.now = len(self.above) - 1
+        return self.now
+
+    def close(self) -> None:
+        self.now = self.above[self.now]
+
+    def sums(self, own: list[int]) -> list[int]:
+        """Of each element, ``own`` of itself and of all inside it."""
+        total = list(own)
+        for n in range(len(total) - 1, 0, -1):
+            total[self.above[n]] += total[n]
+        return total
+
+    def inside(self, good: list[bool]) -> list[bool]:
+        """Whether an element and all around it are ``good``."""
+        out = [True] * len(good)
+        for n in range(1, len(good)):
+            out[n] = good[n] and out[self.above[n]]
+        return out
+
+    def common(self, numbers: list[int]) -> int:
+        """The innermost element that holds all of them."""
+        held = self.sums(_counts(numbers, len(self.above)))
+        return max((n for n, k in enumerate(held) if k == len(numbers)), key=lambda n: self.depth[n])
+
+    def within(self, box: int) -> list[bool]:
+        """Whether each element is ``box`` or lies in it."""
+        out = [n == box for n in range(len(self.above))]
+        for n in range(1, len(out)):
+            out[n] = out[n] or out[self.above[n]]
+        return out
+
+
 class _Reader:
     """Lines of a page from its markup, as parts with marks."""
 
-    lines: list[tuple[list[Part], tuple[int, ...]]] = field(default_factory=list)
-    open: list[tuple[str, int, int]] = field(default_factory=list)  # tag, kind of furniture, number
-    parts: list[Part] = field(default_factory=list)
-    marks: tuple[int, ...] = ()
-    kinds: dict[int, int] = field(default_factory=dict)  # of furniture, by number
-    mains: set[int] = field(default_factory=set)  # furniture around a main element
-    around: set[int] = field(default_factory=set)  # furniture around an outermost article element
-    counted: set[int] = field(default_factory=set)  # article and main elements, without reader comments
-    articles: int = 0  # how many of them are open
-    skipped: int = 0  # elements open that never hold text
-    linked: int = 0
-    count: int = 0
+    def __init__(self):
+        self.lines: list[tuple[list[Part], int]] = []
+        self.parts: list[Part] = []
+        self.open: list[tuple[str, int, bool]] = []  # tag, kind of furniture, whether it counts as article
+        self.where: dict[str, list[int]] = {}  # the places in ``open`` of each tag
+        self.blocks: list[int] = []  # and of all that are not inline
+        self.boxes, self.marks = _Nest(), _Nest()
+        self.box_at: list[int] = []  # places in ``open`` of the containers
+        self.kinds: list[int] = [0]  # of the marks
+        self.mains: list[int] = []  # marks around a main element
+        self.around: list[int] = []  # marks around an outermost article element
+        self.articles = self.skipped = self.linked = 0  # how many article elements, elements without text, and links are open
 
     def text(self, raw: str) -> None:
         if raw and not self.skipped:
-            self.parts.append(Part(raw, len(raw.strip()) if self.linked else 0, self.marks, self.articles > 0))
+            self.parts.append(Part(raw, len(raw.strip()) if self.linked else 0, self.marks.now, self.articles > 0))
 
     def cut(self) -> None:
         if self.parts:
-            self.lines.append((self.parts, tuple(n for tag, _, n in self.open if tag in BOXES)))
+            self.lines.append((self.parts, self.boxes.now))
             self.parts = []
 
-    def kept(self, free: set[int]) -> list[Line]:
+    def kept(self, free: list[bool]) -> list[Line]:
         """The lines without the furniture that is not ``free``."""
-        out = []
-        for parts, boxes in self.lines:
-            parts = [x for x in parts if not x.marks or free.issuperset(x.marks)]
+        out, shown = [], self.marks.inside(free)
+        for parts, box in self.lines:
+            parts = [x for x in parts if shown[x.mark]]
             text = " ".join(html.unescape("".join(x.raw for x in parts)).split())
             if text:
-                out.append(Line(text, sum(x.links for x in parts), boxes))
+                out.append(Line(text, sum(x.links for x in parts), box))
         return out
 
-    def wrappers(self) -> set[int]:
-        """The furniture that is around the article and so is none."""
-        total, article = 0, 0
-        held, of_article = dict.fromkeys(self.kinds, 0), dict.fromkeys(self.kinds, 0)
+    def held(self, weigh) -> list[int]:
+        """What all parts inside each mark weigh; that of the page is the total."""
+        own = [0] * len(self.kinds)
         for parts, _ in self.lines:
             for x in parts:
-                total += x.plain
-                article += x.plain * x.article
-                for n in x.marks:
-                    held[n] += x.plain
-                    of_article[n] += x.plain * x.article
-        free = set()
-        for n, kind in self.kinds.items():
+                own[x.mark] += weigh(x)
+        return self.marks.sums(own)
+
+    def wrappers(self) -> list[bool]:
+        """The furniture that is around the article and so is none."""
+        held, of_article = self.held(lambda x: x.plain), self.held(lambda x: x.plain * x.article)
+        total, article = held[0], of_article[0]
+        around, mains = (self.marks.sums(_counts(marks, len(self.kinds))) for marks in (self.around, self.mains))
+        free = [True] * len(self.kinds)
+        for n, kind in enumerate(self.kinds[1:], 1):
             most, most_article = 2 * held[n] > total, 2 * of_article[n] > article
-            if kind == WRAPPER and (most_article or most and 4 * article < total) or kind == OWN and n in self.around and most_article and most or n in self.mains:
-                free.add(n)
+            free[n] = kind == WRAPPER and (most_article or most and 4 * article < total) or kind == OWN and around[n] > 0 and most_article and most or mains[n] > 0
         return free
 
     def result(self) -> list[Line]:
-        free = self.wrappers() if self.kinds else set()
-        lines = self.kept(free)
-        total = sum(x.plain for parts, _ in self.lines for x in parts) if self.kinds else 0
-        if total and not _surges(lines) and not any(x.article and x.plain and free.issuperset(x.marks) for parts, _ in self.lines for x in parts):
+        if len(self.kinds) == 1:
+            return self.kept([True])
+        free = self.wrappers()
+        lines, shown = self.kept(free), self.marks.inside(free)
+        held = self.held(lambda x: x.plain)
+        if held[0] and not _surges(lines) and not any(x.article and x.plain and shown[x.mark] for parts, _ in self.lines for x in parts):
             # no article outside the furniture
-            held = dict.fromkeys(self.kinds, 0)
-            for parts, _ in self.lines:
-                for x in parts:
-                    for n in x.marks:
-                        held[n] += x.plain
-            lines = self.kept(free | {n for n in self.kinds if 2 * held[n] > total and held[n] > 10 * THRESHOLD})
+            lines = self.kept([f or 2 * h > held[0] and h > 10 * THRESHOLD for f, h in zip(free, held, strict=True)])
             if not any(len(x.text) > x.links for x in lines):
-                lines = self.kept(set(self.kinds))
+                lines = self.kept([True] * len(free))
         return lines
 
     def close(self, at: int) -> None:
-        for tag, kind, n in self.open[at:]:
+        while len(self.open) > at:
+            tag, kind, article = self.open.pop()
+            self.where[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+            if tag in BOXES:
+                self.box_at.pop()
+                self.boxes.close()
+            if kind in (WRAPPER, OWN):
+                self.marks.close()
             self.skipped -= kind == HARD
-            self.marks = self.marks[:-1] if kind in (WRAPPER, OWN) else self.marks
-            self.articles -= n in self.counted
+            self.articles -= article
             self.linked -= tag == "a"
-        del self.open[at:]
 
     def start(self, tag: str, attributes: str) -> None:
         block = tag not in INLINE
@@ -180,12 +227,9 @@ class _Reader:
             self.close(len(self.open) - 1)
         if block:
             self.cut()
-            for k in range(len(self.open) - 1, -1, -1):
-                if self.open[k][0] == "p":  # a block ends an open paragraph
-                    self.close(k)
-                    break
-                if self.open[k][0] in BOXES:
-                    break
+            paragraph = self.where.get("p")
+            if paragraph and (not self.box_at or paragraph[-1] > self.box_at[-1]):  # a block ends an open paragraph
+                self.close(paragraph[-1])
         elif tag == "br":
             self.text(" ")
         if tag in VOID or attributes.rstrip().endswith("/"):
@@ -193,37 +237,46 @@ class _Reader:
         kind = furniture(tag, attributes, self.articles > 0)
         if kind and not block:
             self.text(" ")
-        self.count += 1
-        self.open.append((tag, kind, self.count))
-        self.skipped += kind == HARD
         if kind in (WRAPPER, OWN):
-            self.marks += (self.count,)
-            self.kinds[self.count] = kind
-        if tag == "main" or tag == "article" and furniture("div", attributes, True) != OWN:
+            self.marks.open()
+            self.kinds.append(kind)
+        article = tag == "main" or tag == "article" and furniture("div", attributes, True) != OWN
+        if article:
             if not self.articles:
-                self.around.update(self.marks)
+                self.around.append(self.marks.now)
             if tag == "main":
-                self.mains.update(self.marks)
-            self.counted.add(self.count)
+                self.mains.append(self.marks.now)
             self.articles += 1
+        self.where.setdefault(tag, []).append(len(self.open))
+        if block:
+            self.blocks.append(len(self.open))
+        if tag in BOXES:
+            self.box_at.append(len(self.open))
+            self.boxes.open()
+        self.open.append((tag, kind, article))
+        self.skipped += kind == HARD
         self.linked += tag == "a"
 
     def end(self, tag: str) -> None:
-        block = tag not in INLINE
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                if block:
-                    self.cut()
-                self.close(k)
-                return
-            if not block and self.open[k][0] not in INLINE:
-                return  # an inline end does not close a block
-        if block:
+        block, places = tag not in INLINE, self.where.get(tag)
+        # an inline end does not close a block
+        if places and (block or not self.blocks or places[-1] > self.blocks[-1]):
+            if block:
+                self.cut()
+            self.close(places[-1])
+        elif block:
             self.cut()
 
 
-def page_lines(page: str) -> list[Line]:
-    """Text lines of a page, without its furniture."""
+def _counts(numbers: list[int], n: int) -> list[int]:
+    out = [0] * n
+    for k in numbers:
+        out[k] += 1
+    return out
+
+
+def page_lines(page: str) -> tuple[list[Line], _Nest]:
+    """Text lines of a page, without its furniture, and its containers."""
     reader, at = _Reader(), 0
     low = None
     while match := _MARKUP.search(page, at):
@@ -250,7 +303,7 @@ def page_lines(page: str) -> list[Line]:
         rest = page[at:]
         reader.text(rest[: rest.rfind("<")] if re.search(r"<[/a-zA-Z!][^>]*\Z", rest) else rest)
     reader.cut()
-    return reader.result()
+    return reader.result(), reader.boxes
 
 
 def _surges(lines: list[Line]) -> bool:
@@ -279,7 +332,7 @@ def core_run(lengths: np.ndarray) -> tuple[int, int]:
 
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks in order, parted by two line feeds."""
-    lines = page_lines(page) if page else []
+    lines, boxes = page_lines(page) if page else ([], None)
     if not lines:
         return ""
     plain = np.array([max(0, len(x.text) - x.links) for x in lines])
@@ -287,15 +340,12 @@ def main_text(page: str | None) -> str:
     core = lines[first:end]
     if not core:
         return ""
-    shared = core[0].boxes
-    for line in core[1:]:
-        k = 0
-        while k < min(len(shared), len(line.boxes)) and shared[k] == line.boxes[k]:
-            k += 1
-        shared = shared[:k]
-    inside = [x for x in lines if x.boxes[: len(shared)] == shared]
-    if len(shared) <= 2:  # html and body: nothing but the page holds the core
-        inside = [x for k, x in enumerate(lines) if first <= k < end or 2 * x.links < len(x.text) and x.boxes == core[0].boxes]
+    shared = boxes.common([x.box for x in core])
+    if boxes.depth[shared] <= 2:  # html and body: nothing but the page holds the core
+        inside = [x for k, x in enumerate(lines) if first <= k < end or 2 * x.links < len(x.text) and x.box == core[0].box]
+    else:
+        within = boxes.within(shared)
+        inside = [x for x in lines if within[x.box]]
     return "\n\n".join(x.text for x in inside)
 
 

@@ -162,3 +162,14 @@ def test_pages_of_the_test_tables(spark):
         body = re.sub(r"<(br|b)>", " ", re.search(r"<article>(.*?)(</article>|$)", r["html"], re.S)[1])
         blocks = [" ".join(html.unescape(x).split()) for x in re.split(r"<[^>]*>", body)]
         assert r["text"] == "\n\n".join(x for x in blocks if x)
+
+
+def test_deep_markup_costs_no_more_than_flat():
+    import time
+
+    pages = ['<div class="ad">x' * 40_000, "<div>some text" * 100_000, "<b>x" * 30_000 + "</i>" * 30_000 + "<section>" * 3_000, "<article>" * 20_000 + '<div class="menu">y' * 20_000, "<p>z<b>" * 30_000 + "<h1>q" * 30_000]
+    for page in pages:
+        began = time.process_time()
+        main_text(page)
+        assert time.process_time() - began < 20
+    assert main_text("<div>some text" * 100_000).count("some text") == 100_000
