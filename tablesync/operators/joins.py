@@ -14,9 +14,9 @@ DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """Whether all of ``df`` is within both bounds; rows are measured by their JSON text, at most max_rows + 1 of them."""
-    some = df.limit(max_rows + 1)
-    size = some.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))).alias("b")).first()
+    """Whether all of ``df`` is within both bounds. Rows are measured by their JSON text, in the tasks that make them; only the two
+    sums are gathered."""
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))).alias("b")).first()
     return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
