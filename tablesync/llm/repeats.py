@@ -41,7 +41,7 @@ from .words import U, hash_spans, mix, powers, prefix_sums, slices
 
 LENGTH = 50
 ANCHOR = 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_ANCHORS = 1 << 20
 HOT = 4096
 SLICE = 300_000  # suffixes sorted at once; one anchor's are never parted
