@@ -15,7 +15,7 @@ that link): no link is lost. Smaller values visit fewer cells and may lose links
 
 Defined results: vectors that are null, empty, zero, or hold a null or non-finite component, and those with a
 null vec_id, link with nothing (n_links 0, their own component, kept); vectors of different length
-do not link; rows that share a vec_id are one vector, whose links add up; an empty table gives no rows.
+do not link; rows that share a vec_id are one vector, whose links add up; an empty table gives no rows. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import parts_for, stash
 from .components import components
@@ -92,7 +93,8 @@ def linked_pairs(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarra
 def cell_visits(distinct: DataFrame, centre: np.ndarray, reach: float) -> DataFrame:
     """(cell, node, copies, home, v): every vector in its own cell, and in the later ones it visits."""
     dims, shared = centre.shape[1], distinct.sparkSession.sparkContext.broadcast(centre)
-    span = np.linalg.norm(centre[:, None] - centre[None], axis=2) if len(centre) <= 512 else None
+    distance = lambda like: np.sqrt(np.maximum(0, 2 - 2 * like)) + 1e-7  # noqa: E731  of centroids, by their cosines; never less than it is
+    span = distance(centre @ centre.T) if len(centre) <= 512 else None
 
     def visit(batches):
         c = shared.value
@@ -103,7 +105,7 @@ def cell_visits(distinct: DataFrame, centre: np.ndarray, reach: float) -> DataFr
                 like = x @ c.T
                 home = like.argmax(1)
                 gap = like[np.arange(len(x)), home][:, None] - like
-                apart = span[home] if span is not None else np.sqrt(np.maximum(0, 2 - 2 * (c[home] @ c.T)))
+                apart = span[home] if span is not None else distance(c[home] @ c.T)
                 goes = (gap <= reach * apart + 1e-9) & (np.arange(len(c)) > home[:, None])
                 goes[np.arange(len(x)), home] = True
                 row, cell = np.nonzero(goes)
@@ -111,7 +113,7 @@ def cell_visits(distinct: DataFrame, centre: np.ndarray, reach: float) -> DataFr
                 columns = [pa.array(cell.astype(np.int32)), some.column("node").take(take), some.column("copies").take(take), pa.array(cell == home[row]), some.column("v").take(take)]
                 yield pa.RecordBatch.from_arrays(columns, names=["cell", "node", "copies", "home", "v"])
 
-    return distinct.select("node", "copies", "v").mapInArrow(visit, "cell int, node long, copies long, home boolean, v array<float>")
+    return distinct.select("node", "copies", "v").mapInArrow(visit, f"cell int, node long, copies long, home boolean, v {distinct.schema['v'].dataType.simpleString()}")
 
 
 def block_links(visits: DataFrame, dims: int, cosine: float, block_rows: int) -> DataFrame:
@@ -157,7 +159,7 @@ def _centroids(distinct: DataFrame, dims: int, cell_rows: int, sample_rows: int,
     sample.sort(key=lambda r: r["node"])
     if not sample:
         return np.eye(1, dims)
-    x = unit_rows(pa.array([r["v"] for r in sample], pa.list_(pa.float32())), dims)
+    x = unit_rows(pa.array([r["v"] for r in sample], pa.list_(pa.float64())), dims)
     return spherical_kmeans(x, max(1, min(parts_for(n, cell_rows), most_cells, len(x) // 4)))
 
 
@@ -169,11 +171,13 @@ def link_vectors(
     ``sample_rows`` bounds the sample for k-means, ``most_cells`` the broadcast centroids.
     """
     spark = vectors.sparkSession
-    v = F.transform("embedding", lambda x: x.cast("float"))
+    # components keep their precision: single where the column has it, else double
+    kind = "float" if isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType) else "double"
+    v = F.transform("embedding", lambda x: x.cast(kind))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.coalesce(F.col("vec_id").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0), F.lit(False))
-    rows = rows.withColumn("v", F.when(good, F.transform("v", lambda x: F.when(x == 0, F.lit(0.0).cast("float")).otherwise(x))))  # -0.0 too
+    rows = rows.withColumn("v", F.when(good, F.transform("v", lambda x: F.when(x == 0, F.lit(0.0).cast(kind)).otherwise(x))))  # -0.0 too
     distinct = rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
     distinct = stash(distinct.withColumn("dims", F.size("v")), "distinct")
     found = spark.createDataFrame([], "node long, linked long, other long")

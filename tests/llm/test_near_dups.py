@@ -187,3 +187,9 @@ def test_kmeans_centres_are_unit():
     x = np.random.default_rng(1).normal(size=(50, 4))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     assert np.linalg.norm(spherical_kmeans(x, 7), axis=1) == pytest.approx(np.ones(7))
+
+
+def test_vectors_in_double_precision(spark):
+    rows = [(1, [1e300, 0.0]), (2, [1e300, 1e299]), (3, [1.0, 0.0]), (4, [1e-60, 0.0]), (5, [0.0, 1e-300]), (6, [0.0, float("inf")]), (7, [1.0, 1e-40])]
+    out = link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("vec_id").collect()
+    assert [(r["n_links"], r["component_id"]) for r in out] == [(4, 1)] * 4 + [(0, 5), (0, 6), (4, 1)]
