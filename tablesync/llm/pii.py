@@ -289,18 +289,22 @@ def _untitled(part: Column, pairs: Column) -> Column:
 
 
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
-    """``docs`` with the entities of ``text`` replaced, and ``n_entities``; other columns are kept.
+    """``docs`` with the entities of ``text`` replaced, and ``n_entities``, which replaces a column of that name; other columns are kept.
 
     Texts without an entity are not shuffled. Mentions meet their surrogates in a join by entity and return to
-    their text by (doc_id, hash of the text); added columns replace columns of the same name.
+    their text by (doc_id, hash of the text).
     """
-    docs = docs.drop("n_entities", "_ents", "_hash", "_subs", "_names", "_id")
+    prefix = "_pii"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    ents, digest, ident, subst, people = (f"{prefix}{c}" for c in ("ents", "hash", "id", "subs", "names"))
+    docs = docs.drop("n_entities")
     columns = docs.columns
-    found = docs.withColumn("_ents", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
-    none = F.coalesce(F.size("_ents"), F.lit(0)) < 1  # size(null) is -1 or null
-    clean = found.where(none).withColumn("n_entities", F.lit(0)).drop("_ents")
-    hits = stash(found.where(~none).withColumn("_hash", F.xxhash64("text")).withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "pii-texts")
-    mentions = parsed(hits.select("_id", "_hash", F.posexplode("_ents").alias("pos", "entity")))
+    # The pattern runs once over every text; what it found is kept beside the texts.
+    found = docs.withColumns({ents: F.coalesce(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)), F.array()), digest: F.xxhash64("text"), ident: F.coalesce(F.col("doc_id").cast("string"), F.lit(""))})
+    found = stash(found.withColumn("n_entities", F.size(ents)), "pii-texts")
+    clean, hits = found.where("n_entities = 0"), found.where("n_entities > 0")
+    mentions = parsed(hits.select(F.col(ident).alias("_id"), F.col(digest).alias("_hash"), F.posexplode(ents).alias("pos", "entity")))
     mapping = assign_surrogates(mentions.select("kind", "canon", "gender"), key)
     mapping = mapping.withColumnRenamed("canon", "person")
     short = (F.col("kind") == "name") & (F.col("person") != F.col("canon"))
@@ -311,8 +315,9 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     subs = subs.groupBy("_id", "_hash").agg(F.sort_array(F.collect_set("sub")).alias("_subs"), F.sort_array(F.collect_set("name")).alias("_names"))
     # longer names first
     subs = subs.withColumn("_names", F.flatten(F.transform("_names", lambda x: _pairs(x.person, x.sur))))
+    subs = subs.select(F.col("_id").alias(ident), F.col("_hash").alias(digest), F.col("_subs").alias(subst), F.col("_names").alias(people))
     parts = F.split("text", PATTERN, -1)
-    parts = F.when(F.size("_names") > 0, F.transform(parts, lambda part: _untitled(part, F.col("_names")))).otherwise(parts)
-    text = F.array_join(F.transform(parts, lambda part, at: F.concat(part, F.coalesce(F.get(F.col("_subs.new"), at), F.lit("")))), "")
-    changed = hits.join(subs, ["_id", "_hash"]).withColumn("n_entities", F.size("_ents")).withColumn("text", text)
+    parts = F.when(F.size(people) > 0, F.transform(parts, lambda part: _untitled(part, F.col(people)))).otherwise(parts)
+    text = F.array_join(F.transform(parts, lambda part, at: F.concat(part, F.coalesce(F.get(F.col(f"{subst}.new"), at), F.lit("")))), "")
+    changed = hits.join(subs, [ident, digest]).withColumn("text", text)
     return clean.select(*columns, "n_entities").unionByName(changed.select(*columns, "n_entities"))
