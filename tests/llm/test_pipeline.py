@@ -63,7 +63,7 @@ def test_sql_agrees(spark):
         assert status[0] == "OK", (name, status)
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", range(1, 14))
 def test_every_operator_has_a_query(n):
     from tablesync.llm.queries import QUERIES
 
