@@ -3,6 +3,8 @@ statistics, group commits, changed column types, and stores picked by the contro
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -184,8 +186,7 @@ def schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _plan_row(n: int, table: str, key: str, op: str, db_table: str | None, purging: str, days: int | None, column: str | None) -> tuple:
-    days = None if days is None else __import__("decimal").Decimal(days)
-    return (n, "JOB", n, "hdfs://namenode/warehouse", "table", table, db_table, key, "/a", "/b", op, purging, days, column, "orders")
+    return (n, "JOB", n, "hdfs://namenode/warehouse", "table", table, db_table, key, "/a", "/b", op, purging, None if days is None else Decimal(days), column, "orders")
 
 
 @register("plan_routes", f"""
