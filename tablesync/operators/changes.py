@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ..schema import INSERT_DATE, OP_DELETE, OP_INSERT, OP_UPDATE, UPDATE_DATE, TargetSpec
 from ..session import checkpoint_root
-from .joins import DEFAULT_BROADCAST_ROWS, fits_broadcast
+from .joins import DEFAULT_BROADCAST_ROWS, fits_broadcast, sized
 
 HOT_KEY_EVENTS = 1_000_000  # of one key, that one task still sorts
 
@@ -100,11 +100,11 @@ def _lineage(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFram
     A key's deletes cut its events into lives. Every life is one node; a life whose first event is a move points at the
     life that the move ended, found by an equi-join on (old key, position). A first life ends the
     search where the target has the key. Pointers are doubled until all are resolved, so a chain of n moves takes
-    log2(n) rounds of joins over the moved keys only.
+    log2(n) rounds of joins over the moved keys only. The joins are sort-merge ones where their sides are not known to be small.
     """
     checkpoint_root(target.sparkSession)
     moves = changes.where((F.col("_op") != OP_DELETE) & F.col("_prev").isNotNull())
-    involved = moves.select(_keys_as(keys, "_k")).union(moves.select(F.col("_prev").alias("_k"))).distinct()
+    involved = sized(moves.select(F.explode(F.array(_keys_as(keys, "_k"), F.col("_prev"))).alias("_k")).distinct().checkpoint())
     audit = target.schema[INSERT_DATE].dataType
     when = F.col("_at") if "_at" in changes.columns else F.lit(None).cast(audit)
     events = changes.select(_keys_as(keys, "_k"), "_op", "_seq", "_prev", "_moved", when.alias("_time")).distinct().join(involved, "_k")
@@ -112,18 +112,18 @@ def _lineage(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFram
     births = events.where(F.col("_op") != OP_DELETE).groupBy("_k", "_life").agg(F.min_by(F.struct("_prev", "_seq", "_time"), "_seq").alias("_b"))
     left = events.where("_moved").select(F.col("_k").alias("_from"), F.col("_seq").alias("_at"), F.col("_life").alias("_left"))
     nodes = births.select("_k", "_life", F.col("_b._prev").alias("_from"), F.col("_b._seq").alias("_at"), F.col("_b._time").alias("_born"))
-    nodes = nodes.join(left, ["_from", "_at"], "left").select("_k", "_life", "_born", F.when(F.col("_from").isNotNull(), F.struct(F.col("_from").alias("k"), F.col("_left").alias("life"))).alias("_up"))
+    nodes = nodes.join(left.hint("merge"), ["_from", "_at"], "left").select("_k", "_life", "_born", F.when(F.col("_from").isNotNull(), F.struct(F.col("_from").alias("k"), F.col("_left").alias("life"))).alias("_up"))
     # lives that a move ended without an event of their own are nodes too
-    nodes = nodes.join(left.select(F.col("_from").alias("_k"), F.col("_left").alias("_life")).distinct(), ["_k", "_life"], "full_outer")
+    nodes = nodes.join(left.select(F.col("_from").alias("_k"), F.col("_left").alias("_life")).distinct().hint("merge"), ["_k", "_life"], "full_outer")
     dates = target.select(_keys_as(keys, "_k"), F.col(INSERT_DATE).alias("_date"), F.lit(True).alias("_there")).join(involved, "_k").withColumn("_life", F.lit(0).cast("long"))
-    nodes = nodes.join(dates, ["_k", "_life"], "left")
+    nodes = nodes.join(dates.hint("merge"), ["_k", "_life"], "left")
     # ``_born`` is the time of the first event of the topmost life known so far: the date where no row was there before
     nodes = nodes.select("_k", "_life", F.when(F.col("_there").isNull(), F.col("_up")).alias("_up"), "_date", "_born").checkpoint()
     while not nodes.where(F.col("_up").isNotNull()).isEmpty():
         above = nodes.select(F.struct(F.col("_k").alias("k"), F.col("_life").alias("life")).alias("_up"), F.col("_up").alias("_next"), F.col("_date").alias("_above"), F.col("_born").alias("_before"))
-        nodes = nodes.join(above, "_up", "left").select("_k", "_life", F.col("_next").alias("_up"), F.coalesce("_date", "_above").alias("_date"), F.coalesce("_before", "_born").alias("_born")).checkpoint()
+        nodes = nodes.join(above.hint("merge"), "_up", "left").select("_k", "_life", F.col("_next").alias("_up"), F.coalesce("_date", "_above").alias("_date"), F.coalesce("_before", "_born").alias("_born")).checkpoint()
     found = nodes.select(F.col("_k").alias("_from"), F.col("_life").alias("_left"), F.coalesce("_date", "_born").alias("_carry"))
-    return left.join(found, ["_from", "_left"]).select("_from", "_at", "_carry")
+    return left.join(found.hint("merge"), ["_from", "_left"]).select("_from", "_at", "_carry")
 
 
 def net_changes(target: DataFrame, changes: DataFrame, keys: list[str], key_changes: bool | None = None, rebirths: bool | None = None) -> DataFrame:
@@ -133,7 +133,8 @@ def net_changes(target: DataFrame, changes: DataFrame, keys: list[str], key_chan
     key's last life; ``_fresh``, whether a delete (at ``_del_seq``) came before that life; ``_carry``, the INSERT_DATE
     that its first event brought along. Aggregations combine before the shuffle; keys with changes after a
     delete, and moved keys, take a second look, which is skipped when the batch has none (``key_changes`` and
-    ``rebirths``; None: checked).
+    ``rebirths``; None: checked). The looks join images with hints: by its estimate of their size, which goes by the files
+    read, Spark would broadcast all of a large batch.
     """
     if key_changes is None:
         key_changes = not changes.where(F.col("_prev").isNotNull()).isEmpty()
@@ -150,12 +151,12 @@ def net_changes(target: DataFrame, changes: DataFrame, keys: list[str], key_chan
     reborn = F.col("_del_seq").isNotNull() & (F.col("_l._op") != OP_DELETE)
     if rebirths:
         since = net.where(reborn).select(*keys, F.col("_del_seq").alias("_since"))
-        alive = changes.join(since, keys).where(F.col("_seq") > F.col("_since")).groupBy(*keys).agg(birth.alias("_birth2"), update.alias("_u2"))
-        net = net.join(alive, keys, "left").withColumn("_birth", F.coalesce("_birth2", "_birth")).withColumn("_u", F.when(F.col("_birth2").isNotNull(), F.col("_u2")).otherwise(F.col("_u")))
+        alive = changes.join(since.hint("merge"), keys).where(F.col("_seq") > F.col("_since")).groupBy(*keys).agg(birth.alias("_birth2"), update.alias("_u2"))
+        net = net.join(alive.hint("merge"), keys, "left").withColumn("_birth", F.coalesce("_birth2", "_birth")).withColumn("_u", F.when(F.col("_birth2").isNotNull(), F.col("_u2")).otherwise(F.col("_u")))
     net = net.select(*keys, "_l._op", "_l._seq", "_l._img", F.col("_l._at").alias("_last_at"), F.col("_birth._at").alias("_born"), F.col("_birth._img").alias("_first"), F.col("_u._img").alias("_upd"), F.coalesce(reborn, F.lit(False)).alias("_fresh"), "_del_seq",
                      F.col("_birth._prev").alias("_from"), F.col("_birth._seq").alias("_at"))
     if key_changes:
-        net = net.join(_lineage(target, changes, keys), ["_from", "_at"], "left")
+        net = net.join(_lineage(target, changes, keys).hint("merge"), ["_from", "_at"], "left")
     else:
         net = net.withColumn("_carry", F.lit(None).cast(audit))
     return net.select(*keys, *NET_COLS)

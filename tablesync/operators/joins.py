@@ -28,6 +28,14 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return df, False
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """A side of a join with its strategy: broadcast where a check of all of it finds it within both bounds, else sort-merge.
+
+    Spark's own choice goes by the size of the source's files, which is far below that of the texts and images made from them.
+    """
+    return F.broadcast(df) if fits_broadcast(df) else df.hint("merge")
+
+
 def key_condition(left: DataFrame | str, right: DataFrame | str, left_keys: list[str], right_keys: list[str] | None = None) -> Column:
     """AND of equalities between two aliased sides, built from key lists."""
     right_keys = right_keys or left_keys

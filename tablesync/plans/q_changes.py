@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.changes import apply_changes, apply_phases, collapse_changes, dedupe, merge_changes, net_changes
 from ..operators.joins import join_composite_key, rename_prefix
 from ..schema import data_columns
+from ..session import checkpoint_root
 from ..sources.envelope import change_rows, log_shape, parse_envelope, route, split_bad, struct_expand, typed_image
 from . import fixtures as fx
 from .registry import register
@@ -47,6 +48,12 @@ def net(target: DataFrame, changes: DataFrame, routed: DataFrame, spec) -> DataF
     return net_changes(target, changes, spec.key_cols, **log_shape(routed, spec))
 
 
+def held(changes: DataFrame) -> DataFrame:
+    """The parsed changes, kept in the checkpoint folder: moves and rebirths take several looks, the log is parsed for the first."""
+    checkpoint_root(changes.sparkSession)
+    return changes.checkpoint()
+
+
 def order_changes(spark: SparkSession, sf_dir: str, **kw):
     """(orders, spec, target, changes): envelopes parsed, checked, routed and shaped."""
     orders = fx.table(spark, sf_dir, "orders")
@@ -123,8 +130,8 @@ from moved m left join tgt t on t.o_orderkey = m.old_key"""
 @register("apply_update_keychange", _KEYCHANGE_SQL)
 def apply_update_keychange(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key-changing updates: old key deleted, new key upserted, INSERT_DATE carried over."""
-    _, spec, target, changes, routed = order_changes(spark, sf_dir, move_keys=True, priorities=(fx.PRIO_UPDATE,))
-    return apply_changes(target, changes, spec, None, fx.AS_OF, **log_shape(routed, spec))
+    _, spec, target, changes, _ = order_changes(spark, sf_dir, move_keys=True, priorities=(fx.PRIO_UPDATE,))
+    return apply_changes(target, held(changes), spec, None, fx.AS_OF)
 
 
 @register("apply_phases", MERGE_ORDERS_SQL)
@@ -153,7 +160,7 @@ def _stepped(spark: SparkSession, sf_dir: str, steps, insert_mode: str = "replac
     spec = fx.orders_spec(orders)
     routed = route(split_bad(parse_envelope(fx.order_steps(orders, spec, steps)))[0], fx.ORDERS_TABLE)
     changes, _ = change_rows(routed, spec)
-    return apply_changes(fx.order_target(orders), changes, spec, None, fx.AS_OF, insert_mode, **log_shape(routed, spec))
+    return apply_changes(fx.order_target(orders), held(changes), spec, None, fx.AS_OF, insert_mode)
 
 
 CHAIN_SQL = _steps_sql("-o_orderkey * 8 - 3", "C", "INSERT_DATE")
@@ -234,9 +241,9 @@ where g.user_id is null or g.event_type <> 'error'"""
 def merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State after the first half of the events, merged with the net change of the second half."""
     events = fx.table(spark, sf_dir, "events")
-    _, spec, changes, routed = user_changes(spark, sf_dir, fx.late_events(events))
+    _, spec, changes, _ = user_changes(spark, sf_dir, fx.late_events(events))
     target = fx.user_target(events)
-    return merge_changes(target, net(target, changes, routed, spec), spec, fx.AS_OF, strategy="general")
+    return merge_changes(target, net_changes(target, held(changes), spec.key_cols), spec, fx.AS_OF, strategy="general")
 
 
 # ---- envelope inspection (P-ENV) ---------------------------------------------------------
