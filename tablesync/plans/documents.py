@@ -12,6 +12,8 @@ key contains it. No supplier, part or flag is a key of its own, so none of them
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,7 @@ from pyspark.sql import types as T
 from ..operators.nested import Level
 
 DOC_ORDERS = 1024
+FILE_DOCS = 1024  # documents in a file of one array
 
 POINT = T.StructType([
     T.StructField("value", T.DoubleType()),
@@ -44,8 +47,17 @@ DOCUMENT = T.StructType([
 ])
 
 
+def _block():
+    return F.floor(F.col("l_orderkey") / DOC_ORDERS).cast("long").alias("block")
+
+
+def array_files(lineitem: DataFrame) -> int:
+    """How many files of ``FILE_DOCS`` documents each ``metric_documents`` fills (reads the order keys)."""
+    return max(1, math.ceil(lineitem.select(_block()).distinct().count() / FILE_DOCS))
+
+
 def metric_documents(lineitem: DataFrame) -> DataFrame:
-    block = F.floor(F.col("l_orderkey") / DOC_ORDERS).cast("long").alias("block")
+    block = _block()
     metric = F.pmod("l_suppkey", F.lit(10)).cast("string").alias("metric")
     cols = ["l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_shipdate", "l_orderkey", "l_suppkey", "l_partkey"]
     pts = lineitem.select(block, metric, *cols).repartition("block")

@@ -121,7 +121,9 @@ def json_multiline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("json_array_scan", _LONG_SQL)
 def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same documents as one array in one file, read by a task per byte range."""
+    """The same documents as one array in one file (more files of one array each, where there are more than
+    ``FILE_DOCS`` documents), each read by a task per byte range."""
     path = scratch_path(spark, "docs_array")
-    write_json_multiline(docs.metric_documents(fx.table(spark, sf_dir, "lineitem")).coalesce(1), path)
+    lineitem = fx.table(spark, sf_dir, "lineitem")
+    write_json_multiline(docs.metric_documents(lineitem).coalesce(docs.array_files(lineitem)), path)
     return _long(read_json_array(spark, path, docs.DOCUMENT))

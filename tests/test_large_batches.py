@@ -2,15 +2,20 @@
 
 import contextlib
 import io
+import os
 
 import pytest
 
 from tablesync.operators.changes import net_changes
+from tablesync.plans import documents as docs
 from tablesync.plans import fixtures as fx
+from tablesync.plans import q_nested
 from tablesync.schema import TargetSpec
 from tablesync.session import scratch_path
 from tablesync.sources.envelope import change_rows, parse_envelope, split_bad
 
+from conftest import SF_SMALL
+
 LINE = '{"table": "T.KV", "op_type": "%s", "op_ts": "2024-01-01 00:00:00.000000", "pos": "%020d", "before": %s, "after": %s}'
 IMAGE = '{"k": %d, "v": "%s"}'
 
@@ -43,3 +48,19 @@ def test_no_look_at_a_batch_is_broadcast_by_an_estimate(spark, moves, rebirths):
     want = {0: ("I", True, "None")} if rebirths else {}
     want |= {1: ("D", False, "None"), 11: ("D", False, "None"), 12: ("U", False, "2020-01-01 00:00:00")} if moves else {}
     assert {k: (v[0], v[1], v[2] if v[0] != "D" else "None") for k, v in got.items()} == want
+
+
+def test_a_file_of_one_array_is_bounded(spark, monkeypatch):
+    """Twelve documents, with a document a file: several tasks write them, where one did."""
+    monkeypatch.setattr(docs, "FILE_DOCS", 1)
+    tables, path = scratch_path(spark, "t_array_lines"), scratch_path(spark, "t_array_files")
+    monkeypatch.setattr(q_nested, "scratch_path", lambda *_: path)
+    lines = fx.table(spark, SF_SMALL, "lineitem")
+    lines.withColumn("l_orderkey", lines["l_orderkey"] * 8).write.parquet(f"{tables}/lineitem.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = q_nested.json_array_scan(spark, tables)
+        assert got.exceptAll(q_nested.nested_flatten_long(spark, tables)).count() == 0 and got.count() == lines.count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len([n for n in os.listdir(path.removeprefix("file://")) if n.startswith("part-")]) > 1
