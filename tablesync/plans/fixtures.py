@@ -8,6 +8,8 @@ priorities stay untouched.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,7 @@ USERS_TABLE = "APP.USER_STATE"
 CHANGE_TS = "2024-01-01 00:00:00.000000"
 PRIO_INSERT, PRIO_UPDATE, PRIO_DELETE = "1-URGENT", "2-HIGH", "3-MEDIUM"
 EVENTS_CUT = "2024-01-15 00:00:00"
+TOPIC_ROWS = 250_000  # of a partition of a topic: some 100 MB of envelopes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,9 +33,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def as_topic(df: DataFrame) -> DataFrame:
     """The producer side of a change log: rows spread over at least as many partitions as
-    the cluster has cores, as a partitioned topic would deliver them. A source that already
-    has that many splits (any large table) is left as it is."""
-    n = df.sparkSession.sparkContext.defaultParallelism
+    the cluster has cores, of about ``TOPIC_ROWS`` rows at most, as a partitioned topic would deliver them.
+    A source that already has that many splits is left as it is."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / TOPIC_ROWS))
     return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
 
 

@@ -35,7 +35,7 @@ from ..sinks.snapshot import SnapshotStore
 from ..sinks.versions import CommitLog
 from ..functions.convert import control_type
 from ..functions.text import error_text
-from ..sources.envelope import RAW, REASON, change_rows, parse_envelope, route, split_bad, unrouted
+from ..sources.envelope import DOC, RAW, REASON, change_rows, parse_envelope, route, split_bad, unrouted
 
 METRICS_DDL = "batch_id long, target string, op string, n long, started_at timestamp, ms long"
 QUARANTINE_DDL = "batch_id long, target string, reason string, raw string"
@@ -175,14 +175,14 @@ def make_batch_fn(job: SyncJob):
         started = time.time()
         tags = tuple(dict.fromkeys(t.tag_col for t in job.targets)) or ("table",)
         # Persist the parsed batch first: the partitions the emptiness test reads stay cached,
-        # so no part of the source is read twice.
-        parsed = parse_envelope(raw, tags=tags).persist()
+        # so no part of the source is read twice. The whole document is not kept beside its fields and images.
+        parsed = parse_envelope(raw, tags=tags).drop(DOC).persist()
         try:
             if parsed.isEmpty():
                 return
             if job.maybe_refresh(started) and any(t.tag_col not in parsed.columns for t in job.targets):
                 parsed.unpersist()
-                parsed = parse_envelope(raw, tags=tuple(dict.fromkeys(t.tag_col for t in job.targets))).persist()
+                parsed = parse_envelope(raw, tags=tuple(dict.fromkeys(t.tag_col for t in job.targets))).drop(DOC).persist()
             good, bad_env = split_bad(parsed)
 
             def quarantine(rows: DataFrame, target: str | None) -> None:

@@ -12,7 +12,9 @@ from tablesync.plans import fixtures as fx
 from tablesync.plans import q_nested
 from tablesync.schema import TargetSpec
 from tablesync.session import scratch_path
-from tablesync.sources.envelope import change_rows, parse_envelope, split_bad
+from tablesync.sinks.snapshot import SnapshotStore
+from tablesync.sources.envelope import DOC, change_rows, parse_envelope, split_bad
+from tablesync.streaming import sync
 
 from conftest import SF_SMALL
 
@@ -50,6 +52,13 @@ def test_no_look_at_a_batch_is_broadcast_by_an_estimate(spark, moves, rebirths):
     assert {k: (v[0], v[1], v[2] if v[0] != "D" else "None") for k, v in got.items()} == want
 
 
+def test_partitions_of_a_topic_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(fx, "TOPIC_ROWS", 100)
+    topic = fx.as_topic(spark.range(2500))
+    assert topic.rdd.getNumPartitions() >= 25 and max(topic.rdd.glom().map(len).collect()) <= 120
+    assert sorted(r["id"] for r in topic.collect()) == list(range(2500))
+
+
 def test_a_file_of_one_array_is_bounded(spark, monkeypatch):
     """Twelve documents, with a document a file: several tasks write them, where one did."""
     monkeypatch.setattr(docs, "FILE_DOCS", 1)
@@ -64,3 +73,16 @@ def test_a_file_of_one_array_is_bounded(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len([n for n in os.listdir(path.removeprefix("file://")) if n.startswith("part-")]) > 1
+
+
+def test_a_batch_is_kept_without_the_whole_documents(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(sync, "split_bad", lambda parsed: kept.append(parsed.columns) or split_bad(parsed))
+    target = spark.createDataFrame([], "k long, v string")
+    spec = TargetSpec("T.KV", target.schema, ("k",))
+    root = scratch_path(spark, "t_kept")
+    store = SnapshotStore(spark, f"{root}/t", spec.table_schema)
+    job = sync.SyncJob([sync.SyncTarget(spec, store)], f"{root}/q", f"{root}/m", as_of=fx.AS_OF)
+    sync.make_batch_fn(job)(spark.createDataFrame([_event(1, "I", None, (1, "a"))], "value string"), 0)
+    assert [(r["k"], r["v"]) for r in store.read().collect()] == [(1, "a")]
+    assert DOC not in kept[0]
