@@ -124,3 +124,32 @@ def test_the_sql_finds_wrapped_headers_too(spark, tmp_path):
     want = con.sql(ORACLE["op10_license_scan"]).select(*got.columns).fetchall()
     assert order(map(tuple, got.collect())) == order(want)
     assert [r["own_license"] for r in got.orderBy("doc_id").collect()][:4] == ["BSD-3-Clause"] * 3 + ["MIT"]
+
+
+def test_queries_are_pruned_together(monkeypatch):
+    """One call prunes the blocks of a whole group of queries, with the best documents of each."""
+    import numpy as np
+
+    from tablesync.llm import bm25
+
+    rng = np.random.default_rng(3)
+    tf = rng.integers(0, 4, (30, 400)) * (rng.random((30, 400)) < 0.1)
+    tf[0, :100] = 1  # a frequent word
+    term, doc = np.nonzero(tf)
+    size = tf.sum(axis=0).astype(np.int64)
+    arrays = {"doc_ids": np.arange(400), "is_null": np.zeros(400, bool), "lengths": size, "terms": np.arange(30, dtype=np.uint64),
+              "starts": np.searchsorted(term, np.arange(31)), "ords": doc.astype(np.uint32), "counts": tf[term, doc].astype(np.uint32)}
+    shard = bm25.Shard({k: v.tobytes() for k, v in arrays.items()}, float(size.mean()), 1.2, 0.75)
+    held = [np.sort(rng.choice(40, 12, replace=False)) for _ in range(50)]  # words 30 to 39 are in no document
+    first, words = np.cumsum([0, *map(len, held)]), np.concatenate(held)
+    distinct, number = np.unique(words.astype(np.uint64), return_inverse=True)
+    idf = 1 + (words % 7) / 3
+    calls, one = [], bm25.Shard.best
+    monkeypatch.setattr(bm25.Shard, "best", lambda self, *a: calls.append(1) or one(self, *a))
+    found = {int(q): dict(zip(docs.tolist(), scores)) for q, docs, scores in shard.search(first, distinct, number, idf, 10, np.zeros(50))}
+    assert len(calls) <= 2
+    gain = tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / size.mean()))
+    for q, mine in enumerate(held):
+        score = sum(w * gain[t] if t < 30 else 0 for t, w in zip(mine, idf[first[q] : first[q + 1]]))
+        for d in np.argsort(-score, kind="stable")[:10]:
+            assert score[d] == 0 or abs(found[q][int(d)] - score[d]) < 1e-9
