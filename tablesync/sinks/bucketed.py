@@ -29,6 +29,7 @@ from ..operators.retention import Purge
 from ..schema import UPDATE_DATE, TargetSpec
 
 BUCKET = "_bucket"
+PART = "_part"
 LOG_DDL = "version long, batch_id long, bucket int, path string, stream string, buckets int, least long, purged_at double"
 
 
@@ -97,9 +98,9 @@ class BucketedStore:
         version = self._version + 1
         path = f"{self.root}/v={version}"
         out = df.select(*self.schema.fieldNames()).withColumn(BUCKET, self.bucket_of())
-        # One task per file: without this every task would write a file of every bucket.
+        # Without this every task would write a file of every bucket. Adaptive execution splits a bucket that is too large for one task.
         part = F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.key_cols], F.lit(1)), F.lit(self.files_per_bucket))
-        out = out.repartition(max(1, len(buckets) * self.files_per_bucket), F.col(BUCKET), part)
+        out = out.withColumn(PART, part).hint("rebalance", F.col(BUCKET), F.col(PART)).drop(PART)
         out.write.mode("overwrite").partitionBy(BUCKET).format(self.fmt).save(path)
         # Reads one column of what was written; at most one row per bucket reaches the driver.
         written = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])).format(self.fmt).load(path)

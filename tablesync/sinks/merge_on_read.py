@@ -37,6 +37,7 @@ from ..schema import INSERT_DATE, UPDATE_DATE, TargetSpec
 from .versions import VersionLog
 
 BUCKET = "_bucket"
+PART = "_part"
 VERSION = "_version"
 
 
@@ -186,7 +187,7 @@ class MergeOnReadStore:
         rows, live = self._changes(buckets)
         if rows is None:
             return base
-        small = sum(d["rows"] for d in live) <= DEFAULT_BROADCAST_ROWS and sum(d["bytes"] for d in live) <= DEFAULT_BROADCAST_BYTES
+        small = sum(d["rows"] for d in live) <= DEFAULT_BROADCAST_ROWS and sum(d["bytes"] or 0 for d in live) <= DEFAULT_BROADCAST_BYTES
         if self.order == "log":
             return self._in_log_order(base, rows, live, small)
         return self._in_order_of_arrival(base, rows, small)
@@ -194,7 +195,7 @@ class MergeOnReadStore:
     def _in_log_order(self, base: DataFrame, events: DataFrame, live: list[dict], small: bool) -> DataFrame:
         modes = {d["mode"] for d in live}
         return apply_changes(base, events.drop(BUCKET, VERSION), self.spec, insert_mode=modes.pop() if len(modes) == 1 else "replace",
-                             strategy="broadcast" if small else "general", key_changes=any(d["moves"] for d in live), rebirths=True)
+                             strategy="broadcast" if small else "general", key_changes=any(d["moves"] for d in live))
 
     def _in_order_of_arrival(self, base: DataFrame, rows: DataFrame, small: bool) -> DataFrame:
         keys, names = self.spec.key_cols, self.schema.fieldNames()
@@ -247,7 +248,7 @@ class MergeOnReadStore:
         path = f"{self.root}/base/v={version}"
         out = df.select(*self.schema.fieldNames()).withColumn(BUCKET, self.bucket_of())
         part = F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.key_cols], F.lit(1)), F.lit(self.files_per_bucket))
-        out = out.repartition(max(1, len(buckets) * self.files_per_bucket), F.col(BUCKET), part)
+        out = out.withColumn(PART, part).hint("rebalance", F.col(BUCKET), F.col(PART)).drop(PART)
         out.write.mode("overwrite").partitionBy(BUCKET).format(self.fmt).save(path)
         # Reads one column of what was written; at most one row per bucket reaches the driver.
         written = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])).format(self.fmt).load(path)
@@ -331,19 +332,21 @@ class MergeOnReadStore:
     def _write_delta(self, rows: DataFrame, version: int, insert_mode: str, moves: bool) -> dict | None:
         path = f"{self.root}/delta/v={version}"
         out = rows.withColumn(BUCKET, self.bucket_of()).withColumn(VERSION, F.lit(version).cast("long"))
-        out.repartitionByRange(BUCKET).sortWithinPartitions(BUCKET).write.mode("overwrite").parquet(path)
+        out.repartitionByRange(BUCKET, *self.spec.key_cols).sortWithinPartitions(BUCKET).write.mode("overwrite").parquet(path)
         written = self.spark.read.schema(out.schema).parquet(path)
         image = "_img" if self.order == "log" else "_image"
         held = self.date_column not in (INSERT_DATE, UPDATE_DATE)
         date = F.when(F.col("_op") != OP_DELETE, F.col(image)[self.date_column] if held else F.col("_at"))
         kind = self.schema[self.date_column].dataType
         newest = F.max(micros(F.col("_seq.ts"), T.TimestampNTZType())) if self.order == "log" else F.lit(None).cast("long")
-        size = F.sum(F.length(F.to_json(F.struct(*out.columns))))
-        found = written.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("rows"), size.alias("bytes"), F.min(micros(date, kind)).alias("least"), newest.alias("newest")).collect()
+        found = written.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("rows"), F.min(micros(date, kind)).alias("least"), newest.alias("newest")).collect()
         if not found:
             return None
-        return {"version": version, "path": path, "schema": out.schema.jsonValue(), "mode": insert_mode, "moves": bool(moves), "rows": sum(r["rows"] for r in found),
-                "bytes": sum(r["bytes"] for r in found), "least": {str(r[BUCKET]): r["least"] for r in found}, "newest": max((r["newest"] for r in found if r["newest"] is not None), default=None)}
+        rows = sum(r["rows"] for r in found)
+        # Only a delta with few rows can be broadcast, so only its bytes matter.
+        size = written.agg(F.sum(F.length(F.to_json(F.struct(*out.columns))))).first()[0] if rows <= DEFAULT_BROADCAST_ROWS else None
+        return {"version": version, "path": path, "schema": out.schema.jsonValue(), "mode": insert_mode, "moves": bool(moves), "rows": rows,
+                "bytes": size, "least": {str(r[BUCKET]): r["least"] for r in found}, "newest": max((r["newest"] for r in found if r["newest"] is not None), default=None)}
 
     def compact(self, buckets: list[int] | None = None) -> dict:
         """Fold the changes into the base: of all buckets they touch (or those of them in ``buckets``).
