@@ -5,6 +5,7 @@ import io
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablesync.operators.changes import net_changes
 from tablesync.plans import documents as docs
@@ -12,8 +13,11 @@ from tablesync.plans import fixtures as fx
 from tablesync.plans import q_nested
 from tablesync.schema import TargetSpec
 from tablesync.session import scratch_path
+from tablesync.sinks.bucketed import BucketedStore
+from tablesync.sinks.merge_on_read import MergeOnReadStore
 from tablesync.sinks.snapshot import SnapshotStore
 from tablesync.sources.envelope import DOC, change_rows, parse_envelope, split_bad
+from tablesync.sources import streams
 from tablesync.streaming import sync
 
 from conftest import SF_SMALL
@@ -86,3 +90,29 @@ def test_a_batch_is_kept_without_the_whole_documents(spark, monkeypatch):
     sync.make_batch_fn(job)(spark.createDataFrame([_event(1, "I", None, (1, "a"))], "value string"), 0)
     assert [(r["k"], r["v"]) for r in store.read().collect()] == [(1, "a")]
     assert DOC not in kept[0]
+
+
+def test_the_files_of_a_batch_are_read_in_small_splits(spark, monkeypatch):
+    path, given = scratch_path(spark, "t_splits"), spark.conf.get(streams.SPLIT_CONF)
+    spark.range(500).selectExpr("cast(id as string) as value").coalesce(1).write.text(path)
+    monkeypatch.setattr(streams, "SPLIT_BYTES", 200)
+    parts, rows = [], []
+    source = streams.stream_changes(spark, "files", path=path)
+    q = source.writeStream.foreachBatch(lambda df, _: parts.append(df.rdd.getNumPartitions()) or rows.extend(r["value"] for r in df.collect()))
+    q.option("checkpointLocation", scratch_path(spark, "t_splits_ckpt")).trigger(availableNow=True).start().awaitTermination()
+    assert parts[0] >= 5 and sorted(map(int, rows)) == list(range(500)) and spark.conf.get(streams.SPLIT_CONF) == given
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark):
+    spec = TargetSpec("T.KV", spark.createDataFrame([], "k long, v string").schema, ("k",), spark.sql("select timestamp_ntz'2024-01-01' as t").schema["t"].dataType)
+    rows = spark.range(60_000).repartition(12).selectExpr("id as k", "sha2(string(id), 256) as v", "timestamp_ntz'2024-01-01' as INSERT_DATE", "timestamp_ntz'2024-01-01' as UPDATE_DATE")
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, "200k")
+    try:
+        for kind in (BucketedStore, MergeOnReadStore):
+            store = kind(spark, scratch_path(spark, "t_bucket"), spec, 1)
+            store.publish(rows, 0)
+            assert store.read().select(F.input_file_name()).distinct().count() > 1
+            assert sorted(store.read().collect()) == sorted(rows.collect())
+    finally:
+        spark.conf.unset(name)
