@@ -72,6 +72,29 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("held", [7, 100])
+def test_components_of_more_links_than_a_task_holds(spark, held):
+    rnd = random.Random(held)
+    links = [(k, k + 1) for k in range(1000, 1040)] + [(5000, k) for k in range(2000, 2200)] + [(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(150)]
+    rnd.shuffle(links)
+    nodes = {n for a, b in links if a != b for n in (a, b)}
+    got = components(spark.createDataFrame([*links, *links[:50], (None, 3)], "a long, b long").repartition(5), held=held).collect()
+    assert len(got) == len(nodes)
+    assert {r["node"]: r["component"] for r in got} == classes_of([x for x in links if x[0] != x[1]], nodes)
+
+
+def test_few_links_take_few_jobs(spark):
+    links = spark.createDataFrame([(k, k + 1) for k in range(3000)], "a long, b long").repartition(4)
+    spark.sparkContext.setJobGroup("few-links", "")
+    try:
+        found = components(links)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("few-links")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(jobs) <= 4
+    assert found.where("component != 0").count() == 0 and found.count() == 3001
+
+
 def corpus():
     rnd = random.Random(9)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 7)))
