@@ -42,6 +42,16 @@ def test_search_against_all_rows(spark, postings):
     assert got == sorted(plain_search(docs, dict(queries).items(), 7), key=lambda r: r[:2])
 
 
+
+def test_search_for_more_queries_than_a_group(spark):
+    rnd = random.Random(18)
+    words = [[f"{c}{k}" for k in range(60)] for c in "abc"]
+    docs = [(i, " ".join([own[0], *rnd.choices(own, k=rnd.randint(2, 12))])) for i in range(300) for own in [rnd.choice(words)]]
+    frame = lambda name: spark.createDataFrame(docs, f"{name} long, text string")
+    got = top_k_search(frame("doc_id").repartition(2), frame("query_id"), k=3, shard_postings=500).collect()
+    assert sorted(tuple(r) for r in got) == sorted(plain_search(docs, docs, 3), key=lambda x: x[:2])
+
+
 def test_search_edges(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     one = spark.createDataFrame([(1, "a b"), (1, "b"), (None, "a")], "query_id long, text string")
