@@ -5,8 +5,11 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
+from tablesync.llm import bm25
 from tablesync.llm.bm25 import top_k_search
 from tablesync.llm.licenses import scan_licenses
 
@@ -52,6 +55,53 @@ def test_search_for_more_queries_than_a_group(spark):
     assert sorted(tuple(r) for r in got) == sorted(plain_search(docs, docs, 3), key=lambda x: x[:2])
 
 
+def test_index_is_stored_and_searched_shard_by_shard(spark, monkeypatch, tmp_path):
+    docs = spark.range(240, numPartitions=1).selectExpr("id doc_id", "concat_ws(' ', transform(sequence(0, 9999), x -> concat('w', id * 10000 + x))) text")
+    stashed, stash = {}, bm25.stash
+
+    def seen(df, name, **how):
+        stashed[name] = how, df
+        return stash(df, name, **how)
+
+    monkeypatch.setattr(bm25, "stash", seen)
+    got = top_k_search(docs, docs.where("doc_id = 7").withColumnRenamed("doc_id", "query_id"), shard_postings=100_000)
+    assert [r["doc_id"] for r in got.collect()] == [7]
+    assert stashed["answers"][0]["batch_rows"] == 1
+    how, index = stashed["index"]
+    index.write.options(**how).parquet(f"{tmp_path}/index")
+    groups = [g for f in tmp_path.glob("index/*.parquet") for m in [pq.ParquetFile(f).metadata] for g in map(m.row_group, range(m.num_row_groups))]
+    assert len(groups) > 1 and sum(g.num_rows for g in groups) > 20  # shards of 0.8 MB of words and more
+    assert max(g.total_byte_size for g in groups) < 24e6
+
+
+def test_search_keeps_one_shard_in_memory(monkeypatch):
+    alive, most = [0], [0]
+
+    class Counted(bm25.Shard):
+        def __init__(self, *a):
+            alive[0] += 1
+            most[0] = max(most[0], alive[0])
+            super().__init__(*a)
+
+        def __del__(self):
+            alive[0] -= 1
+
+    class Functions:
+        def mapInArrow(self, function, schema):
+            return function
+
+    class Shared:
+        value = bm25._query_block(pa.table({"query_id": [5], "h": pa.array([11], pa.int64()), "idf": [1.0]}))
+
+    monkeypatch.setattr(bm25, "Shard", Counted)
+    arrays = {"doc_ids": ([1, 2], "i8"), "is_null": ([0, 0], "?"), "lengths": ([1, 2], "i8"), "terms": ([11, 12], "u8"), "starts": ([0, 2, 3], "i8"), "ords": ([0, 1, 1], "u4"), "counts": ([1, 1, 1], "u4")}
+    shard = {"n_docs": 2, "words": 3} | {k: bm25.packed(bm25.np.array(v, kind)) for k, (v, kind) in arrays.items()}
+    search = bm25._search_block(Functions(), Shared(), 10, 1.5, 1.2, 0.75)
+    found = list(search([pa.RecordBatch.from_pylist([shard] * 3)] * 2))
+    assert [b.column("doc_id").to_pylist() for b in found] == [[1, 2]] * 6
+    assert most[0] == 1
+
+
 def test_search_edges(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     one = spark.createDataFrame([(1, "a b"), (1, "b"), (None, "a")], "query_id long, text string")
