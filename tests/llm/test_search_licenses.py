@@ -74,6 +74,14 @@ def test_index_is_stored_and_searched_shard_by_shard(spark, monkeypatch, tmp_pat
     assert max(g.total_byte_size for g in groups) < 24e6
 
 
+def test_shards_of_short_documents_are_bounded(spark):
+    docs = spark.range(5000, numPartitions=1).selectExpr("id doc_id", "if(id % 100 = 0, 'some words', '') text")
+    index = bm25.stash(bm25.build_index(docs, 32_000), "index")
+    assert [r["n_docs"] for r in index.collect()] == [1000] * 5
+    got = top_k_search(docs, docs.where("doc_id = 700").withColumnRenamed("doc_id", "query_id"), k=3, shard_postings=32_000)
+    assert [r["doc_id"] for r in got.orderBy("rank").collect()] == [0, 100, 200]
+
+
 def test_search_keeps_one_shard_in_memory(monkeypatch):
     alive, most = [0], [0]
 
