@@ -317,7 +317,7 @@ def mixed_topic(spark: SparkSession, sf_dir: str, with_broken: bool = False, **k
     from ..sources.envelope import envelope_columns
 
     orders = fx.table(spark, sf_dir, "orders")
-    cust = fx.table(spark, sf_dir, "customer")
+    cust = fx.as_topic(fx.table(spark, sf_dir, "customer"))
     cspec = TargetSpec("TPCH.CUSTOMER", T.StructType(cust.schema.fields), ("c_custkey",))
     img = F.struct(*[F.col(c) for c in cust.columns])
     pos = F.lpad(F.col("c_custkey").cast("string"), 20, "0")

@@ -149,7 +149,7 @@ def group_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = MergeOnReadStore(spark, f"{root}/customer", cspec, buckets=16)
     commits = CommitLog(spark, f"{root}/_commits")
     job = SyncJob([SyncTarget(first.spec, first), SyncTarget(cspec, _FailsOnce(second))], f"{root}/quarantine", f"{root}/metrics", as_of=fx.AS_OF, commits=commits)
-    batch, run = mixed_topic(spark, sf_dir).persist(), make_batch_fn(job)
+    batch, run = mixed_topic(spark, sf_dir), make_batch_fn(job)
 
     def counts(phase: str) -> DataFrame:
         seen = commits.tokens()  # both tables as of one instant

@@ -20,6 +20,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ from ..sources.envelope import DOC, RAW, REASON, change_rows, parse_envelope, ro
 METRICS_DDL = "batch_id long, target string, op string, n long, started_at timestamp, ms long"
 QUARANTINE_DDL = "batch_id long, target string, reason string, raw string"
 ENVELOPES = "_envelopes"  # stands for a target where a row belongs to none
+# A batch is kept on the executors' disks: in memory, Spark looks at what a partition takes only every 16 blocks of 10,000 rows,
+# and a large batch fills the heap.
+KEPT = StorageLevel.DISK_ONLY
 ERROR_DDL = "batch_id long, failed_at timestamp, error string"
 
 
@@ -142,7 +146,7 @@ def sync_table(batch: DataFrame, t: SyncTarget, batch_id: int, as_of=None, strea
     changes, bad = change_rows(route(batch, t.spec.name, t.tag_col), t.spec)
     if t.op_order:
         changes = of_ops(changes, list(t.op_order))
-    changes = changes.persist()  # images are parsed once for the counts, the touched buckets and the merge
+    changes = changes.persist(KEPT)  # images are parsed once for the counts, the touched buckets and the merge
     try:
         stats = changes.groupBy("_op").agg(
             F.count(F.lit(1)).alias("n"), F.max(F.col("_prev").isNotNull()).alias("moves")
@@ -176,13 +180,13 @@ def make_batch_fn(job: SyncJob):
         tags = tuple(dict.fromkeys(t.tag_col for t in job.targets)) or ("table",)
         # Persist the parsed batch first: the partitions the emptiness test reads stay cached,
         # so no part of the source is read twice. The whole document is not kept beside its fields and images.
-        parsed = parse_envelope(raw, tags=tags).drop(DOC).persist()
+        parsed = parse_envelope(raw, tags=tags).drop(DOC).persist(KEPT)
         try:
             if parsed.isEmpty():
                 return
             if job.maybe_refresh(started) and any(t.tag_col not in parsed.columns for t in job.targets):
                 parsed.unpersist()
-                parsed = parse_envelope(raw, tags=tuple(dict.fromkeys(t.tag_col for t in job.targets))).drop(DOC).persist()
+                parsed = parse_envelope(raw, tags=tuple(dict.fromkeys(t.tag_col for t in job.targets))).drop(DOC).persist(KEPT)
             good, bad_env = split_bad(parsed)
 
             def quarantine(rows: DataFrame, target: str | None) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablesync.operators.changes import net_changes
 from tablesync.plans import documents as docs
 from tablesync.plans import fixtures as fx
-from tablesync.plans import q_nested
+from tablesync.plans import q_changes, q_nested
 from tablesync.schema import TargetSpec
 from tablesync.session import scratch_path
 from tablesync.sinks.bucketed import BucketedStore
@@ -63,6 +63,16 @@ def test_partitions_of_a_topic_are_bounded(spark, monkeypatch):
     assert sorted(r["id"] for r in topic.collect()) == list(range(2500))
 
 
+def test_customers_of_a_topic_are_bounded_like_orders(spark, monkeypatch):
+    monkeypatch.setattr(fx, "TOPIC_ROWS", 10)
+    root = scratch_path(spark, "t_topic")
+    orders, cust = fx.table(spark, SF_SMALL, "orders"), fx.table(spark, SF_SMALL, "customer")
+    orders.limit(20).write.parquet(f"{root}/orders.parquet")
+    cust.limit(1).crossJoin(spark.range(150)).withColumn("c_custkey", F.col("id")).drop("id").coalesce(1).write.parquet(f"{root}/customer.parquet")
+    parts = q_changes.mixed_topic(spark, root).rdd.glom().map(len).collect()
+    assert max(parts) <= 20 and sum(parts) >= 150
+
+
 def test_a_file_of_one_array_is_bounded(spark, monkeypatch):
     """Twelve documents, with a document a file: several tasks write them, where one did."""
     monkeypatch.setattr(docs, "FILE_DOCS", 1)
@@ -92,6 +102,21 @@ def test_a_batch_is_kept_without_the_whole_documents(spark, monkeypatch):
     assert DOC not in kept[0]
 
 
+def test_a_batch_takes_no_heap_while_it_is_kept(spark, monkeypatch):
+    """The parsed batch and the changes of a target are kept on disk: a large batch filled the executors' heap."""
+    levels = []
+    spec = TargetSpec("T.KV", spark.createDataFrame([], "k long, v string").schema, ("k",), spark.sql("select timestamp_ntz'2024-01-01' as t").schema["t"].dataType)
+    store = MergeOnReadStore(spark, scratch_path(spark, "t_heap"), spec, 2)
+    apply = store.apply
+    monkeypatch.setattr(sync, "split_bad", lambda parsed: levels.append(parsed.storageLevel) or split_bad(parsed))
+    monkeypatch.setattr(store, "apply", lambda changes, *args, **kw: levels.append(changes.storageLevel) or apply(changes, *args, **kw))
+    root = scratch_path(spark, "t_heap_job")
+    job = sync.SyncJob([sync.SyncTarget(spec, store)], f"{root}/q", f"{root}/m", as_of=fx.AS_OF)
+    sync.make_batch_fn(job)(spark.createDataFrame([_event(1, "I", None, (1, "a")), _event(2, "I", None, (2, "b"))], "value string"), 0)
+    assert sorted((r["k"], r["v"]) for r in store.read().collect()) == [(1, "a"), (2, "b")]
+    assert len(levels) == 2 and all(x.useDisk and not x.useMemory for x in levels)
+
+
 def test_the_files_of_a_batch_are_read_in_small_splits(spark, monkeypatch):
     path, given = scratch_path(spark, "t_splits"), spark.conf.get(streams.SPLIT_CONF)
     spark.range(500).selectExpr("cast(id as string) as value").coalesce(1).write.text(path)
