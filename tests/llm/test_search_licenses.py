@@ -110,6 +110,74 @@ def test_search_keeps_one_shard_in_memory(monkeypatch):
     assert most[0] == 1
 
 
+class InProcess:
+    """In place of a DataFrame: gives the function of mapInArrow."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+def shards_and_queries(n):
+    rnd = random.Random(28)
+    words = [f"{c}{k}" for c in "abc" for k in range(3000)]
+    texts = [" ".join(rnd.choices(words, cum_weights=range(1, 9001), k=rnd.randint(1, 250))) for _ in range(n)]
+    docs = pa.record_batch({"doc_id": pa.array(range(n), pa.int64()), "text": texts})
+    shards = [r for b in bm25.build_index(InProcess(), 9_000)(docs.slice(i, 80) for i in range(0, n, 80)) for r in b.to_pylist()]
+    asked = [(i, h) for lo, _, row, hashes, _ in bm25.bags(docs.column("text")) for i, h in zip((lo + row).tolist(), hashes.view("i8").tolist()) if i % 3 == 0]
+    query, h = map(list, zip(*asked))
+    idf = [1 + (x % 1000) / 500 for x in h]
+    return shards, bm25._query_block(pa.table({"query_id": query, "h": pa.array(h, pa.int64()), "idf": idf}))
+
+
+def searched(shards, block, floor=None):
+    """The scores of all answers by (query, document)."""
+    shared = type("Shared", (), {"value": block})
+    batches = [pa.RecordBatch.from_pylist(shards)]
+    floor = floor if floor is None else type("Floor", (), {"value": floor})
+    found = [r for b in bm25._search_block(InProcess(), shared, 5, 130.0, 1.2, 0.75, floor)(batches) for r in b.to_pylist()]
+    return {(r["query_id"], r["doc_id"]): r["score"] for r in found}
+
+
+def test_long_queries_are_added_up_with_the_answers_of_block_maxima(spark, monkeypatch):
+    shards, block = shards_and_queries(400)
+    assert len(shards) > 2 and len(block[0]) > bm25.QUERIES
+    used, best = [], bm25.Shard.best
+    monkeypatch.setattr(bm25.Shard, "best", lambda *a: used.append(1) or best(*a))
+    summed = searched(shards, block)
+    assert not used
+    monkeypatch.setattr(bm25, "BLOCKS_PAY", 0)
+    assert searched(shards, block) == pytest.approx(summed, abs=2e-6) and used
+    monkeypatch.setattr(bm25, "BLOCKS_PAY", float("inf"))
+    monkeypatch.setattr(bm25, "POSTS", 1)
+    assert searched(shards, block) == pytest.approx(summed, abs=2e-6)
+
+
+def test_known_scores_leave_the_best_answers(spark):
+    shards, block = shards_and_queries(400)
+    every, order = searched(shards, block), lambda found, q: sorted((-s, d) for (i, d), s in found.items() if i == q)[:5]
+    kth = bm25.np.array([-order(every, q)[-1][0] for q in block[0]])
+    some = searched(shards, block, kth)
+    assert len(some) < len(every) and all(order(some, q) == order(every, q) for q in block[0])
+
+
+def test_some_shards_are_searched_first(spark, monkeypatch):
+    rnd = random.Random(38)
+    words = [f"w{k}" for k in range(80)]
+    docs = [(i, " ".join(rnd.choices(words, k=rnd.randint(1, 20)))) for i in range(2000)]
+    first, stash = {}, bm25.stash
+    monkeypatch.setattr(bm25, "stash", lambda df, name, **how: first.setdefault(name, stash(df, name, **how)) if name in ("kth-scores", "first-shards") else stash(df, name, **how))
+    frame = lambda rows, name: spark.createDataFrame(rows, f"{name} long, text string")
+    got = top_k_search(frame(docs, "doc_id").repartition(48), frame(docs[:12], "query_id"), k=3, shard_postings=320).collect()
+    want = plain_search(docs, docs[:12], 3)
+    assert sorted(tuple(r) for r in got) == sorted(want, key=lambda x: x[:2])
+    least = {r["query_id"]: r["score"] for r in first["kth-scores"].collect()}
+    assert least and all(s <= r["score"] + 1e-6 for r in got if r["rank"] == 3 and (s := least.get(r["query_id"])) is not None)
+    assert 0 < first["first-shards"].count() < 24  # of 48
+
+
 def test_search_edges(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     one = spark.createDataFrame([(1, "a b"), (1, "b"), (None, "a")], "query_id long, text string")
